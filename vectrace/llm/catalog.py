@@ -6,9 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vectrace.llm import quality
+from vectrace.llm import bpe, quality, unigram
 from vectrace.llm.common import table
 
+
+
+def tokenizer_path(name: str) -> str:
+    """Where a public vocabulary file lies; the files are read in place, never copied."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -18,7 +27,21 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = unigram.read_pieces(tokenizer_path("piece_bpe_32k.model"))
+    return unigram.token_counts(table(spark, sf_dir, "documents"), pieces)
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(tokenizer_path("byte_bpe_multi_50k.tiktoken"))
+    return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Query] = {
+    "op4_token_counts": op4_token_counts,
+    "op10_byte_bpe": op10_byte_bpe,
     "op7_quality_rules": op7_quality_rules,
 }
 
