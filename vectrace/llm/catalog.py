@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vectrace.llm import bpe, quality, unigram
+from vectrace.llm import bpe, gif, quality, unigram
 from vectrace.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_media_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gif.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = unigram.read_pieces(tokenizer_path("piece_bpe_32k.model"))
     return unigram.token_counts(table(spark, sf_dir, "documents"), pieces)
@@ -40,6 +44,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_media_gif": op1_media_gif,
     "op4_token_counts": op4_token_counts,
     "op10_byte_bpe": op10_byte_bpe,
     "op7_quality_rules": op7_quality_rules,
