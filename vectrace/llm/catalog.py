@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vectrace.llm import bpe, gif, quality, unigram
+from vectrace.llm import bpe, gif, pii, quality, unigram
 from vectrace.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.token_counts(table(spark, sf_dir, "documents"), pieces)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -46,6 +50,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_media_gif": op1_media_gif,
     "op4_token_counts": op4_token_counts,
+    "op9_pii": op9_pii,
     "op10_byte_bpe": op10_byte_bpe,
     "op7_quality_rules": op7_quality_rules,
 }
