@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vectrace.llm import bpe, gif, pii, quality, unigram
-from vectrace.llm.common import table
+from vectrace.llm import bpe, chat, gif, packing, pii, quality, unigram, warc
+from vectrace.llm.common import shared_folder, table
 
 
 
@@ -21,6 +21,10 @@ def tokenizer_path(name: str) -> str:
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_chat_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.collapse(table(spark, sf_dir, "conversations"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -31,11 +35,20 @@ def op1_media_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = unigram.read_pieces(tokenizer_path("piece_bpe_32k.model"))
     return unigram.token_counts(table(spark, sf_dir, "documents"), pieces)
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archive(table(spark, sf_dir, "pages"), shared_folder(spark, "warc"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(table(spark, sf_dir, "documents"))
 
@@ -49,7 +62,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_media_gif": op1_media_gif,
+    "op3_packing": op3_packing,
     "op4_token_counts": op4_token_counts,
+    "op5_chat_collapse": op5_chat_collapse,
+    "op8_warc": op8_warc,
     "op9_pii": op9_pii,
     "op10_byte_bpe": op10_byte_bpe,
     "op7_quality_rules": op7_quality_rules,
@@ -58,6 +74,22 @@ QUERIES: dict[str, Query] = {
 _STOPS = ", ".join(f"'{w}'" for x in quality.STOP_WORDS for w in (x, x.capitalize()))
 
 SQL: dict[str, str] = {
+    "op5_chat_collapse": """
+WITH t AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos FROM conversations),
+r AS (SELECT conv_id, pos, md5(coalesce('r' || role, 'n') || chr(1) || coalesce('t' || text, 'n')) AS h,
+        '<|im_start|>' || coalesce(role, 'unknown') || chr(10) || replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' || chr(10) AS s FROM t),
+p AS (SELECT conv_id, pos, count(*) OVER (PARTITION BY conv_id) AS n, string_agg(h, '') OVER (PARTITION BY conv_id ORDER BY pos) AS pre FROM r),
+w AS (SELECT pre, n, min(conv_id) AS conv_id, count(*) AS n_copies FROM p WHERE pos = n GROUP BY pre, n),
+k AS (SELECT w.* FROM w WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.pos < p.n AND p.pre = w.pre))
+SELECT k.conv_id, k.n AS n_turns, k.n_copies, string_agg(r.s, '' ORDER BY r.pos) AS text
+FROM k JOIN r ON r.conv_id = k.conv_id GROUP BY k.conv_id, k.n, k.n_copies""",
+    "op8_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS h, min(page_id) OVER (PARTITION BY html) AS first FROM p),
+x AS (SELECT *, list_transform(range(32), lambda i: (('0x' || substr(h, 1 + 5 * (i // 4), 5))::BIGINT // [32768, 1024, 32, 1][1 + i % 4]) % 32) AS v FROM d)
+SELECT page_id, payload_bytes, array_to_string(list_transform(v, lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', k::INTEGER + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM x""",
     "op7_quality_rules": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 s AS (SELECT r, doc_id, text,

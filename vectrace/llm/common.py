@@ -86,3 +86,11 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
         stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
         .unionByName(roots).unionByName(loops).groupBy("node").agg(F.min("root").alias("root"))
     )
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path under the cluster's shared checkpoint folder; nothing is created yet."""
+    import uuid
+
+    top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
+    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
