@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vectrace.llm import bpe, chat, gif, packing, pii, quality, unigram, warc
+from vectrace.llm import bpe, chat, gif, jaccard, packing, pii, quality, unigram, warc
 from vectrace.llm.common import shared_folder, table
 
 
@@ -35,6 +35,11 @@ def op1_media_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.join(table(spark, sf_dir, "documents"), n=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_media_gif": op1_media_gif,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_packing": op3_packing,
     "op4_token_counts": op4_token_counts,
     "op5_chat_collapse": op5_chat_collapse,
@@ -74,6 +80,16 @@ QUERIES: dict[str, Query] = {
 _STOPS = ", ".join(f"'{w}'" for x in quality.STOP_WORDS for w in (x, x.capitalize()))
 
 SQL: dict[str, str] = {
+    "op2_ngram_jaccard": r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0b\x0c\r]+'), lambda w: w <> '') AS ws FROM documents),
+s AS (SELECT r, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS g FROM d),
+g AS (SELECT r, unnest(g) AS g FROM s),
+o AS (SELECT x.r AS a, y.r AS b, count(*) AS n FROM g x JOIN g y ON x.g = y.g AND x.r < y.r GROUP BY 1, 2),
+l AS (SELECT a, b FROM o JOIN s x ON x.r = a JOIN s y ON y.r = b WHERE 100 * n >= 90 * (len(x.g) + len(y.g) - n)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+c(a, b) AS (SELECT a, b FROM e UNION SELECT c.a, e.b FROM c JOIN e ON c.b = e.a)
+SELECT s.doc_id, len(s.g)::BIGINT AS n_shingles, least(s.doc_id, coalesce((SELECT min(t.doc_id) FROM c JOIN s t ON t.r = c.b WHERE c.a = s.r), s.doc_id))::BIGINT AS component_id FROM s""",
     "op5_chat_collapse": """
 WITH t AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos FROM conversations),
 r AS (SELECT conv_id, pos, md5(coalesce('r' || role, 'n') || chr(1) || coalesce('t' || text, 'n')) AS h,
