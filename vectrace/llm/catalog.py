@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vectrace.llm import bpe, chat, gif, jaccard, packing, pii, quality, unigram, warc
+from vectrace.llm import bpe, chat, gif, hpyp, jaccard, packing, pii, quality, unigram, warc
 from vectrace.llm.common import shared_folder, table
 
 
@@ -25,6 +25,10 @@ def op5_chat_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.collapse(table(spark, sf_dir, "conversations"))
 
 
+def op6_hpyp_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hpyp.score(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -74,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_pii": op9_pii,
     "op10_byte_bpe": op10_byte_bpe,
+    "op6_hpyp_score": op6_hpyp_score,
     "op7_quality_rules": op7_quality_rules,
 }
 
