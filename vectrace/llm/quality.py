@@ -94,6 +94,9 @@ def measure(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
         _size(F.filter("_lines", lambda x: x.endswith("...") | x.endswith("…"))).alias("n_ellipsis"),
         F.length(F.regexp_replace(joined, r"\P{L}+", "")).cast("long").alias("n_letters"),
         *[f"_in_{c}" for c in keep],
+        # A filter on the verdict must not be pushed below this projection, where it would compute
+        # every measure again inside each array function; a row number it also reads prevents that.
+        *([F.monotonically_increasing_id().alias("_row")] if keep else []),
     )
 
 
@@ -133,4 +136,4 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
 def keep_good(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``df`` that pass, with their own columns unchanged."""
     judged = verdict(measure(df, id_col, text_col, keep=tuple(df.columns)), rules)
-    return judged.filter("kept").select(*[F.col(f"_in_{c}").alias(c) for c in df.columns])
+    return judged.filter(F.col("kept") & (F.col("_row") >= 0)).select(*[F.col(f"_in_{c}").alias(c) for c in df.columns])
