@@ -1,36 +1,41 @@
 """N-gram Jaccard join: blocked sparse product of the document by n-gram incidence.
 
-A document is the set of its distinct word n-grams, held as sorted 64-bit hashes.  Two sets of sizes
-a and b can reach similarity p/q only if they differ in at most (a + b)(q - p)/(q + p) n-grams.
-
-1. *Column blocks.*  For every size class the n-gram space is cut into more blocks than a pair in the
-   class may have differences, so a linked pair agrees on the whole content of some block.  Each
-   document files one signature per block; pairs without a common signature are below the bound and
-   never formed.  This loses no link, whatever the frequencies, and needs no cap.
-2. Documents that share signatures hang together in candidate groups (star edges to the least
-   document of a signature, never all pairs).  Groups are cut into row blocks of bounded size.
-3. *Product.*  Each pair of row blocks is multiplied column block by column block, accumulating
-   overlap counts; rows left without a partner that can still reach its size-derived bound are
-   dropped between column blocks.  Only a spanning forest of the links leaves the task.
-
-Exact copies are one class from the start (equal sets have equal hashes).
+A document is the set of its distinct word n-grams, held as sorted 64-bit hashes; exact copies are
+one class from the start (equal sets have equal hashes).
+
+1. *Frequency sketch.*  A fixed array of counters orders all n-grams, rare ones first.  Any fixed order
+   gives the same links; this one keeps shared passages out of what is filed.
+2. *Rare columns.*  By the prefix bound, linked documents of sizes a and b share an n-gram, and as many
+   as their sizes force, among the rarest tenth or fifth of each.  Only these are filed.
+3. *Overlap counts.*  Pairs are counted over columns of at most ``PAIR_COLUMN`` documents; those that
+   cannot reach the bound their sizes set, even with all longer columns and all unfiled n-grams in
+   common, are discarded.  Documents that could meet in longer columns alone (large groups of near
+   copies) hang together by their least document instead; no pairs are formed there.
+4. *Product.*  The documents so connected are cut into row blocks of bounded size.  Each pair of row
+   blocks is multiplied column block by column block; rows left without a partner that can still
+   reach its size-derived bound are dropped in between.  A spanning forest of the links leaves the task.
+
+Nothing is capped: every linked pair is connected at step 3 and decided exactly at step 4.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vectrace.llm.common import checkpoint, components, slices, texts
 
-#: Sizes of a class differ by at most this factor.
-CLASS_RATIO = 1.6
-#: Blocks beyond the bound on differences; documents with more empty blocks file those too.
-SLACK = 2
+#: Counters of the frequency sketch, in slices of 65,536; its size never depends on the data.
+SKETCH_BITS = 24
+#: Columns of up to so many documents are counted pair by pair.
+PAIR_COLUMN = 64
+#: N-grams filed beyond the prefix bound, so that linked documents share at least one more than this.
+EXTRA = 2
 #: A row block holds at most so many n-grams, a document counting as at least MIN_WEIGHT.
 BLOCK_GRAMS = 1 << 18
 MIN_WEIGHT = 256
@@ -97,36 +102,18 @@ def class_of(grams: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(grams.tobytes()) - (1 << 63)
 
 
-def size_classes(upto: int) -> list[int]:
-    """Lower ends of the size classes, past ``upto``."""
-    ends = [1]
-    while ends[-1] <= upto:
-        ends.append(max(ends[-1] + 1, int(ends[-1] * CLASS_RATIO)))
-    return ends
-
-
-def signatures(grams: np.ndarray, percent: int) -> np.ndarray:
-    """The set's block signatures in every size class where it may meet a partner of its size or larger."""
-    size = len(grams)
-    ends = size_classes(size * 100 // percent + 1)
-    mixed = _mix(grams)
-    made = []
-    for k, (low, high) in enumerate(zip(ends, ends[1:], strict=False)):
-        if high <= size or 100 * size < percent * low:
-            continue
-        differ = 2 * (high - 1) * (100 - percent) // (100 + percent)
-        if not differ:
-            continue  # only equal sets reach the bound
-        blocks = differ + 1 + SLACK
-        block = ((grams >> _S[3]) * np.uint64(blocks)) >> _S[3]
-        starts = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
-        filled = block[starts]
-        content = np.add.reduceat(mixed, starts)
-        if blocks - len(filled) > SLACK:
-            empty = np.setdiff1d(np.arange(blocks, dtype=np.uint64), filled, assume_unique=True)
-            filled, content = np.concatenate((filled, empty)), np.concatenate((content, np.zeros(len(empty), dtype=np.uint64)))
-        made.append(_mix(_mix(content) ^ (filled * np.uint64(64) + np.uint64(k))))
-    return np.concatenate(made) if made else grams[:0]
+def filed_grams(size: int, percent: int) -> int:
+    """How many of its rarest n-grams a set files; 0 where only an equal set could link with it."""
+    if (size + size * 100 // percent) * (100 - percent) < 100 + percent:
+        return 0
+    return min(size, size - -(-percent * size // 100) + 1 + EXTRA)
+
+
+def rare_grams(grams: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
+    """Sort keys (frequency level, then hash) of the n-grams that the set files."""
+    count = filed_grams(len(grams), percent)
+    keys = (levels[grams >> np.uint64(64 - SKETCH_BITS)].astype(np.uint64) << np.uint64(56)) | (grams >> np.uint64(8))
+    return np.sort(keys)[:count]
 
 
 def links(sets: list[np.ndarray], percent: int, split: int | None = None) -> np.ndarray:
@@ -179,41 +166,110 @@ def links(sets: list[np.ndarray], percent: int, split: int | None = None) -> np.
 
 
 def _documents(df: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n_shingles, class_id) per row."""
+    """(doc_id, n_shingles, class_id) per row, and this task's sketch as rows (slice, cells)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(1 << SKETCH_BITS, dtype=np.uint16)
+        kind = None
         for part in slices(batches):
+            kind, seen = part.column(0).type, {}
             sets = gram_sets(texts(part.column(1)), n)
+            names = [class_of(s) for s in sets]
+            for name, grams in zip(names, sets, strict=True):
+                seen[name] = grams
+            np.add.at(cells, np.concatenate(list(seen.values())) >> np.uint64(64 - SKETCH_BITS), 1)
+            none = [None] * len(sets)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.array(none, pa.int32()), pa.array(none, pa.binary())],
+                ["doc_id", "n_shingles", "class_id", "slice", "cells"],
+            )
+        if kind is not None:
+            packed = [zlib.compress(c.tobytes(), 1) for c in cells.reshape(-1, 1 << 16)]
+            none = [None] * len(packed)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) for s in sets], pa.int64())],
-                ["doc_id", "n_shingles", "class_id"],
+                [pa.array(none, kind), pa.array(none, pa.int64()), pa.array(none, pa.int64()), pa.array(range(len(packed)), pa.int32()), pa.array(packed, pa.binary())],
+                ["doc_id", "n_shingles", "class_id", "slice", "cells"],
             )
 
-    return df.select(id_col, text_col).mapInArrow(run, f"doc_id {dict(df.dtypes)[id_col]}, n_shingles long, class_id long")
+    schema = f"doc_id {dict(df.dtypes)[id_col]}, n_shingles long, class_id long, slice int, cells binary"
+    return df.select(id_col, text_col).mapInArrow(run, schema)
+
+
+def _levels(sketches: DataFrame) -> np.ndarray:
+    """The summed sketch as one byte per counter, four steps to the doubling: 16 MB, whatever the input."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in slices(batches, 64):
+            for at, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                part = np.frombuffer(zlib.decompress(cells), dtype=np.uint16)
+                total[at] = total.get(at, 0) + part.astype(np.int64)
+        packed = [np.rint(4 * np.log2(1.0 + c)).astype(np.uint8).tobytes() for c in total.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(packed, pa.binary())], ["slice", "levels"])
+
+    summed = sketches.repartition(32, "slice").mapInArrow(run, "slice int, levels binary").collect()
+    levels = np.zeros((1 << SKETCH_BITS >> 16, 1 << 16), dtype=np.uint8)
+    for row in summed:
+        levels[row["slice"]] = np.frombuffer(row["levels"], dtype=np.uint8)
+    return levels.ravel()
 
 
-def _filed(df: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, signature), for one row of each class in a slice."""
+def _filed(df: DataFrame, n: int, percent: int, levels: np.ndarray, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, n, gram): what each document files, for one row of each class in a slice."""
+    shared = df.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             ids, filed, seen = part.column(0).to_pylist(), [], set()
-            keep = []
+            keep, sizes = [], []
             for i, grams in enumerate(gram_sets(texts(part.column(1)), n)):
-                if ids[i] is None or not len(grams) or (name := class_of(grams)) in seen:
+                if ids[i] is None or not filed_grams(len(grams), percent) or (name := class_of(grams)) in seen:
                     continue
                 seen.add(name)
-                if len(found := signatures(grams, percent)):
-                    keep.append(i)
-                    filed.append(found.view(np.int64))
+                keep.append(i)
+                sizes.append(len(grams))
+                filed.append(rare_grams(grams, shared.value, percent).view(np.int64))
             lists = pa.ListArray.from_arrays(
                 pa.array(np.concatenate(([0], np.cumsum([len(f) for f in filed]))), pa.int32()),
                 pa.array(np.concatenate(filed) if filed else np.empty(0, dtype=np.int64), pa.int64()),
             )
-            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keep, pa.int64())), lists], ["doc_id", "signatures"])
-
-    lists = df.select(id_col, text_col).mapInArrow(run, f"doc_id {dict(df.dtypes)[id_col]}, signatures array<long>")
-    return lists.select("doc_id", F.explode("signatures").alias("signature"))
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keep, pa.int64())), pa.array(sizes, pa.int64()), lists], ["doc_id", "n", "grams"])
+
+    lists = df.select(id_col, text_col).mapInArrow(run, f"doc_id {dict(df.dtypes)[id_col]}, n long, grams array<long>")
+    return lists.select("doc_id", "n", F.explode("grams").alias("gram"))
+
+
+def _unfiled(n: Column, percent: int) -> Column:
+    return n - F.least(n, n - F.ceil(n * percent / F.lit(100)) + 1 + EXTRA)
+
+
+def _candidates(filed: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) that connect every linked pair of different sets, by steps 2 and 3 of the method."""
+    column = Window.partitionBy("gram")
+    shared = checkpoint(filed.withColumn("c", F.count("*").over(column)).filter("c > 1"))
+    short = shared.filter(F.col("c") <= PAIR_COLUMN)
+    long = shared.filter(F.col("c") > PAIR_COLUMN)
+    hidden = long.groupBy("doc_id", "n").agg(F.count("*").alias("s"))
+    lists = short.groupBy("gram").agg(F.array_sort(F.collect_list(F.struct("doc_id", "n"))).alias("d"))
+    both = lists.select(F.explode(F.flatten(F.transform("d", lambda x, i: F.transform(
+        F.filter(F.slice("d", i + 2, PAIR_COLUMN), lambda y: percent * F.greatest(x["n"], y["n"]) <= 100 * F.least(x["n"], y["n"])),
+        lambda y: F.struct(x["doc_id"].alias("a"), x["n"].alias("n"), y["doc_id"].alias("b"), y["n"].alias("m")),
+    )))).alias("p")).select("p.*")
+    pairs = both.filter("a <> b").groupBy("a", "n", "b", "m").agg(F.count("*").alias("common"))
+    side = lambda key, size, name: hidden.select(F.col("doc_id").alias(key), F.col("n").alias(size), F.col("s").alias(name))
+    pairs = pairs.join(side("a", "n", "s"), ["a", "n"], "left").join(side("b", "m", "r"), ["b", "m"], "left")
+    need = F.greatest(
+        F.ceil((F.col("n") + F.col("m")) * percent / F.lit(100 + percent)), F.ceil(F.greatest("n", "m") * percent / F.lit(100))
+    )
+    most = (
+        F.col("common") + F.least(F.coalesce("s", F.lit(0)), F.coalesce("r", F.lit(0)))
+        + F.greatest(_unfiled(F.col("n"), percent), _unfiled(F.col("m"), percent))
+    )
+    found = pairs.filter(most >= need).select("a", "b")
+    deep = long.join(hidden.filter(F.col("s") > EXTRA).select("doc_id", "n"), ["doc_id", "n"], "left_semi")
+    hubs = deep.groupBy("gram").agg(F.min("doc_id").alias("hub"))
+    stars = deep.join(hubs, "gram").filter("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+    return found.unionByName(stars).distinct()
 
 
 def _multiplied(members: DataFrame, percent: int) -> DataFrame:
@@ -260,11 +316,10 @@ def join(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", t
     joined through.  Rows that repeat are one document; texts under one id are joined each by itself.
     """
     spark_docs = df.select(id_col, text_col)
-    docs = checkpoint(_documents(spark_docs, n, id_col, text_col))
-    by = Window.partitionBy("signature")
-    filed = _filed(spark_docs, n, percent, id_col, text_col)
-    stars = filed.select("doc_id", F.min("doc_id").over(by).alias("hub")).filter("doc_id <> hub").distinct()
-    groups = components(checkpoint(stars.select(F.col("doc_id").alias("a"), F.col("hub").alias("b"))))
+    made = checkpoint(_documents(spark_docs, n, id_col, text_col))
+    docs = made.filter(F.col("slice").isNull()).select("doc_id", "n_shingles", "class_id")
+    levels = _levels(made.filter(F.col("slice").isNotNull()).select("slice", "cells"))
+    groups = components(checkpoint(_candidates(_filed(spark_docs, n, percent, levels, id_col, text_col), percent)))
     named = docs.filter("n_shingles > 0")
     classes = (
         groups.join(named, groups["node"] == named["doc_id"])
