@@ -27,6 +27,8 @@ from vectrace.llm.common import checkpoint
 #: Records of a file, and captures of an index block.
 RECORDS_PER_FILE = 4096
 BLOCK_LINES = 2048
+#: Up to so many repeated payloads (some 10 MB) the table of their first ids is broadcast; above, joined by shuffle.
+BROADCAST_ROWS = 100_000
 #: Payloads of at least so many bytes are written once.
 REVISIT_FROM_BYTES = 0
 _CRLF = "\r\n"
@@ -69,7 +71,9 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         F.coalesce(F.col(html_col), F.lit("")).alias("html"),
     ).withColumns({"sha": F.sha1(F.encode("html", "UTF-8")), "n": F.octet_length("html").cast("long")})
     first = page.filter(F.col("n") >= least).groupBy("sha", "n").agg(F.min("id").alias("first"), F.count("*").alias("c"))
-    both = page.join(first.filter("c > 1").drop("c"), ["sha", "n"], "left")
+    repeated = checkpoint(first.filter("c > 1").drop("c"))
+    small = repeated.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    both = page.join(F.broadcast(repeated) if small else repeated, ["sha", "n"], "left")
     revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     uri = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
     http = F.concat(
