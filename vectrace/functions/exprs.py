@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -203,18 +201,18 @@ def blank_to_null(text: Column | str) -> Column:
 
 
 def label_path(text: Column | str) -> Column:
-    """Labels of a JSON list, or of text parted by " / "; anything else is empty."""
+    """Labels of a JSON list, or of a JSON string parted by slashes; anything else is empty."""
     text = col(text)
     listed = F.from_json(text, "array<string>", {"mode": "PERMISSIVE"})
     plain = F.filter(F.transform(F.split(F.regexp_replace(text, '^"|"$', ""), "/"), lambda x: F.trim(x)), lambda x: x != "")
     none = F.array().cast("array<string>")
-    return F.when(F.trim(text).startswith("["), F.coalesce(listed, none)).otherwise(F.coalesce(plain, none))
+    return F.when(F.trim(text).startswith("["), F.coalesce(listed, none)).when(text.rlike('^".*"$'), plain).otherwise(none)
 
 
 def elapsed_ms(text: Column | str) -> Column:
     """Last minus first ``at_ms`` of a JSON list of decisions; missing below two numbers."""
     times = F.filter(
-        F.transform(F.from_json(col(text), "array<struct<at_ms: string>>"), lambda x: F.try_cast(x["at_ms"], "double") if hasattr(F, "try_cast") else x["at_ms"].try_cast("double")),
+        F.transform(F.from_json(col(text), "array<struct<at_ms: string>>"), lambda x: x["at_ms"].try_cast("double")),
         lambda x: x.isNotNull(),
     )
     return F.when(F.size(times) >= 2, F.array_max(times) - F.array_min(times))
@@ -227,14 +225,11 @@ def sentinels(count: Column | str, wanted: int) -> Column:
         return F.array().cast("array<int>")
     every = F.when(n > 0, F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
     if wanted == 1:
-        return F.when(n > 0, F.array(F.lit(0))).otherwise(every)
+        return F.when(n > 1, F.array(F.floor(n / 2).cast("int"))).otherwise(every)
     spaced = F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(wanted - 1)), lambda i: F.bround(i * (n - 1) / F.lit(float(wanted - 1))).cast("int")))
     return F.when(n <= wanted, every).otherwise(spaced)
 
 
-Dial = Callable[[int], None]
-
-
 def in_range(name: str, value: float, low: float, high: float) -> None:
     """Driver-side check of an option's range."""
     if not low <= value <= high:

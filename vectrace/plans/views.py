@@ -130,7 +130,7 @@ cmp AS (SELECT *, """ + ", ".join(
     ) + " FROM met WINDOW w AS (PARTITION BY video, well))",
     "ann": """ann AS (SELECT conv_id * 1000 + turn AS annotation_id, conv_id AS presentation_id, conv_id % 50 AS clip_id, role AS annotator_id, conv_id % 7 AS annotation_session_id,
  't' || (conv_id % 3) AS task_id, 'v1' AS taxonomy_version, length(text) AS len, CASE WHEN turn % 7 = 6 THEN 1 ELSE 0 END AS skipped,
- CASE length(text) % 4 WHEN 0 THEN ['fish', 'quiet'] WHEN 1 THEN ['fish', 'active', 'weak'] WHEN 2 THEN ['artifact'] ELSE ['not json'] END AS labels,
+ CASE length(text) % 4 WHEN 0 THEN ['fish', 'quiet'] WHEN 1 THEN ['fish', 'active', 'weak'] WHEN 2 THEN ['artifact'] ELSE []::VARCHAR[] END AS labels,
  CASE WHEN length(text) % 3 <> 0 THEN length(text) * 2.0::DOUBLE END AS decision_elapsed_ms,
  printf('2026-01-01T00:%02d:%02d', (turn % 60)::INT, (conv_id % 60)::INT) AS created_at FROM conversations)""",
     "src": "src AS (SELECT s_suppkey::VARCHAR AS source_video_id, CASE WHEN s_nationkey % 5 = 0 THEN '' ELSE s_name END AS source_path FROM supplier)",
@@ -149,7 +149,7 @@ def sql(views: str, steps: str, final: str, spec: str) -> str:
     for v in views.split():
         names += [x for x in (*_ON.get(v, ()), v) if x not in names]
     parts = [SQL[n] for n in names] + ([steps] if steps else []) + [f"_final AS ({final})"]
-    kinds = {"l": "{0}::BIGINT AS {0}", "i": "{0}::INTEGER AS {0}", "d": "round({0}::DOUBLE, 6) + 0.0 AS {0}", "s": "{0}::VARCHAR AS {0}", "b": "{0}::BOOLEAN AS {0}"}
+    kinds = {"l": '"{0}"::BIGINT AS "{0}"', "i": '"{0}"::INTEGER AS "{0}"', "d": 'round("{0}"::DOUBLE, 6) + 0.0 AS "{0}"', "s": '"{0}"::VARCHAR AS "{0}"', "b": '"{0}"::BOOLEAN AS "{0}"'}
     cols = ", ".join(kinds[k].format(c) for c, k in columns(spec))
     return "WITH RECURSIVE " + ",\n".join(parts) + f"\nSELECT {cols} FROM _final"
 
