@@ -56,4 +56,5 @@ def stream_runs(spark, d):
     folder = _shared(spark)
     rows.repartition(4, "video", "well").sortWithinPartitions("video", "well", "frame_index").write.parquet(folder)
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    return state.run_to_end(state.runs(stream, ["video", "well"]), _shared(spark), mode="append")
+    found = state.run_to_end(state.runs(stream, ["video", "well"]), _shared(spark), mode="append")
+    return state.longest(found, ["video", "well"])

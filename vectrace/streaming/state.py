@@ -35,41 +35,40 @@ def latest(stream: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def runs(stream: DataFrame, keys: list[str]) -> DataFrame:
-    """Runs of active frames as they close: (keys, first_frame, last_frame, run_frames).
+    """Runs of active frames: (keys, first_frame, last_frame, run_frames).
 
     State is one open run to the key; rows of a key must arrive in frame order from batch to batch.
-    A run still open when a batch ends is kept, and given out once processing time passes it.
+    A run still open when a batch ends is given as it stands and again once it has grown, so of rows
+    with one first_frame the longest holds (``longest``).
     """
     kinds = dict(stream.dtypes)
     names = ", ".join(f"{k} {kinds[k]}" for k in keys)
-    out = f"{names}, first_frame long, last_frame long, run_frames long"
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         first, last, n = state.get if state.exists else (-1, -1, 0)
-        closed = []
-        if state.hasTimedOut:
-            state.remove()
-            closed, n = [(*key, first, last, n)] if n else [], 0
-        else:
-            rows = pd.concat(list(parts)).sort_values("frame_index", kind="stable")
-            for frame, active in zip(rows["frame_index"].tolist(), rows["active"].tolist(), strict=True):
-                if active:
-                    first, last, n = (first, frame, n + 1) if n else (frame, frame, 1)
-                elif n:
-                    closed.append((*key, first, last, n))
-                    n = 0
-            if n:
-                state.update((first, last, n))
-                state.setTimeoutDuration(1)
-            elif state.exists:
-                state.remove()
-        yield pd.DataFrame(closed, columns=[*keys, "first_frame", "last_frame", "run_frames"])
+        out = []
+        rows = pd.concat(list(parts)).sort_values("frame_index", kind="stable")
+        for frame, active in zip(rows["frame_index"].tolist(), rows["active"].tolist(), strict=True):
+            if active:
+                first, last, n = (first, frame, n + 1) if n else (frame, frame, 1)
+            elif n:
+                out.append((*key, first, last, n))
+                n = 0
+        if n:
+            out.append((*key, first, last, n))
+        state.update((first, last, n))
+        yield pd.DataFrame(out, columns=[*keys, "first_frame", "last_frame", "run_frames"])
 
     return stream.groupBy(*keys).applyInPandasWithState(
-        step, out, "first long, last long, n long", "append", GroupStateTimeout.ProcessingTimeTimeout
+        step, f"{names}, first_frame long, last_frame long, run_frames long", "first long, last long, n long", "append", GroupStateTimeout.NoTimeout
     )
 
 
+def longest(found: DataFrame, keys: list[str]) -> DataFrame:
+    """Of the rows that ``runs`` gave for one run, the last."""
+    return found.groupBy(*keys, "first_frame").agg(F.max("last_frame").alias("last_frame"), F.max("run_frames").alias("run_frames"))
+
+
 def change_from_last(stream: DataFrame, keys: list[str], threshold: int = 10) -> DataFrame:
     """Changed pixels of every frame against the one before, whose plane is the state; a new size starts anew."""
     import numpy as np
@@ -98,33 +97,16 @@ def change_from_last(stream: DataFrame, keys: list[str], threshold: int = 10) ->
 def run_to_end(df: DataFrame, folder: str, mode: str = "complete") -> DataFrame:
     """Run a streaming table over all its present input and return its result as a batch table.
 
-    Complete results replace one another in ``folder``; appended ones add up.  Runs left open are
-    given out by further empty batches.
+    Complete results replace one another in ``folder``; appended ones add up, each batch in a folder
+    of its own so that a batch that is run again replaces itself.
     """
     spark, schema = df.sparkSession, df.schema
     out = f"{folder}/out"
-    spark.createDataFrame([], schema).write.parquet(out)
+    spark.createDataFrame([], schema).write.parquet(f"{out}/batch=-1")
 
     def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/batch={0 if mode == 'complete' else number}")
 
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(keep)
-    if mode == "complete":
-        writer.trigger(availableNow=True).start().awaitTermination()
-    else:
-        running = writer.trigger(processingTime="200 milliseconds").start()
-        try:
-            running.processAllAvailable()
-            idle = 0
-            while idle < 5 and running.isActive:
-                before = running.lastProgress["batchId"] if running.lastProgress else -1
-                running.processAllAvailable()
-                import time
-
-                time.sleep(0.5)
-                after = running.lastProgress
-                busy = after and (after["batchId"] != before or any(s["numRowsTotal"] for s in after["stateOperators"]))
-                idle = 0 if busy and any(s["numRowsTotal"] for s in after["stateOperators"]) else idle + 1
-        finally:
-            running.stop()
-    return spark.read.schema(schema).parquet(out)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(schema).parquet(out).select(*schema.names)
