@@ -368,5 +368,5 @@ def _with_grams(df: DataFrame, placed: DataFrame, n: int, id_col: str, text_col:
 
 def keep_one(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` whose id is the least of its component, all columns unchanged; repeated ids once."""
-    first = join(df, n, percent, id_col, text_col).filter(F.col("component_id") == F.col("doc_id")).select(F.col("doc_id").alias("_first")).distinct()
-    return df.join(first, df[id_col] == F.col("_first"), "left_semi").dropDuplicates([id_col])
+    first = join(df, n, percent, id_col, text_col).filter(F.col("component_id") == F.col("doc_id")).select(F.col("doc_id").alias("_vectrace_first")).distinct()
+    return df.join(first, df[id_col] == first["_vectrace_first"], "left_semi").dropDuplicates([id_col])
