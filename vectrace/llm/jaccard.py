@@ -336,14 +336,17 @@ def join(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", t
     )
     members = _with_grams(spark_docs, placed, n, id_col, text_col)
     found = components(checkpoint(_multiplied(members, percent)))
-    rooted = (
-        docs.join(found, docs["class_id"] == found["node"], "left")
-        .select("doc_id", "n_shingles", "class_id", F.coalesce("root", "class_id").alias("group"))
+    # Labels go from group to class to document; each table is written before its join, so that the rows
+    # of a large group or of many copies can be split over tasks.
+    first = named.groupBy("class_id").agg(F.min("doc_id").alias("least"))
+    rooted = checkpoint(
+        first.join(found.withColumnRenamed("node", "class_id"), "class_id", "left").select("class_id", "least", F.coalesce("root", "class_id").alias("group"))
     )
-    least = rooted.filter("n_shingles > 0").groupBy("group").agg(F.min("doc_id").alias("least"))
-    return rooted.join(least, "group", "left").select(
-        "doc_id", "n_shingles", "class_id",
-        F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
+    least = checkpoint(rooted.groupBy("group").agg(F.min("least").alias("component_id")))
+    labels = checkpoint(rooted.join(least, "group").select(F.col("class_id").alias("_class"), "component_id"))
+    mine = (docs["class_id"] == labels["_class"]) & (docs["n_shingles"] > 0) & docs["doc_id"].isNotNull()
+    return docs.join(labels, mine, "left").select(
+        "doc_id", "n_shingles", "class_id", F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
