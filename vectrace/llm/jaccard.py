@@ -36,7 +36,7 @@ SKETCH_BITS = 24
 PAIR_COLUMN = 64
 #: N-grams filed beyond the prefix bound, so that linked documents share at least one more than this.
 EXTRA = 2
-#: A row block holds at most so many n-grams, a document counting as at least MIN_WEIGHT.
+#: A row block holds about so many n-grams, a document counting as at least MIN_WEIGHT.
 BLOCK_GRAMS = 1 << 18
 MIN_WEIGHT = 256
 #: Columns multiplied at once.
@@ -325,14 +325,14 @@ def join(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", t
         groups.join(named, groups["node"] == named["doc_id"])
         .groupBy("root", "class_id").agg(F.min("doc_id").alias("doc"), F.min("n_shingles").alias("n"))
     )
-    whole = Window.partitionBy("root")
-    so_far = whole.orderBy("n", "class_id").rowsBetween(Window.unboundedPreceding, -1)
+    # A group's blocks are hash blocks: their number follows from the group's weight, so nothing but two
+    # sums is gathered per group.
     weight = F.greatest(F.col("n"), F.lit(MIN_WEIGHT))
+    groups = checkpoint(classes.groupBy("root").agg(F.count("*").alias("members"), F.sum(weight).alias("weight")).filter("members > 1"))
+    blocks = F.ceil(F.col("weight") / BLOCK_GRAMS).cast("int")
     placed = checkpoint(
-        classes.withColumn("members", F.count("*").over(whole)).filter("members > 1")
-        .withColumn("block", F.floor(F.coalesce(F.sum(weight).over(so_far), F.lit(0)) / BLOCK_GRAMS).cast("int"))
-        .withColumn("blocks", F.max("block").over(whole) + 1)
-        .select("root", "class_id", "doc", "block", "blocks")
+        classes.join(groups, "root").withColumn("blocks", blocks)
+        .select("root", "class_id", "doc", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int").alias("block"), "blocks")
     )
     members = _with_grams(spark_docs, placed, n, id_col, text_col)
     found = components(checkpoint(_multiplied(members, percent)))
