@@ -260,7 +260,7 @@ def within_metric_pairs(sec: DataFrame, metrics: tuple[str, ...] = ("cd10", "smv
 
 def specificity_distance(pairs: DataFrame, measure: str = "pearson_r") -> DataFrame:
     """One row: medians of the measure for same and different wells, and the distance of their histograms."""
-    hist = stats.histogram(pairs, ["pair_type"], measure)
+    hist = stats.histogram(pairs.withColumn(measure, F.round(measure, STEADY)), ["pair_type"], measure)
     total = F.sum("n").over(Window.partitionBy("pair_type"))
     shares = hist.withColumn("p", ratio("n", total)).groupBy("bin").pivot("pair_type", ["same_well", "different_well"]).agg(F.sum("p"))
     distance = shares.agg(stats.bhattacharyya(F.col("same_well"), F.col("different_well")).alias("bhattacharyya"))

@@ -539,14 +539,15 @@ def within_metric_synchrony(spark, d):
 
 _HIST = _PAIRS + """,
 eg AS (SELECT list_transform(range(41), lambda i: CASE WHEN i = 40 THEN 1.0::DOUBLE ELSE i * 0.05::DOUBLE - 1.0::DOUBLE END) AS e),
-hb AS (SELECT pair_type, (least(len(list_filter(e, lambda v: v <= pearson_r)), 40) - 1)::INT AS bin FROM pq, eg WHERE pearson_r BETWEEN -1 AND 1),
+hb AS (SELECT pair_type, (least(len(list_filter(e, lambda v: v <= round(pearson_r, 12))), 40) - 1)::INT AS bin FROM pq, eg WHERE round(pearson_r, 12) BETWEEN -1 AND 1),
 hs AS (SELECT pair_type, bin::INT AS bin FROM (SELECT DISTINCT pair_type FROM pq), range(40) AS t(bin)),
 hn AS (SELECT pair_type, bin, (SELECT count(*) FROM hb WHERE hb.pair_type = hs.pair_type AND hb.bin = hs.bin) AS n FROM hs)"""
 
 
 @query("corr_histogram", "pair_type:s bin:i n:l", "cmp", _HIST, "SELECT * FROM hn")
 def corr_histogram(spark, d):
-    return stats.histogram(pairs(spark, d), ["pair_type"], "pearson_r")
+    steady = pairs(spark, d).withColumn("pearson_r", F.round("pearson_r", traces.STEADY))
+    return stats.histogram(steady, ["pair_type"], "pearson_r")
 
 
 @query(

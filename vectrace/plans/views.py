@@ -149,7 +149,7 @@ def sql(views: str, steps: str, final: str, spec: str) -> str:
     for v in views.split():
         names += [x for x in (*_ON.get(v, ()), v) if x not in names]
     parts = [SQL[n] for n in names] + ([steps] if steps else []) + [f"_final AS ({final})"]
-    kinds = {"l": '"{0}"::BIGINT AS "{0}"', "i": '"{0}"::INTEGER AS "{0}"', "d": 'round("{0}"::DOUBLE, 6) + 0.0 AS "{0}"', "s": '"{0}"::VARCHAR AS "{0}"', "b": '"{0}"::BOOLEAN AS "{0}"'}
+    kinds = {"l": '"{0}"::BIGINT AS "{0}"', "i": '"{0}"::INTEGER AS "{0}"', "d": 'round(round("{0}"::DOUBLE, 9), 6) + 0.0 AS "{0}"', "s": '"{0}"::VARCHAR AS "{0}"', "b": '"{0}"::BOOLEAN AS "{0}"'}
     cols = ", ".join(kinds[k].format(c) for c, k in columns(spec))
     return "WITH RECURSIVE " + ",\n".join(parts) + f"\nSELECT {cols} FROM _final"
 
@@ -160,9 +160,12 @@ def columns(spec: str) -> list[tuple[str, str]]:
 
 
 def tidy(df: DataFrame, spec: str) -> DataFrame:
-    """The columns of ``spec`` in its types, doubles rounded to six places."""
+    """The columns of ``spec`` in its types, doubles rounded to nine places and then to six.
+
+    The first rounding settles decimal ties that the order of summation leaves open.
+    """
     kinds = {
-        "l": lambda c: c.cast("long"), "i": lambda c: c.cast("int"), "d": lambda c: F.round(c.cast("double"), 6) + F.lit(0.0),
+        "l": lambda c: c.cast("long"), "i": lambda c: c.cast("int"), "d": lambda c: F.round(F.round(c.cast("double"), 9), 6) + F.lit(0.0),
         "s": lambda c: c.cast("string"), "b": lambda c: c.cast("boolean"),
     }
     return df.select(*[kinds[k](F.col(c)).alias(c) for c, k in columns(spec)])

@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {"long": T.LongType(), "int": T.IntegerType(), "short": T.ShortType(), "double": T.DoubleType(), "string": T.StringType()}
+
+
 def _struct(text: str) -> T.StructType:
     """A schema from "name type" pairs."""
-    return T.StructType.fromDDL(", ".join(x.strip() for x in text.strip().split(",")))
+    pairs = [x.split() for x in text.strip().split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 #: Fixed format: vector rows, 18 columns in file order.
@@ -36,13 +40,13 @@ SOURCE_CATALOG = (
 ROI_SIMPLE = (
     "source_video_id", "well_label", "well_index", "roi_x0", "roi_y0", "roi_x1", "roi_y1", "roi_width", "roi_height",
 )
-METADATA = T.StructType.fromDDL(
-    "schema_name string, schema_version string, "
-    "input struct<path: string, sha256: string, width: int, height: int, nominal_fps: string, time_base: string>, "
-    "frame_summary_encoding struct<format: string, float_precision: int>, "
-    "vector_sampling struct<mode: string, source: string, frame_stride: int, spatial_stride: int, min_magnitude: double>, "
-    "outputs map<string, string>"
-)
+METADATA = T.StructType([
+    *_struct("schema_name string, schema_version string"),
+    T.StructField("input", _struct("path string, sha256 string, width int, height int, nominal_fps string, time_base string")),
+    T.StructField("frame_summary_encoding", _struct("format string, float_precision int")),
+    T.StructField("vector_sampling", _struct("mode string, source string, frame_stride int, spatial_stride int, min_magnitude double")),
+    T.StructField("outputs", T.MapType(T.StringType(), T.StringType())),
+])
 
 
 class SchemaError(ValueError):

@@ -19,7 +19,8 @@ _HEADER = struct.Struct("<8s6I")
 def significant(column: str, digits: int = 6):
     """A double as text with so many significant digits, as C's %g writes it; null is empty.
 
-    Java's %g neither drops zeros nor switches notation where C does, so both are done here.
+    Java's %g neither drops zeros nor switches notation where C does, so both are done here.  A tie in
+    the shortest decimal form rounds up, where C looks at the binary value.
     """
     in_range("digits", digits, 1, 17)
     x = F.col(column).cast("double")
@@ -52,14 +53,13 @@ def binary_streams(df: DataFrame, kind: str, keys: list[str]) -> DataFrame:
     A key is one file of the format, built in one task; its rows pass through Arrow batch by batch.
     """
     magic, code, schema = schemas.BINARY[kind]
-    pack = struct.Struct(code)
-    head = _HEADER.pack(magic, 1, 0x01020304, _HEADER.size, pack.size, len(schema), 0)
+    head = _HEADER.pack(magic, 1, 0x01020304, _HEADER.size, struct.calcsize(code), len(schema), 0)
     whole = {f.name for f in schema if f.dataType.simpleString() != "double"}
 
     def build(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         order = [c for c in ("frame_index", "vector_index") if c in part.columns]
         rows = part.sort_values(order, kind="stable")[schema.names]
-        body = [head]
+        body, pack = [head], struct.Struct(code)
         for row in rows.itertuples(index=False):
             cells = []
             for name, value in zip(schema.names, row, strict=True):
