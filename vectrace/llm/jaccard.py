@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vectrace.llm.common import checkpoint, components, slices, texts
@@ -215,7 +215,7 @@ def _levels(sketches: DataFrame) -> np.ndarray:
 
 
 def _filed(df: DataFrame, n: int, percent: int, levels: np.ndarray, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n, gram): what each document files, for one row of each class in a slice."""
+    """(doc_id, n, grams): what each document files, for one row of each class in a slice."""
     shared = df.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,18 +235,22 @@ def _filed(df: DataFrame, n: int, percent: int, levels: np.ndarray, id_col: str,
             )
             yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keep, pa.int64())), pa.array(sizes, pa.int64()), lists], ["doc_id", "n", "grams"])
 
-    lists = df.select(id_col, text_col).mapInArrow(run, f"doc_id {dict(df.dtypes)[id_col]}, n long, grams array<long>")
-    return lists.select("doc_id", "n", F.explode("grams").alias("gram"))
+    return df.select(id_col, text_col).mapInArrow(run, f"doc_id {dict(df.dtypes)[id_col]}, n long, grams array<long>")
 
 
 def _unfiled(n: Column, percent: int) -> Column:
     return n - F.least(n, n - F.ceil(n * percent / F.lit(100)) + 1 + EXTRA)
 
 
-def _candidates(filed: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) that connect every linked pair of different sets, by steps 2 and 3 of the method."""
-    column = Window.partitionBy("gram")
-    shared = checkpoint(filed.withColumn("c", F.count("*").over(column)).filter("c > 1"))
+def _candidates(lists: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) that connect every linked pair of different sets, by steps 2 and 3 of the method.
+
+    Column lengths are counted map-side first and written before they are joined back, so that a
+    column of a third of all documents is split over tasks.
+    """
+    filed = checkpoint(lists).select("doc_id", "n", F.explode("grams").alias("gram"))
+    lengths = checkpoint(filed.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1"))
+    shared = checkpoint(filed.join(lengths, "gram"))
     short = shared.filter(F.col("c") <= PAIR_COLUMN)
     long = shared.filter(F.col("c") > PAIR_COLUMN)
     hidden = long.groupBy("doc_id", "n").agg(F.count("*").alias("s"))
@@ -267,7 +271,7 @@ def _candidates(filed: DataFrame, percent: int) -> DataFrame:
     )
     found = pairs.filter(most >= need).select("a", "b")
     deep = long.join(hidden.filter(F.col("s") > EXTRA).select("doc_id", "n"), ["doc_id", "n"], "left_semi")
-    hubs = deep.groupBy("gram").agg(F.min("doc_id").alias("hub"))
+    hubs = checkpoint(deep.groupBy("gram").agg(F.min("doc_id").alias("hub")))
     stars = deep.join(hubs, "gram").filter("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
     return found.unionByName(stars).distinct()
 
