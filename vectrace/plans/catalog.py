@@ -11,7 +11,7 @@ from vectrace.functions import stats
 from vectrace.functions.exprs import CANDIDATES, SCREENED, in_source
 from vectrace.operators import features, runs, traces, vectors
 from vectrace.plans import views
-from vectrace.plans.views import columns, sql, tidy
+from vectrace.plans.views import sql, tidy
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
