@@ -122,6 +122,18 @@ def test_keep_one_keeps_rows_and_clashing_columns(spark):
     assert sorted(tuple(r)[0::2] for r in out.collect()) == [(2, "c"), (3, "b"), (9, "d")]
 
 
+def test_keep_one_decides_each_text_and_keeps_null_ids(spark):
+    copy, clean, other = (" ".join(f"{x}{i}" for i in range(50)) for x in "cnk")
+    rows = [
+        (None, clean + " z"), (None, "no id"), (None, None),
+        (3, copy), (5, copy + " z"), (5, clean), (5, clean.upper()),  # one text of id 5 is a near copy, the other is not
+        (6, other), (6, other + " z"), (7, "seven one"), (7, "seven two"), (8, None), (8, ""),
+    ]
+    out = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    left = sorted((r.doc_id or 0, (r.text or "").lower().removesuffix(" z")) for r in out)
+    assert left == [(0, ""), (0, clean), (0, "no id"), (3, copy), (5, clean), (6, other), (7, "seven one"), (7, "seven two"), (8, "")]
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, k) for k in range(2, 40)] + [(70, 70)] + [(300, 299), (299, 300)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

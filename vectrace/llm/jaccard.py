@@ -166,7 +166,10 @@ def links(sets: list[np.ndarray], percent: int, split: int | None = None) -> np.
 
 
 def _documents(df: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n_shingles, class_id) per row, and this task's sketch as rows (slice, cells)."""
+    """(doc_id, n_shingles, class_id, mark) per row, and this task's sketch as rows (slice, cells).
+
+    ``mark`` is a hash of the text, by which rows are found again without their n-grams.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << SKETCH_BITS, dtype=np.uint16)
@@ -180,19 +183,19 @@ def _documents(df: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
             np.add.at(cells, np.concatenate(list(seen.values())) >> np.uint64(64 - SKETCH_BITS), 1)
             none = [None] * len(sets)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.array(none, pa.int32()), pa.array(none, pa.binary())],
-                ["doc_id", "n_shingles", "class_id", "slice", "cells"],
+                [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), part.column(2), pa.array(none, pa.int32()), pa.array(none, pa.binary())],
+                ["doc_id", "n_shingles", "class_id", "mark", "slice", "cells"],
             )
         if kind is not None:
             packed = [zlib.compress(c.tobytes(), 1) for c in cells.reshape(-1, 1 << 16)]
             none = [None] * len(packed)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(none, kind), pa.array(none, pa.int64()), pa.array(none, pa.int64()), pa.array(range(len(packed)), pa.int32()), pa.array(packed, pa.binary())],
-                ["doc_id", "n_shingles", "class_id", "slice", "cells"],
+                [pa.array(none, kind), *[pa.array(none, pa.int64())] * 3, pa.array(range(len(packed)), pa.int32()), pa.array(packed, pa.binary())],
+                ["doc_id", "n_shingles", "class_id", "mark", "slice", "cells"],
             )
 
-    schema = f"doc_id {dict(df.dtypes)[id_col]}, n_shingles long, class_id long, slice int, cells binary"
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    schema = f"doc_id {dict(df.dtypes)[id_col]}, n_shingles long, class_id long, mark long, slice int, cells binary"
+    return df.select(id_col, text_col, F.xxhash64(text_col)).mapInArrow(run, schema)
 
 
 def _levels(sketches: DataFrame) -> np.ndarray:
@@ -245,6 +248,8 @@ def _unfiled(n: Column, percent: int) -> Column:
 def _candidates(lists: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) that connect every linked pair of different sets, by steps 2 and 3 of the method.
 
+    An edge from an id to itself stands for several texts under that id.
+
     Column lengths are counted map-side first and written before they are joined back, so that a
     column of a third of all documents is split over tasks.
     """
@@ -259,7 +264,7 @@ def _candidates(lists: DataFrame, percent: int) -> DataFrame:
         F.filter(F.slice("d", i + 2, PAIR_COLUMN), lambda y: percent * F.greatest(x["n"], y["n"]) <= 100 * F.least(x["n"], y["n"])),
         lambda y: F.struct(x["doc_id"].alias("a"), x["n"].alias("n"), y["doc_id"].alias("b"), y["n"].alias("m")),
     )))).alias("p")).select("p.*")
-    pairs = both.filter("a <> b").groupBy("a", "n", "b", "m").agg(F.count("*").alias("common"))
+    pairs = both.groupBy("a", "n", "b", "m").agg(F.count("*").alias("common"))
     side = lambda key, size, name: hidden.select(F.col("doc_id").alias(key), F.col("n").alias(size), F.col("s").alias(name))
     pairs = pairs.join(side("a", "n", "s"), ["a", "n"], "left").join(side("b", "m", "r"), ["b", "m"], "left")
     need = F.greatest(
@@ -272,7 +277,7 @@ def _candidates(lists: DataFrame, percent: int) -> DataFrame:
     found = pairs.filter(most >= need).select("a", "b")
     deep = long.join(hidden.filter(F.col("s") > EXTRA).select("doc_id", "n"), ["doc_id", "n"], "left_semi")
     hubs = checkpoint(deep.groupBy("gram").agg(F.min("doc_id").alias("hub")))
-    stars = deep.join(hubs, "gram").filter("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+    stars = deep.join(hubs, "gram").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
     return found.unionByName(stars).distinct()
 
 
@@ -319,9 +324,18 @@ def join(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", t
     link with nothing, not even one another.  Rows with a null id keep a null component but are not
     joined through.  Rows that repeat are one document; texts under one id are joined each by itself.
     """
+    return _labelled(df, n, percent, id_col, text_col).select("doc_id", "n_shingles", "class_id", "component_id")
+
+
+def _labelled(df: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``join`` with their text's mark and ``leads``: whether the row's set stands for its component.
+
+    A component's leading set is the least class of those under its least id; ``leads`` is null where
+    nothing was joined.
+    """
     spark_docs = df.select(id_col, text_col)
     made = checkpoint(_documents(spark_docs, n, id_col, text_col))
-    docs = made.filter(F.col("slice").isNull()).select("doc_id", "n_shingles", "class_id")
+    docs = made.filter(F.col("slice").isNull()).select("doc_id", "n_shingles", "class_id", "mark")
     levels = _levels(made.filter(F.col("slice").isNotNull()).select("slice", "cells"))
     groups = components(checkpoint(_candidates(_filed(spark_docs, n, percent, levels, id_col, text_col), percent)))
     named = docs.filter("n_shingles > 0")
@@ -346,11 +360,13 @@ def join(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", t
     rooted = checkpoint(
         first.join(found.withColumnRenamed("node", "class_id"), "class_id", "left").select("class_id", "least", F.coalesce("root", "class_id").alias("group"))
     )
-    least = checkpoint(rooted.groupBy("group").agg(F.min("least").alias("component_id")))
-    labels = checkpoint(rooted.join(least, "group").select(F.col("class_id").alias("_class"), "component_id"))
+    least = checkpoint(rooted.groupBy("group").agg(F.min(F.struct("least", "class_id")).alias("lead")))
+    labels = checkpoint(rooted.join(least, "group").select(
+        F.col("class_id").alias("_class"), F.col("lead.least").alias("component_id"), (F.col("class_id") == F.col("lead.class_id")).alias("leads")
+    ))
     mine = (docs["class_id"] == labels["_class"]) & (docs["n_shingles"] > 0) & docs["doc_id"].isNotNull()
     return docs.join(labels, mine, "left").select(
-        "doc_id", "n_shingles", "class_id", F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "n_shingles", "class_id", F.coalesce("component_id", "doc_id").alias("component_id"), "mark", "leads"
     )
 
 
@@ -374,6 +390,18 @@ def _with_grams(df: DataFrame, placed: DataFrame, n: int, id_col: str, text_col:
 
 
 def keep_one(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` whose id is the least of its component, all columns unchanged; repeated ids once."""
-    first = join(df, n, percent, id_col, text_col).filter(F.col("component_id") == F.col("doc_id")).select(F.col("doc_id").alias("_vectrace_first")).distinct()
-    return df.join(first, df[id_col] == first["_vectrace_first"], "left_semi").dropDuplicates([id_col])
+    """One row of each component, of its least id, all columns unchanged.
+
+    Each text is decided by itself: under an id that repeats, a clean text stays where another one is a
+    near copy.  Rows equal in id and n-gram set are kept once; rows with a null id are joined with
+    nothing, so all of them stay.
+    """
+    found = _labelled(df, n, percent, id_col, text_col)
+    first = (
+        found.filter(F.coalesce("leads", F.lit(True)) & (F.col("component_id") == F.col("doc_id")))
+        .groupBy(F.col("doc_id").alias("_vectrace_first"), "class_id").agg(F.min("mark").alias("_vectrace_text"))
+    )
+    marked = df.withColumn("_vectrace_mark", F.xxhash64(text_col))
+    same = (marked[id_col] == first["_vectrace_first"]) & (marked["_vectrace_mark"] == first["_vectrace_text"])
+    kept = marked.join(first, same, "left_semi").dropDuplicates([id_col, "_vectrace_mark"]).drop("_vectrace_mark")
+    return kept.unionByName(df.filter(F.col(id_col).isNull()))
