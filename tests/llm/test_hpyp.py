@@ -91,3 +91,24 @@ def test_edges(spark):
     assert sorted((r.doc_id or 0, r.n_tokens, r.held_out) for r in twice) == [(0, 2, False), (1, 3, False), (1, 3, False)]
     report = hpyp.perplexity(hpyp.score(spark.createDataFrame([(d, "a b c") for d in range(20)], schema))).collect()
     assert {r.held_out for r in report} == {True, False}
+
+
+def test_restaurants_of_all_contexts_sum_to_one():
+    rng = np.random.default_rng(2)
+    room, count = np.repeat(np.arange(50), 6), rng.integers(1, 9, 300)
+    alone = rng.integers(0, 4, 50).astype(float)
+    direct, back_off, tables = hpyp.restaurants(room, count, np.full(300, 0.01), alone, 0.6, rng)
+    once = alone * (1 - 0.6) / (hpyp.CONCENTRATION + np.bincount(room, count, 50) + alone)
+    assert np.allclose(np.bincount(room, direct, 50) + once + back_off, 1)
+    assert ((tables >= 1) & (tables <= count)).all()
+
+
+def test_rare_contexts_have_restaurants_of_their_own(spark):
+    # 6,000 contexts of three tokens each, every one followed by its own word: far below 1/4096 of the tokens.
+    rows = [(d, f"a{d % 6000} b{d % 6000}") for d in range(24_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = hpyp.score(df).filter("held_out").collect()
+    seen = Counter(d % 6000 for d, _ in rows if zlib.crc32(str(d).encode()) % 5 != 1)
+    trained = [r for r in got if seen[r.doc_id % 6000] >= 2]
+    # The first word costs about 1/6000; the second and the end follow from what is before them.
+    assert len(trained) > 1000 and sum(r.score for r in trained) / len(trained) > -5.5

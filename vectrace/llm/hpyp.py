@@ -1,18 +1,20 @@
 """Language-model scoring with a hierarchical Pitman-Yor model of words.
 
-Tokens are words (A-Z lower-cased) and one end per text.  The root restaurant seats every training
-token's word; the restaurant of a frequent preceding word (or of the text's start) seats the words
-that follow it, and each of its tables is a customer of the root, whose own base is uniform over the
-known words and one unknown.  A pair seen too seldom to keep is seated one customer to a table, so
-its mass goes to the root.
-
-What the sampler needs is bounded by shares of the corpus, never by its size: words of at least
-``1/WORD_SHARE`` of all tokens, contexts of ``1/CONTEXT_SHARE``, pairs of ``1/PAIR_SHARE``, and of
-the rarer words the number of words of each count.  Those go to the driver, where Gibbs sweeps
-unseat every dish in turn and seat its customers again, one block of the Chinese restaurant process
-after another, with a Metropolis test against the weights passed over.  Predictive probabilities are
-averaged over the kept samples.  Counts cover every training token; rare tokens of the scored texts
-meet their counts in a shuffle join, so nothing is dropped.
+Tokens are words (A-Z lower-cased) and one end per text.  Every preceding word, and the text's start,
+has a restaurant that seats the words following it; each of its tables is a customer of the root,
+whose own base is uniform over the known words and one unknown.
+
+1. *Counts.*  All pairs of context and word with their counts, as a table dealt by context.
+2. *Sampling.*  A round seats the root from the tables that the restaurants sent up, joins each word's
+   root probability to its pairs, and sweeps over the restaurants, whole ones in a task; table counts
+   summed by word go up to the next root.  The first root takes one table a pair.  Within a round the
+   root stands still, so a round is an approximate Gibbs step.
+3. *Scores.*  A token costs its word's root probability times its context's back-off, times what the
+   pair's own share adds.  In logarithms these are sums, so each part is joined by itself.
+
+Nothing is left out by size.  ``WORD_SHARE`` and ``PAIR_SHARE`` only decide which values are broadcast
+and which are joined by shuffle.  The root's words are seated by classes of equal customer counts.
+Blocks of customers are seated at once with a Metropolis test against the weights passed over.
 """
 
 from __future__ import annotations
@@ -22,13 +24,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectrace.llm.common import checkpoint, slices, texts
+from vectrace.llm.common import checkpoint, shared_folder, slices, texts
+from vectrace.llm.jaccard import _mix
 
+#: Words and pairs of at least such a share of all tokens are valued from a broadcast; CONTEXT_SHARE is no longer read.
 WORD_SHARE, CONTEXT_SHARE, PAIR_SHARE = 1 << 20, 1 << 12, 1 << 20
 BURN_IN, SAMPLES = 8, 4
+#: Seatings of the root; after each, all restaurants are swept BURN_IN + SAMPLES times.
+ROUNDS = 2
+#: Pairs swept at once, a whole context at least; runs of contexts and of keys taken one after the other, so that less lies on disk.
+BLOCK_PAIRS, RUNS = 1 << 18, 6
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 CONCENTRATION = 1.0
 #: Replicas that stand for all rare words of one count in the root.
 REPLICAS = 16
@@ -38,6 +47,8 @@ EXACT_COUNTS = 4096
 CACHED_WORDS, FLUSH_TOKENS = 400_000, 1 << 21
 #: Codes of the end token and of all words are 63-bit hashes; the end's is fixed.
 END = 1
+#: The context of a text's first token; no word has this code.
+START = 0
 _RARE = np.uint64(1 << 63)
 
 
@@ -85,27 +96,43 @@ def _coded(batch: list[str], codes: _Codes) -> tuple[np.ndarray, np.ndarray]:
     return flat, starts
 
 
-def _counted(df: DataFrame, text_col: str, make) -> DataFrame:
-    """Sum of (key, count) over the keys that ``make`` gives for each run of texts, combined before the shuffle."""
+def _pair_keys(before: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """64-bit names of the pairs of context and word."""
+    return _mix(_mix(before + np.uint64(0x9E3779B97F4A7C15)) ^ flat)
+
+
+def _before(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The code before each token, START at the start of a text."""
+    before = np.concatenate((np.zeros(1, dtype=np.uint64), flat[:-1]))
+    before[starts] = START
+    return before
+
+
+def _pairs(train: DataFrame, text_col: str) -> DataFrame:
+    """(context, word, n) over all tokens, dealt and sorted by context, combined before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys_of = make()
+        codes = _Codes(np.empty(0, dtype=np.uint64))
         held, size = [], 0
 
         def flushed() -> pa.RecordBatch:
-            keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64), pa.int64()), pa.array(counts, pa.int64())], ["key", "n"])
+            before, flat = (np.concatenate(x) for x in zip(*held, strict=True))
+            _, at, counts = np.unique(_pair_keys(before, flat), return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (before[at], flat[at], counts)], ["context", "word", "n"])
 
         for part in slices(batches):
-            held.append(keys_of(texts(part.column(0))))
-            size += len(held[-1])
+            flat, starts = _coded(texts(part.column(0)), codes)
+            flat &= ~_RARE
+            held.append((_before(flat, starts), flat))
+            size += len(flat)
             if size >= FLUSH_TOKENS:
                 yield flushed()
                 held, size = [], 0
         if size:
             yield flushed()
 
-    return df.select(text_col).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    found = train.select(text_col).mapInArrow(run, "context long, word long, n long").repartition("context")
+    return found.groupBy("context", "word").agg(F.sum("n").alias("n")).sortWithinPartitions("context", "word")
 
 
 @dataclass
@@ -219,56 +246,103 @@ def sample(counts: Counts, seed: int = 11) -> Model:
     return Model(counts, *(np.stack(x, axis=-1) for x in zip(*keep, strict=True)))
 
 
-def count(df: DataFrame, id_col: str, text_col: str) -> tuple[Counts, DataFrame]:
-    """The training counts, and the table (key, n) of all training words."""
-    train = df.filter(~held_out(F.col(id_col)))
-    none = np.empty(0, dtype=np.uint64)
+def restaurants(
+    room: np.ndarray, count: np.ndarray, root: np.ndarray, alone: np.ndarray, discount: float, rng: np.random.Generator
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sweeps over whole restaurants given the root: own share of each pair, back-off of each room, last tables.
 
-    def all_words():
-        codes = _Codes(none)
-        return lambda batch: _coded(batch, codes)[0] & ~_RARE
+    ``alone`` is the number of further words seen once in each room.  Shares are averaged over the kept
+    samples; those of a room and its back-off sum to one.
+    """
+    rooms, theta = len(alone), CONCENTRATION
+    seated = theta + np.bincount(room, count, rooms) + alone
+    many = count > 1
+    at, customers, below = room[many], count[many], _Dishes(int(many.sum()))
+    fixed = alone + np.bincount(room[~many], minlength=rooms)
+    total = fixed + np.bincount(at, minlength=rooms)
+    sums, totals = np.zeros(len(at)), np.zeros(rooms)
+    for turn in range(BURN_IN + SAMPLES):
+        below.sweep(customers, (theta + discount * total[at]) * root[many], discount, rng)
+        total = fixed + np.bincount(at, below.tables, rooms)
+        if turn >= BURN_IN:
+            sums += below.tables / SAMPLES
+            totals += total / SAMPLES
+    mean, last = np.ones(len(count)), np.ones(len(count))
+    mean[many], last[many] = sums, below.tables
+    return (count - discount * mean) / seated[room], (theta + discount * totals) / seated, last
 
-    words = checkpoint(_counted(train, text_col, all_words))
-    total = words.agg(F.sum("n").alias("n"), F.count("*").alias("v"), F.max(F.when(F.col("key") == END, F.col("n"))).alias("d")).first()
-    tokens, types, ends = int(total["n"] or 0), int(total["v"]), int(total["d"] or 0)
-    often = words.filter(F.col("n") * WORD_SHARE >= tokens).toPandas().sort_values("key")  # at most WORD_SHARE rows
-    word, number = often["key"].to_numpy().astype(np.uint64), often["n"].to_numpy().astype(np.int64)
-    opens = (number * CONTEXT_SHARE >= tokens) & (word != END)
-    context = np.where(opens, np.cumsum(opens) - 1, -1).astype(np.int64)
-    start = int(opens.sum())
 
-    def pairs():
-        codes = _Codes(word)
+def _swept(pairs: DataFrame, discount: float, seed: int) -> DataFrame:
+    """Restaurants of (context, word, n, root), all rows of a context in one task; word null: n words seen once.
 
-        def keys(batch: list[str]) -> np.ndarray:
-            flat, starts = _coded(batch, codes)
-            before = _contexts(flat, starts, context, start)
-            both = (before >= 0) & (flat < _RARE)
-            return (before[both].astype(np.uint64) << np.uint64(20)) | flat[both]
+    Rows (context, key, word, n, tables, value): of a pair the log10 of what its own share adds to the
+    back-off's chance; of a context, where key is null, the log10 of its back-off.
+    """
 
-        return keys
+    def block(context: np.ndarray, word: np.ndarray, n: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
+        own = word != 0
+        names, room = np.unique(context, return_inverse=True)
+        alone = np.bincount(room[~own], n[~own], len(names))
+        room, n, root, word = room[own], n[own], root[own], word[own]
+        rng = np.random.default_rng([seed, int(names[0]), len(context)])
+        direct, back_off, tables = restaurants(room, n, root, alone, discount, rng)
+        value = np.log10(1 + direct / (back_off[room] * root))
+        keys = _pair_keys(names[room].astype(np.uint64), word.astype(np.uint64)).astype(np.int64)
+        none = len(names)
+        missing = lambda x, kind: pa.concat_arrays([pa.array(x, kind), pa.nulls(none, kind)])
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.concat_arrays([pa.nulls(len(n), pa.int64()), pa.array(names)]), missing(keys, pa.int64()), missing(word, pa.int64()),
+                missing(n, pa.int64()), missing(tables.astype(np.int64), pa.int64()), pa.array(np.concatenate((value, np.log10(back_off)))),
+            ],
+            ["context", "key", "word", "n", "tables", "value"],
+        )
 
-    found = _counted(train, text_col, pairs).filter(F.col("n") * PAIR_SHARE >= tokens)
-    kept = found.toPandas().sort_values("key")  # at most PAIR_SHARE rows
-    rare = (
-        words.filter(F.col("n") * WORD_SHARE < tokens)
-        .groupBy(count_class(F.col("n")).alias("c")).agg(F.count("*").alias("k")).collect()
-    )
-    counts = Counts(
-        tokens, types, ends, word, number, context, kept["key"].to_numpy().astype(np.int64),
-        kept["n"].to_numpy().astype(np.int64), sorted((int(r["c"]), int(r["k"])) for r in rare),
-    )
-    return counts, words
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            cols = [batch.column(0), batch.column(1).fill_null(0), batch.column(2), batch.column(3).fill_null(1.0)]
+            held.append([c.to_numpy(zero_copy_only=False) for c in cols])
+            size += batch.num_rows
+            if size >= BLOCK_PAIRS and held[0][0][0] != held[-1][0][-1]:
+                context, *rest = (np.concatenate(x) for x in zip(*held, strict=True))
+                cut = int(np.searchsorted(context, context[-1]))
+                yield block(context[:cut], *(x[:cut] for x in rest))
+                held, size = [[context[cut:], *(x[cut:] for x in rest)]], len(context) - cut
+        if size:
+            yield block(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
+    dealt = pairs.repartition("context").sortWithinPartitions("context", "word").select("context", "word", "n", "root")
+    return dealt.mapInArrow(run, "context long, key long, word long, n long, tables long, value double")
+
+
+def _written(df: DataFrame, folder: str) -> DataFrame:
+    """``df`` added as Parquet to a shared folder; the shuffle files behind it are given back at once."""
+    spark = df.sparkSession
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.mode("append").parquet(folder)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.parquet(folder)
 
-def _contexts(flat: np.ndarray, starts: np.ndarray, context: np.ndarray, start: int) -> np.ndarray:
-    """The restaurant each token is drawn from: its predecessor's, the start's, or -1 for the root."""
-    own = np.full(len(flat), -1, dtype=np.int64)
-    often = flat < _RARE
-    own[often] = context[flat[often].astype(np.int64)]
-    before = np.concatenate(([-1], own[:-1]))
-    before[starts] = start
-    return before
+
+def _deleted(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _rooted(words: DataFrame, tokens: int, types: int, seed: int) -> tuple[DataFrame, float]:
+    """``words`` with the column root from their customers, and the unknown word's root probability."""
+    classed = words.withColumn("class", count_class(F.col("customers")))
+    seen = classed.groupBy("class").agg(F.count("*").alias("k")).collect()  # bounded by count_class
+    rare = sorted((int(r["class"]), int(r["k"])) for r in seen)
+    none = np.empty(0, dtype=np.int64)
+    model = sample(Counts(tokens, types, 0, none.astype(np.uint64), none, none, none, none, rare), seed)
+    roots = [(c, float(p)) for (c, _), p in zip(rare, model.rare_root.mean(axis=1), strict=True)] if rare else []
+    by_class = words.sparkSession.createDataFrame(roots, "class long, root double")
+    return classed.join(F.broadcast(by_class), "class").drop("class"), float(model.unknown.mean())
 
 
 def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -278,84 +352,107 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     model.  Null texts are empty: their end alone is scored.  Rows that repeat are scored each.  No
     training rows at all leave every token unknown.  ``df`` must read the same when read again.
     """
-    counts, words = count(df, id_col, text_col)
-    model = sample(counts)
-    tokens, types = counts.tokens, counts.types
-    shared = df.sparkSession.sparkContext.broadcast((
-        counts.word, counts.context, counts.pair, model.root.astype(np.float32), model.back_off.astype(np.float32),
-        model.direct.astype(np.float32), np.log10((counts.count + 0.5) / (tokens + 0.5 * (types + 1))),
-    ))  # bounded by the three shares: at most 60 MB
-    start = counts.contexts - 1
+    spark = df.sparkSession
+    counted, valued = shared_folder(spark, "hpyp-pairs"), shared_folder(spark, "hpyp-values")
+    pairs = _written(_pairs(df.filter(~held_out(F.col(id_col))), text_col), counted)
+    once = F.count(F.when(F.col("n") == 1, 1))
+    words = checkpoint(pairs.groupBy("word").agg(F.sum("n").alias("count"), F.count("*").alias("customers"), once.alias("once")))
+    total = words.agg(F.sum("count").alias("n"), F.count("*").alias("v"), F.sum("once").alias("once")).first()
+    tokens, types, ones = int(total["n"] or 0), int(total["v"]), int(total["once"] or 0)
+    twos = pairs.filter("n = 2").count()
+    discount = float(np.clip(ones / max(1, ones + 2 * twos), 0.2, 0.9))
+    for turn in range(ROUNDS - 1):
+        rooted, _ = _rooted(words, tokens, types, turn)
+        many = pairs.filter("n > 1").join(rooted.select("word", "root"), "word").select("context", "word", "n", "root")
+        alone = pairs.filter("n = 1").groupBy("context").agg(F.count("*").alias("n"))
+        alone = alone.select("context", F.lit(None).cast("long").alias("word"), "n", F.lit(None).cast("double").alias("root"))
+        sent = _swept(many.unionByName(alone), discount, turn).filter(F.col("key").isNotNull()).groupBy("word").agg(F.sum("tables").alias("sent"))
+        words = checkpoint(words.join(sent, "word", "left").select("word", "count", (F.col("once") + F.coalesce("sent", F.lit(0))).alias("customers"), "once"))
+    rooted, unknown = _rooted(words, tokens, types, ROUNDS - 1)
+    rooted = checkpoint(rooted)
+    for turn in range(RUNS):
+        some = pairs.filter(F.pmod(F.xxhash64("context"), F.lit(RUNS)) == turn)
+        swept = _swept(some.join(rooted.select("word", "root"), "word"), discount, ROUNDS - 1)
+        values = _written(swept.select("context", "key", "n", F.col("value").cast("float").alias("value")), valued)
+    _deleted(spark, counted)
+    rooms = values.filter(F.col("key").isNull()).select(F.col("context").alias("word"), F.col("value").alias("back_off"))
+    first = rooms.filter(F.col("word") == START).first()
+    plain = F.log10((F.col("count") + 0.5) / (tokens + 0.5 * (types + 1)))
+    priced = checkpoint(rooted.join(rooms, "word", "left").select(
+        F.col("word").alias("key"), "count", plain.alias("base"), (F.log10("root") + F.coalesce("back_off", F.lit(0.0))).alias("value")
+    ))
+    return _scored(df, id_col, text_col, priced, values.filter(F.col("key").isNotNull()), tokens, types, unknown, first["back_off"] if first else 0.0)
+
+
+def _scored(
+    df: DataFrame, id_col: str, text_col: str, words: DataFrame, pairs: DataFrame, tokens: int, types: int, unknown: float, first: float
+) -> DataFrame:
+    """The texts' sums over words (key, count, base, value) and pairs (key, n, value)."""
+    spark = df.sparkSession
+    often = words.filter(F.col("count") * WORD_SHARE >= tokens).toPandas().sort_values("key")  # at most WORD_SHARE rows
+    common = pairs.filter(F.col("n") * PAIR_SHARE >= tokens).select("key", "value").toPandas()  # at most PAIR_SHARE rows
+    order = np.argsort(common["key"].to_numpy().astype(np.int64).view(np.uint64))
+    shared = spark.sparkContext.broadcast((
+        often["key"].to_numpy().astype(np.uint64), often["base"].to_numpy(dtype=float), often["value"].to_numpy(dtype=float),
+        common["key"].to_numpy().astype(np.int64).view(np.uint64)[order], common["value"].to_numpy(dtype=np.float32)[order],
+    ))  # at most 36 MB
+    plain, chance = float(np.log10(0.5 / (tokens + 0.5 * (types + 1)))), float(np.log10(unknown))
+    known, worth = F.lit(1).alias("n_known"), (F.col("value") - chance).alias("score")
+    table = (
+        words.filter(F.col("count") * WORD_SHARE < tokens).select("key", known, (F.col("base") - plain).alias("base_score"), worth)
+        .unionByName(pairs.filter(F.col("n") * PAIR_SHARE < tokens).select("key", F.lit(0).alias("n_known"), F.lit(0.0).alias("base_score"), F.col("value").cast("double").alias("score")))
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word, context, pair, root, back_off, direct, base = shared.value
+        word, base, value, pair, share = shared.value
         codes = _Codes(word)
         for part in slices(batches):
             flat, starts = _coded(texts(part.column(3)), codes)
-            before = _contexts(flat, starts, context, start)
-            often = flat < _RARE
-            at, room = flat[often].astype(np.int64), before[often]
-            chance = root[at].astype(np.float64)
-            inside = np.flatnonzero(room >= 0)
-            chance[inside] *= back_off[room[inside]]
-            key = room[inside] << 20 | at[inside]
-            place = np.searchsorted(pair, key)
+            frequent = flat < _RARE
+            at = flat[frequent].astype(np.int64)
+            sums, bases = np.full(len(flat), chance), np.full(len(flat), plain)
+            sums[frequent], bases[frequent] = value[at], base[at]
+            flat &= ~_RARE
+            flat[frequent] = word[at]
+            keys = _pair_keys(_before(flat, starts), flat)
+            place = np.searchsorted(pair, keys)
             hit = np.flatnonzero(place < len(pair))
-            hit = hit[pair[place[hit]] == key[hit]]
-            chance[inside[hit]] += direct[place[hit]]
-            value, plain = np.zeros(len(flat)), np.zeros(len(flat))
-            value[often], plain[often] = np.log10(chance.mean(axis=1)), base[at]
+            hit = hit[pair[place[hit]] == keys[hit]]
+            sums[hit] += share[place[hit]]
+            # Two places a token: its pair's key and its word's, where they are not valued here.
+            wanted = np.empty((len(flat), 2), dtype=bool)
+            wanted[:, 0], wanted[:, 1] = True, ~frequent
+            wanted[hit, 0] = False
+            both = np.stack((keys, flat), axis=1)
             sizes = np.diff(np.append(starts, len(flat)))
-            rare = ~often
-            many = np.add.reduceat(rare, starts, dtype=np.int64) if len(starts) else starts
-            offsets = pa.array(np.concatenate(([0], np.cumsum(many))), pa.int32())
-            lists = [
-                pa.ListArray.from_arrays(offsets, pa.array((flat[rare] & ~_RARE).astype(np.int64), pa.int64())),
-                pa.ListArray.from_arrays(offsets, pa.array(before[rare], pa.int32())),
-            ]
-            sums = [np.add.reduceat(x, starts) if len(starts) else x for x in (plain, value)]
+            parts = [np.add.reduceat(x, starts) if len(starts) else x for x in (frequent.astype(np.int64), bases, sums, wanted.sum(axis=1))]
+            offsets = pa.array(np.concatenate(([0], np.cumsum(parts[3]))), pa.int32())
+            lists = pa.ListArray.from_arrays(offsets, pa.array(both[wanted].astype(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [*(part.column(i) for i in range(3)), pa.array(sizes, pa.int64()), pa.array(sizes - many, pa.int64()), *map(pa.array, sums), *lists],
-                ["uid", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "keys", "rooms"],
+                [*(part.column(i) for i in range(3)), pa.array(sizes, pa.int64()), *map(pa.array, (parts[0], parts[1], parts[2] + first)), lists],
+                ["uid", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "keys"],
             )
 
-    schema = (
-        f"uid long, doc_id {dict(df.dtypes)[id_col]}, held_out boolean, n_tokens long, n_known long, "
-        "base_score double, score double, keys array<long>, rooms array<int>"
-    )
+    kind = dict(df.dtypes)[id_col]
+    schema = f"uid long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, keys array<long>"
     source = df.select(
         F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col)
     )
-    partly = checkpoint(source.mapInArrow(run, schema))
-    return _finished(partly, words, model)
-
-
-def _finished(partly: DataFrame, words: DataFrame, model: Model) -> DataFrame:
-    """Add the rare tokens' terms to the partial sums: their counts come by a join on the word."""
-    spark, counts = partly.sparkSession, model.counts
-    tokens, types = counts.tokens, counts.types
-    wide = range(model.unknown.shape[-1])
-    # Both tables are bounded: contexts by CONTEXT_SHARE, classes by count_class.
-    classes = [(0, *model.unknown.tolist()), *((c, *p) for (c, _), p in zip(counts.rare, model.rare_root.tolist(), strict=True))]
-    by_class = spark.createDataFrame(classes, "class long, " + ", ".join(f"p{s} double" for s in wide))
-    rooms = [(-1, *[1.0] * len(wide)), *((i, *b) for i, b in enumerate(model.back_off.tolist()))]
-    by_room = spark.createDataFrame(rooms, "room int, " + ", ".join(f"b{s} double" for s in wide))
-    zipped = partly.select("uid", F.explode(F.arrays_zip("keys", "rooms")).alias("t")).select("uid", F.col("t.keys").alias("key"), F.col("t.rooms").alias("room"))
-    rare = words.filter(F.col("n") * WORD_SHARE < tokens)
-    known = zipped.join(rare, "key", "left").select("uid", "room", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
-    priced = known.withColumn("class", count_class(F.col("n"))).join(F.broadcast(by_class), "class").join(F.broadcast(by_room), "room")
-    chance = sum((F.col(f"p{s}") * F.col(f"b{s}") for s in wide), F.lit(0.0)) / len(wide)
-    extra = priced.select(
-        "uid", F.lit(None).cast(dict(partly.dtypes)["doc_id"]).alias("doc_id"), F.lit(None).cast("boolean").alias("held_out"), F.lit(0).cast("long").alias("n_tokens"),
-        (F.col("n") > 0).cast("long").alias("n_known"),
-        F.log10((F.col("n") + 0.5) / (tokens + 0.5 * (types + 1))).alias("base_score"), F.log10(chance).alias("score"),
+    listed, summed = shared_folder(spark, "hpyp-listed"), shared_folder(spark, "hpyp-summed")
+    partly = _written(source.mapInArrow(run, schema), listed)
+    sums = [F.sum(c).alias(c) for c in ("n_known", "base_score", "score")]
+    for turn in range(RUNS):
+        mine = lambda key: F.pmod(key, F.lit(RUNS)) == turn  # noqa: B023, E731
+        wanted = partly.select("uid", F.explode(F.filter("keys", mine)).alias("key"))
+        found = _written(wanted.join(table.filter(mine(F.col("key"))), "key").groupBy("uid").agg(*sums), summed)
+    extra = found.select(
+        "uid", F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("boolean").alias("held_out"), F.lit(0).cast("long").alias("n_tokens"),
+        "n_known", "base_score", "score",
     )
-    both = partly.drop("keys", "rooms").unionByName(extra)
-    summed = both.groupBy("uid").agg(
-        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
-        F.sum("n_known").alias("n_known"), F.sum("base_score").alias("base_score"), F.sum("score").alias("score"),
+    whole = partly.drop("keys").unionByName(extra).groupBy("uid").agg(
+        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), *sums
     )
-    return summed.select(
+    return whole.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )
 
