@@ -19,15 +19,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's shared checkpoint folder and read it back, cutting lineage.
+def _shared_top(spark: SparkSession) -> str:
+    """The cluster's shared folder, ``spark.checkpoint.dir``; a temporary one only where the master is local."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if top:
+        return top.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp()
 
-    The folder named by ``spark.checkpoint.dir`` is used; only where it is unset (local tests) a
-    temporary one is chosen.
-    """
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the cluster's shared checkpoint folder and read it back, cutting lineage."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+        sc.setCheckpointDir(_shared_top(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
@@ -48,6 +54,13 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), f"[{SPACES}]+"), lambda w: w != "")
 
 
+def _settled(state: DataFrame) -> bool:
+    """Whether every node of edges (a > b) points at one node, which points nowhere."""
+    twice = state.groupBy("a").count().filter("count > 1")
+    onward = state.join(state.select(F.col("a").alias("b")), "b", "left_semi")
+    return twice.isEmpty() and onward.isEmpty()
+
+
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """Connected components of ``edges(a, b)`` (comparable ids): one row (node, root), root the least id.
 
@@ -76,7 +89,7 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
         state = checkpoint(star(star(state, True), False))
         # Stable exactly when every node points at a node that points nowhere.
         mark = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1000003)).first()
-        if mark == seen:
+        if mark == seen and _settled(state):
             break
         seen = mark
     else:
@@ -93,5 +106,4 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path under the cluster's shared checkpoint folder; nothing is created yet."""
     import uuid
 
-    top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
-    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{_shared_top(spark)}/{name}-{uuid.uuid4().hex}"

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectrace.llm.common import checkpoint, shared_folder, slices, texts
-from vectrace.llm.jaccard import _mix
+from vectrace.llm.scan import mix as _mix
 
 #: Words and pairs of at least such a share of all tokens are valued from a broadcast; CONTEXT_SHARE is no longer read.
 WORD_SHARE, CONTEXT_SHARE, PAIR_SHARE = 1 << 20, 1 << 12, 1 << 20

@@ -28,7 +28,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vectrace.llm.common import checkpoint, components, slices, texts
+from vectrace.llm import scan
+from vectrace.llm.common import checkpoint, components, slices
+from vectrace.llm.scan import mix
 
 #: Counters of the frequency sketch, in slices of 65,536; its size never depends on the data.
 SKETCH_BITS = 24
@@ -41,53 +43,28 @@ BLOCK_GRAMS = 1 << 18
 MIN_WEIGHT = 256
 #: Columns multiplied at once.
 COLUMNS = 8192
-#: Words whose hashes a worker remembers; bounds its memory, not its results.
-CACHED_WORDS = 400_000
 
-_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_S = [np.uint64(s) for s in (27, 30, 31, 32)]
 
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _S[1])) * _M1
-    x = (x ^ (x >> _S[0])) * _M2
-    return x ^ (x >> _S[2])
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_HASHES = _WordHashes()
-
-
-def gram_sets(batch: list[str], n: int) -> list[np.ndarray]:
+def gram_sets(column: pa.Array, n: int) -> list[np.ndarray]:
     """Each text's distinct n-gram hashes, sorted.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased.  Fewer than ``n`` words make
-    one n-gram, none make the empty set.
+    one n-gram, none (as in a null text) make the empty set.
     """
-    if len(_HASHES) > CACHED_WORDS:
-        _HASHES.clear()
-    cut = [t.encode("utf-8", "surrogatepass").lower().split() for t in batch]
-    sizes = [len(w) for w in cut]
-    flat = np.fromiter((_HASHES[w] for ws in cut for w in ws), dtype=np.uint64, count=sum(sizes))
+    found = scan.words(column)
+    flat = found.hash
     length = max(0, len(flat) - n + 1)
     grams = np.full(length, np.uint64(n))
     for j in range(n):
-        grams = _mix(grams ^ flat[j : j + length])
+        grams = mix(grams ^ flat[j : j + length])
     out, at = [], 0
-    for size in sizes:
+    for size in found.count.tolist():
         if size >= n:
             out.append(np.unique(grams[at : at + size - n + 1]))
         elif size:
             gram = np.array([size], dtype=np.uint64)
             for h in flat[at : at + size]:
-                gram = _mix(gram ^ h)
+                gram = mix(gram ^ h)
             out.append(gram)
         else:
             out.append(flat[:0])
@@ -95,11 +72,11 @@ def gram_sets(batch: list[str], n: int) -> list[np.ndarray]:
     return out
 
 
-def class_of(grams: np.ndarray) -> int:
-    """A 64-bit name of the set, the same for equal sets; two different sets share it once in 2**64 pairs."""
+def class_of(grams: np.ndarray) -> bytes:
+    """A 128-bit name of the set, the same for equal sets."""
     import xxhash
 
-    return xxhash.xxh3_64_intdigest(grams.tobytes()) - (1 << 63)
+    return xxhash.xxh3_128_digest(grams.tobytes())
 
 
 def filed_grams(size: int, percent: int) -> int:
@@ -116,8 +93,8 @@ def rare_grams(grams: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarra
     return np.sort(keys)[:count]
 
 
-def links(sets: list[np.ndarray], percent: int, split: int | None = None) -> np.ndarray:
-    """For each set, the index of the least set in its component of linked sets, by the blocked product.
+def links(sets: list[np.ndarray], percent: int, split: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """For each set, the index of the least set in its component of linked sets; and the matrix of all links.
 
     With ``split``, sets before it are only held against those from it on (they were multiplied among
     themselves elsewhere).
@@ -161,7 +138,7 @@ def links(sets: list[np.ndarray], percent: int, split: int | None = None) -> np.
         new = np.minimum(label, near)
         new = new[new]
         if (new == label).all():
-            return label
+            return label, linked
         label = new
 
 
@@ -176,25 +153,25 @@ def _documents(df: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
         kind = None
         for part in slices(batches):
             kind, seen = part.column(0).type, {}
-            sets = gram_sets(texts(part.column(1)), n)
+            sets = gram_sets(part.column(1), n)
             names = [class_of(s) for s in sets]
             for name, grams in zip(names, sets, strict=True):
                 seen[name] = grams
             np.add.at(cells, np.concatenate(list(seen.values())) >> np.uint64(64 - SKETCH_BITS), 1)
             none = [None] * len(sets)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), part.column(2), pa.array(none, pa.int32()), pa.array(none, pa.binary())],
+                [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()), part.column(2), pa.array(none, pa.int32()), pa.array(none, pa.binary())],
                 ["doc_id", "n_shingles", "class_id", "mark", "slice", "cells"],
             )
         if kind is not None:
             packed = [zlib.compress(c.tobytes(), 1) for c in cells.reshape(-1, 1 << 16)]
             none = [None] * len(packed)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(none, kind), *[pa.array(none, pa.int64())] * 3, pa.array(range(len(packed)), pa.int32()), pa.array(packed, pa.binary())],
+                [pa.array(none, kind), pa.array(none, pa.int64()), pa.array(none, pa.binary()), pa.array(none, pa.int64()), pa.array(range(len(packed)), pa.int32()), pa.array(packed, pa.binary())],
                 ["doc_id", "n_shingles", "class_id", "mark", "slice", "cells"],
             )
 
-    schema = f"doc_id {dict(df.dtypes)[id_col]}, n_shingles long, class_id long, mark long, slice int, cells binary"
+    schema = f"doc_id {dict(df.dtypes)[id_col]}, n_shingles long, class_id binary, mark long, slice int, cells binary"
     return df.select(id_col, text_col, F.xxhash64(text_col)).mapInArrow(run, schema)
 
 
@@ -225,7 +202,7 @@ def _filed(df: DataFrame, n: int, percent: int, levels: np.ndarray, id_col: str,
         for part in slices(batches):
             ids, filed, seen = part.column(0).to_pylist(), [], set()
             keep, sizes = [], []
-            for i, grams in enumerate(gram_sets(texts(part.column(1)), n)):
+            for i, grams in enumerate(gram_sets(part.column(1), n)):
                 if ids[i] is None or not filed_grams(len(grams), percent) or (name := class_of(grams)) in seen:
                     continue
                 seen.add(name)
@@ -281,50 +258,88 @@ def _candidates(lists: DataFrame, percent: int) -> DataFrame:
     return found.unionByName(stars).distinct()
 
 
-def _multiplied(members: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of classes, a forest per pair of row blocks, from members (root, block, blocks, class_id, grams)."""
-    pairs = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "class_id", "grams"
+def _blocks(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Row blocks of every group (root, class_id, doc, mark, copies, n): each class's block, and the pairs of blocks to multiply.
+
+    A group of more than one block is cut into bands of sizes, each ``percent`` of the next, and a band
+    into hash blocks of bounded weight; sets of bands further apart than neighbours cannot link.  So
+    nothing but sums is gathered per group, and unlike sizes never meet.
+    """
+    weight = F.greatest(F.col("n"), F.lit(MIN_WEIGHT))
+    groups = checkpoint(classes.groupBy("root").agg(F.count("*").alias("members"), F.sum(weight).alias("weight")).filter("members > 1"))
+    ratio = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
+    banded = checkpoint(
+        classes.join(groups, "root").withColumn("band", F.when(F.col("weight") > BLOCK_GRAMS, ratio).otherwise(0)).drop("members", "weight")
+    )
+    blocks = banded.groupBy("root", "band").agg(F.ceil(F.sum(weight) / BLOCK_GRAMS).cast("int").alias("blocks"))
+    blocks = checkpoint(blocks)
+    placed = banded.join(blocks, ["root", "band"]).withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")).drop("blocks")
+    return placed, blocks
+
+
+def _multiplied(members: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
+    """Rows (a, b, links) of classes from members (root, band, block, class_id, copies, grams).
+
+    Of each pair of row blocks, a forest of its links (a, b, 0); and for each class there (a, a, the
+    number of documents in the other block, or its own, that it links with).
+    """
+    near = lambda by: blocks.select("root", (F.col("band") + by).alias("band"), F.col("blocks").alias("more"))
+    key = ["root", "band", "low", "high", "cross"]
+    member = ["class_id", "copies", "grams"]
+    inside = (
+        members.join(near(0), ["root", "band"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("more") - 1)))
+        .select("root", "band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), F.lit(False).alias("cross"), F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"), *member)
+    )
+    # The lower band's blocks are side 0, the upper one's side 1 of a pair named by the lower band.
+    up = members.join(near(-1), ["root", "band"]).withColumn("high", F.explode(F.sequence(F.lit(0), F.col("more") - 1)))
+    down = members.join(near(1), ["root", "band"]).withColumn("low", F.explode(F.sequence(F.lit(0), F.col("more") - 1)))
+    pairs = (
+        inside
+        .unionByName(up.select("root", "band", F.col("block").alias("low"), "high", F.lit(True).alias("cross"), F.lit(0).alias("side"), *member))
+        .unionByName(down.select("root", (F.col("band") - 1).alias("band"), "low", F.col("block").alias("high"), F.lit(True).alias("cross"), F.lit(1).alias("side"), *member))
     )
-    key = ["root", "low", "high"]
-    ordered = pairs.repartition(*key).sortWithinPartitions(*key, "block", "class_id")
+    ordered = pairs.repartition(*key).sortWithinPartitions(*key, "side", "class_id").select(*key, "side", *member)
 
-    def product(key: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
-        names = [r[1] for r in rows]
-        split = sum(r[0] == key[1] for r in rows) if key[1] != key[2] else None
-        label = links([np.frombuffer(r[2], dtype=np.uint64) for r in rows], percent, split)
-        return [(names[i], names[j]) for i, j in enumerate(label.tolist()) if i != j]
+    def product(key: tuple, held: list[tuple]) -> list[tuple[bytes, bytes, int]]:
+        # A row that repeats brings its class twice.
+        rows = [r for i, r in enumerate(held) if not i or r[:2] != held[i - 1][:2]]
+        names, copies = [r[1] for r in rows], np.array([r[2] for r in rows])
+        split = sum(r[0] == 0 for r in rows) if key[4] or key[2] != key[3] else None
+        label, linked = links([np.frombuffer(r[3], dtype=np.uint64) for r in rows], percent, split)
+        out = [(names[i], names[j], 0) for i, j in enumerate(label.tolist()) if i != j]
+        return out + [(names[i], names[i], int(n)) for i, n in enumerate((linked @ copies).tolist()) if n]
+
+    def packed(out: list[tuple[bytes, bytes, int]]) -> pa.RecordBatch:
+        kinds = (pa.binary(), pa.binary(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], ["a", "b", "links"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
-        out: list[tuple[int, int]] = []
         for batch in slices(batches):
-            roots, lows, highs, blocks, names = (batch.column(i).to_pylist() for i in range(5))
-            for i in range(batch.num_rows):
-                this = (roots[i], lows[i], highs[i])
+            keys = list(zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True))
+            sides, names, copies = (batch.column(i).to_pylist() for i in range(5, 8))
+            for i, this in enumerate(keys):
                 if this != now:
-                    if len(held) > 1:
-                        out += product(now, held)
+                    if len(held) > 1 and (out := product(now, held)):
+                        yield packed(out)
                     now, held = this, []
-                held.append((blocks[i], names[i], batch.column(5)[i].as_py()))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
-                out = []
+                held.append((sides[i], names[i], copies[i], batch.column(8)[i].as_py()))
         if len(held) > 1 and (out := product(now, held)):
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
+            yield packed(out)
 
-    return ordered.mapInArrow(run, "a long, b long")
+    return ordered.mapInArrow(run, "a binary, b binary, links long")
 
 
 def join(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: (doc_id, n_shingles, class_id, component_id).
+    """One row per input row: (doc_id, n_shingles, class_id, component_id, n_links).
 
     Documents link when 100 * intersection >= percent * union of their ``n``-gram sets;
-    ``component_id`` is the least id reachable by links.  Null and empty texts have no n-grams and
-    link with nothing, not even one another.  Rows with a null id keep a null component but are not
-    joined through.  Rows that repeat are one document; texts under one id are joined each by itself.
+    ``component_id`` is the least id reachable by links, ``n_links`` the number of other rows that a row
+    links with, equal sets included.  Null and empty texts have no n-grams and link with nothing, not
+    even one another.  Rows with a null id keep a null component and no links but are not joined
+    through.  Rows that repeat count as copies; texts under one id are joined each by itself.
     """
-    return _labelled(df, n, percent, id_col, text_col).select("doc_id", "n_shingles", "class_id", "component_id")
+    return _labelled(df, n, percent, id_col, text_col).select("doc_id", "n_shingles", "class_id", "component_id", "n_links")
 
 
 def _labelled(df: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -337,56 +352,52 @@ def _labelled(df: DataFrame, n: int, percent: int, id_col: str, text_col: str) -
     made = checkpoint(_documents(spark_docs, n, id_col, text_col))
     docs = made.filter(F.col("slice").isNull()).select("doc_id", "n_shingles", "class_id", "mark")
     levels = _levels(made.filter(F.col("slice").isNotNull()).select("slice", "cells"))
-    groups = components(checkpoint(_candidates(_filed(spark_docs, n, percent, levels, id_col, text_col), percent)))
-    named = docs.filter("n_shingles > 0")
-    classes = (
-        groups.join(named, groups["node"] == named["doc_id"])
-        .groupBy("root", "class_id").agg(F.min("doc_id").alias("doc"), F.min("n_shingles").alias("n"))
-    )
-    # A group's blocks are hash blocks: their number follows from the group's weight, so nothing but two
-    # sums is gathered per group.
-    weight = F.greatest(F.col("n"), F.lit(MIN_WEIGHT))
-    groups = checkpoint(classes.groupBy("root").agg(F.count("*").alias("members"), F.sum(weight).alias("weight")).filter("members > 1"))
-    blocks = F.ceil(F.col("weight") / BLOCK_GRAMS).cast("int")
-    placed = checkpoint(
-        classes.join(groups, "root").withColumn("blocks", blocks)
-        .select("root", "class_id", "doc", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int").alias("block"), "blocks")
+    edges = checkpoint(_candidates(_filed(spark_docs, n, percent, levels, id_col, text_col), percent))
+    named = docs.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
+    groups = components(edges)
+    sets = checkpoint(named.groupBy("class_id").agg(
+        F.min(F.struct("doc_id", "mark")).alias("first"), F.count("*").alias("copies"), F.min("n_shingles").alias("n")
+    ))
+    nodes = groups.join(named, groups["node"] == named["doc_id"]).select("root", "class_id").distinct()
+    classes = nodes.join(sets, "class_id").select(
+        "root", "class_id", F.col("first.doc_id").alias("doc"), F.col("first.mark").alias("mark"), "copies", "n"
     )
-    members = _with_grams(spark_docs, placed, n, id_col, text_col)
-    found = components(checkpoint(_multiplied(members, percent)))
+    placed, blocks = _blocks(checkpoint(classes), percent)
+    found = checkpoint(_multiplied(_with_grams(spark_docs, checkpoint(placed), n, id_col, text_col), blocks, percent))
+    linked = components(found.filter("a <> b").select("a", "b"))
+    counted = found.filter("links > 0").groupBy(F.col("a").alias("class_id")).agg(F.sum("links").alias("links"))
     # Labels go from group to class to document; each table is written before its join, so that the rows
     # of a large group or of many copies can be split over tasks.
-    first = named.groupBy("class_id").agg(F.min("doc_id").alias("least"))
     rooted = checkpoint(
-        first.join(found.withColumnRenamed("node", "class_id"), "class_id", "left").select("class_id", "least", F.coalesce("root", "class_id").alias("group"))
+        sets.join(linked.withColumnRenamed("node", "class_id"), "class_id", "left").join(counted, "class_id", "left").select(
+            "class_id", F.col("first.doc_id").alias("least"), F.coalesce("root", "class_id").alias("group"),
+            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
+        )
     )
     least = checkpoint(rooted.groupBy("group").agg(F.min(F.struct("least", "class_id")).alias("lead")))
     labels = checkpoint(rooted.join(least, "group").select(
-        F.col("class_id").alias("_class"), F.col("lead.least").alias("component_id"), (F.col("class_id") == F.col("lead.class_id")).alias("leads")
+        F.col("class_id").alias("_class"), F.col("lead.least").alias("component_id"), (F.col("class_id") == F.col("lead.class_id")).alias("leads"), "links"
     ))
     mine = (docs["class_id"] == labels["_class"]) & (docs["n_shingles"] > 0) & docs["doc_id"].isNotNull()
     return docs.join(labels, mine, "left").select(
-        "doc_id", "n_shingles", "class_id", F.coalesce("component_id", "doc_id").alias("component_id"), "mark", "leads"
+        "doc_id", "n_shingles", "class_id", F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce("links", F.lit(0)).alias("n_links"), "mark", "leads",
     )
 
 
 def _with_grams(df: DataFrame, placed: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
     """Members with their n-gram hashes, computed from the candidates' texts only."""
-    at = placed.withColumnRenamed("doc", "_doc")
-    wanted = df.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).join(at, "_doc")
-    kind = dict(placed.dtypes)
+    at = placed.select("root", "band", "block", "class_id", "copies", F.col("doc").alias("_doc"), F.col("mark").alias("_mark"))
+    source = df.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_mark"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            sets = gram_sets(texts(part.column(4)), n)
-            # A repeated id may bring another text along; only the class's own set counts.
-            keep = pa.array([c == class_of(s) for c, s in zip(part.column(1).to_pylist(), sets, strict=True)])
-            grams = pa.array([s.tobytes() for s in sets], pa.binary())
-            cols = [part.column(i).filter(keep) for i in range(4)]
-            yield pa.RecordBatch.from_arrays([*cols, grams.filter(keep)], ["root", "class_id", "block", "blocks", "grams"])
-
-    schema = f"root {kind['root']}, class_id long, block int, blocks int, grams binary"
-    return wanted.select("root", "class_id", "block", "blocks", "_text").mapInArrow(run, schema)
+            grams = pa.array([s.tobytes() for s in gram_sets(part.column(5), n)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(5)), grams], ["root", "band", "block", "class_id", "copies", "grams"])
+
+    schema = f"root {dict(placed.dtypes)['root']}, band int, block int, class_id binary, copies long, grams binary"
+    wanted = source.join(at, ["_doc", "_mark"]).select("root", "band", "block", "class_id", "copies", "_text")
+    return checkpoint(wanted.mapInArrow(run, schema))
 
 
 def keep_one(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
