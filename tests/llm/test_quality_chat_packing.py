@@ -1,6 +1,7 @@
 import itertools
 import random
 from collections import Counter
+from itertools import combinations
 
 
 from vectrace.llm import chat, packing, quality
@@ -95,3 +96,23 @@ def test_pack_fills_batches_without_overlap(spark):
     full = {b: max(x for (y, x) in per if y == b) for b in {r.bucket for r in got}}
     assert all(per[b, x] == max(1, 1000 // max(1, next(r.padded_tokens for r in got if r.bucket == b))) for b, n in full.items() for x in range(n))
     assert packing.pack(df.limit(0)).collect() == []
+
+
+def test_bounds_are_real_lengths_above_4096_and_hot_rows_are_split(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RUN_ROWS", 7)
+    lengths = [1, 1, 3, 4097, 4099, 4101, 5461, 5461, 5463, 9001, 20_020]
+    rows = [(i, "w " * n) for i, n in enumerate(lengths)] + [(None, "a b")] * 40 + [(5, "same id")] * 9
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = packing.pack(df, buckets=4, budget=16_384).collect()
+    sizes = [len(t.split()) for _, t in rows]
+    assert sorted((r.doc_id or -1, r.n_tokens) for r in got) == sorted((-1 if d is None else d or -1, n) for (d, _), n in zip(rows, sizes, strict=True))
+    best = min(
+        sum(min(b for b in bounds if b >= n) - n for n in sizes)
+        for bounds in ((*inner, max(sizes)) for inner in combinations(sorted(set(sizes))[:-1], 3))
+    )
+    assert sum(r.padded_tokens - r.n_tokens for r in got) == best
+    assert {r.padded_tokens for r in got} <= set(sizes)
+    assert len({(r.bucket, r.batch, r.slot) for r in got}) == len(got)
+    for (bucket, batch), count in Counter((r.bucket, r.batch) for r in got).items():
+        bound = next(r.padded_tokens for r in got if r.bucket == bucket)
+        assert count == 1 or count * bound <= 16_384

@@ -1,14 +1,16 @@
 """Packing: optimal length buckets and token-budget batches.
 
-A global histogram of lengths goes to the driver (its size is bounded by ``length_bin``), where
-dynamic programming with a convex hull of lines finds the bucket bounds of least padding.  Inside a
-bucket, documents are numbered without gathering the bucket anywhere: they are spread over ``SHARDS``
-hash shards, numbered in their shard, and shifted by the counts of the shards before it.
+The exact global histogram of lengths goes to the driver, where dynamic programming with a convex hull
+of lines finds the bucket bounds of least padding.  Different lengths number at most the square root of
+twice all tokens, and a step is linear in them.  Inside a bucket, documents are numbered without
+gathering the bucket anywhere: they are spread over ``SHARDS`` hash shards, numbered in their shard, and
+shifted by the counts of the shards before it.  Rows of one id and length are numbered as one row with
+their count and dealt out again in runs, so that a third of all rows may share an id.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vectrace.llm.common import checkpoint, words
@@ -16,16 +18,8 @@ from vectrace.llm.common import checkpoint, words
 BUCKETS = 16
 TOKEN_BUDGET = 16_384
 SHARDS = 1024
-#: Lengths up to here keep a histogram bin of their own; above, a bin is at most 1/1024 of its length.
-EXACT_LENGTHS = 4096
-
-
-def length_bin(length: Column) -> Column:
-    """The upper end of the length's histogram bin: at most EXACT_LENGTHS + 2048 bins an octave."""
-    octave = F.floor(F.log2(F.greatest(length, F.lit(1)).cast("double")))
-    step = F.greatest(F.lit(1), F.pow(F.lit(2.0), octave - 10).cast("long"))
-    rounded = F.ceil(length / step).cast("long") * step
-    return F.when(length <= EXACT_LENGTHS, length).otherwise(rounded)
+#: Rows of one id and length that are numbered by one task.
+RUN_ROWS = 1 << 16
 
 
 def optimal_bounds(histogram: list[tuple[int, int]], buckets: int) -> list[int]:
@@ -89,32 +83,33 @@ def pack(
     document alone does.  Null and empty texts have 0 tokens and lie in the first bucket.  Rows equal
     in every column share no slot.  An empty table gives no rows.
     """
-    sized = checkpoint(
-        df.select(F.col(id_col).alias("doc_id"), F.size(words(F.col(text_col))).cast("long").alias("n_tokens"))
-    )
-    counts = sized.groupBy(length_bin(F.col("n_tokens")).alias("n")).count().collect()
-    bounds = optimal_bounds([(r["n"], r["count"]) for r in counts], buckets) or [0]
+    sized = df.select(F.col(id_col).alias("doc_id"), F.size(words(F.col(text_col))).cast("long").alias("n_tokens"))
+    alike = checkpoint(sized.groupBy("doc_id", "n_tokens").agg(F.count("*").alias("rows")))
+    counts = alike.groupBy("n_tokens").agg(F.sum("rows").alias("n")).collect()
+    bounds = optimal_bounds([(r["n_tokens"], r["n"]) for r in counts], buckets) or [0]
     edges = F.array(*[F.lit(b).cast("long") for b in bounds])
     bucket = F.size(F.filter(edges, lambda b: b < F.col("n_tokens")))
-    placed = sized.withColumn("bucket", bucket).withColumns({
+    placed = alike.withColumn("bucket", bucket).withColumns({
         "padded_tokens": F.get(edges, F.col("bucket")),
         "shard": F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(SHARDS)).cast("int"),
     })
-    order = Window.partitionBy("bucket").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda w: F.coalesce(F.sum("rows").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # At most BUCKETS x SHARDS rows, whatever the input: small enough to broadcast.
     offsets = (
-        placed.groupBy("bucket", "shard").agg(F.count("*").alias("n"))
-        .select("bucket", "shard", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("offset"))
+        placed.groupBy("bucket", "shard").agg(F.sum("rows").alias("rows"))
+        .select("bucket", "shard", before(Window.partitionBy("bucket").orderBy("shard")).alias("offset"))
     )
-    rank = F.row_number().over(Window.partitionBy("bucket", "shard").orderBy("doc_id", "n_tokens"))
-    place = F.col("offset") + rank - 1
-    capacity = F.greatest(F.floor(F.lit(budget) / F.greatest(F.col("padded_tokens"), F.lit(1))), F.lit(1)).cast("long")
-    return (
+    numbered = checkpoint(
         placed.join(F.broadcast(offsets), ["bucket", "shard"])
-        .withColumns({"place": place, "capacity": capacity})
-        .select(
-            "doc_id", "n_tokens", "bucket", "padded_tokens",
-            F.floor(F.col("place") / F.col("capacity")).cast("long").alias("batch"),
-            (F.col("place") % F.col("capacity")).cast("long").alias("slot"),
-        )
+        .withColumn("place", F.col("offset") + before(Window.partitionBy("bucket", "shard").orderBy("doc_id", "n_tokens")))
+        .drop("offset", "shard")
+    )
+    runs = numbered.filter(F.col("rows") > RUN_ROWS).withColumn("from", F.explode(F.sequence(F.lit(0), F.col("rows") - 1, F.lit(RUN_ROWS))))
+    runs = runs.withColumns({"place": F.col("place") + F.col("from"), "rows": F.least(F.col("rows") - F.col("from"), F.lit(RUN_ROWS))}).drop("from")
+    every = numbered.filter(F.col("rows") <= RUN_ROWS).unionByName(runs.repartition("place"))
+    place = F.col("place") + F.col("step")
+    capacity = F.greatest(F.floor(F.lit(budget) / F.greatest(F.col("padded_tokens"), F.lit(1))), F.lit(1)).cast("long")
+    return every.withColumn("step", F.explode(F.sequence(F.lit(0), F.col("rows") - 1))).select(
+        "doc_id", "n_tokens", "bucket", "padded_tokens",
+        F.floor(place / capacity).cast("long").alias("batch"), (place % capacity).cast("long").alias("slot"),
     )
