@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from vectrace.llm.common import slices, texts
+from vectrace.llm.common import shared_folder, slices, texts
 
 WIDTH = 64
 #: Rows of a frame; a longer payload goes on in further frames.
@@ -27,6 +27,8 @@ FRAME_ROWS = 1024
 #: Hundredths of a second that each written frame is shown.
 DELAY = 4
 HISTOGRAM_BINS = 16
+#: Pixels that a file's canvas may have; a larger one is an error, whatever its header declares.
+MAX_PIXELS = 1 << 26
 _GREY = bytes(v for i in range(256) for v in (i, i, i))
 _STRINGS = [bytes([i]) for i in range(256)]
 
@@ -46,6 +48,8 @@ class Frame:
     height: int
     #: The canvas after this frame was drawn: rows x columns x RGBA.
     canvas: np.ndarray
+    #: Counts of the palette's entries and the palette, where this frame hides all that was there.
+    alone: tuple[np.ndarray, np.ndarray] | None = None
 
 
 def _width_at(j: np.ndarray, size: int) -> np.ndarray:
@@ -172,23 +176,35 @@ def _interlaced(rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def decode(data: bytes) -> Iterator[Frame]:
-    """The frames of a GIF in order.  Raises GifError where it is not one or is cut off."""
+def _palette(data: bytes, at: int, flags: int) -> tuple[np.ndarray, int]:
+    n = 3 << ((flags & 7) + 1)
+    if at + n > len(data):
+        raise GifError("a palette is cut off")
+    return np.frombuffer(data[at : at + n], dtype=np.uint8).reshape(-1, 3), at + n
+
+
+def decode(data: bytes, max_pixels: int = MAX_PIXELS) -> Iterator[Frame]:
+    """The frames of a GIF in order.
+
+    Raises GifError where it is not one, is cut off, or declares a canvas or an image of over
+    ``max_pixels``.  A transparent index may lie beyond the palette, a drawn one may not.
+    """
     if data[:6] not in (b"GIF87a", b"GIF89a") or len(data) < 13:
         raise GifError("no GIF header")
     width, height, flags = struct.unpack("<HHB", data[6:11])
+    if width * height > max_pixels:
+        raise GifError("the canvas is too large")
     at = 13
     shared = None
     if flags & 0x80:
-        n = 3 << ((flags & 7) + 1)
-        shared, at = np.frombuffer(data[at : at + n], dtype=np.uint8).reshape(-1, 3), at + n
+        shared, at = _palette(data, at, flags)
     canvas = np.zeros((height, width, 4), dtype=np.uint8)
     delay, disposal, clear_index, index, clock = 0, 0, -1, 0, 0
     while at < len(data):
         kind = data[at]
         if kind == 0x3B:
             return
-        if kind == 0x21:
+        if kind == 0x21 and at + 2 < len(data):
             body, end = _blocks(data, at + 2)
             if data[at + 1] == 0xF9 and len(body) >= 4:
                 disposal, delay = body[0] >> 2 & 7, struct.unpack("<H", body[1:3])[0]
@@ -201,19 +217,26 @@ def decode(data: bytes) -> Iterator[Frame]:
         at += 10
         palette = shared
         if flags & 0x80:
-            n = 3 << ((flags & 7) + 1)
-            palette, at = np.frombuffer(data[at : at + n], dtype=np.uint8).reshape(-1, 3), at + n
+            palette, at = _palette(data, at, flags)
         if palette is None:
             raise GifError("no palette")
         size = data[at] if at < len(data) else 0
         if not 2 <= size <= 8:
             raise GifError("bad code size")
+        if w * h > max_pixels:
+            raise GifError("the image is too large")
         stream, at = _blocks(data, at + 1)
         samples = np.frombuffer(expand(stream, size, w * h), dtype=np.uint8)
         if len(samples) < w * h:
             raise GifError("an image is cut off")
-        if len(samples) and int(samples.max()) >= len(palette):
+        counts = np.bincount(samples, minlength=256)
+        drawn = counts.copy()
+        if clear_index >= 0:
+            drawn[clear_index] = 0
+        if drawn[len(palette) :].any():
             raise GifError("sample beyond the palette")
+        if len(palette) < 256:
+            palette = np.concatenate((palette, np.zeros((256 - len(palette), 3), dtype=np.uint8)))
         samples = samples.reshape(h, w)
         if flags & 0x40:
             samples = _interlaced(samples)
@@ -228,7 +251,8 @@ def decode(data: bytes) -> Iterator[Frame]:
             area[opaque] = colours[opaque]
         else:
             area[...] = colours
-        yield Frame(index, clock * 10, delay * 10, left, top, w, h, canvas)
+        covers = clear_index < 0 and not left and not top and (w, h) == (width, height)
+        yield Frame(index, clock * 10, delay * 10, left, top, w, h, canvas, (counts, palette) if covers else None)
         clock += delay
         if disposal == 2:
             area[...] = 0
@@ -257,8 +281,11 @@ def encode(payload: bytes) -> bytes:
 
 def histograms(frame: Frame) -> list[list[int]]:
     """Counts of red, green and blue levels in HISTOGRAM_BINS equal bins over the frame's visible canvas."""
-    seen = frame.canvas[frame.canvas[..., 3] > 0]
     step = 256 // HISTOGRAM_BINS
+    if frame.alone is not None:
+        counts, palette = frame.alone
+        return [np.bincount(palette[:, c] // step, counts, HISTOGRAM_BINS).astype(np.int64).tolist() for c in range(3)]
+    seen = frame.canvas[frame.canvas[..., 3] > 0]
     return [np.bincount(seen[:, c] // step, minlength=HISTOGRAM_BINS).tolist() for c in range(3)]
 
 
@@ -282,7 +309,7 @@ def store(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return df.select(id_col, text_col).mapInArrow(run, f"doc_id {dict(df.dtypes)[id_col]}, n_bytes long, media binary")
 
 
-def frames(df: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
+def frames(df: DataFrame, id_col: str = "doc_id", media_col: str = "media", max_pixels: int = MAX_PIXELS) -> DataFrame:
     """One row per frame: (doc_id, frame, start_ms, delay_ms, width, height, red, green, blue, rgba, error).
 
     ``rgba`` is the canvas once the frame is drawn.  Media that is null, empty or broken gives one
@@ -296,37 +323,37 @@ def frames(df: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), *[pa.list_(pa.int64())] * 3, pa.binary(), pa.string()]
+
+        def one(part: pa.RecordBatch, row: list) -> pa.RecordBatch:
+            cols = [pa.array([x], kind) for x, kind in zip(row, kinds, strict=True)]
+            return pa.RecordBatch.from_arrays([part.column(0), *cols], ["doc_id", *names])
+
         for part in slices(batches, 1):
-            rows = []
             try:
-                for f in decode(part.column(1)[0].as_py() or b""):
+                for f in decode(part.column(1)[0].as_py() or b"", max_pixels):
                     h, w = f.canvas.shape[:2]
-                    rows.append([f.index, f.start_ms, f.delay_ms, w, h, *histograms(f), f.canvas.tobytes(), None])
+                    yield one(part, [f.index, f.start_ms, f.delay_ms, w, h, *histograms(f), f.canvas.tobytes(), None])
             except GifError as e:
-                rows.append([None] * 9 + [str(e)])
-            ids = pa.concat_arrays([part.column(0)] * len(rows)) if rows else part.column(0).slice(0, 0)
-            cols = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([ids, *cols], ["doc_id", *names])
+                yield one(part, [None] * 9 + [str(e)])
 
     return df.select(id_col, media_col).mapInArrow(run, schema)
 
 
-def read_back(media: bytes) -> tuple[bytes, int, int, list[int]]:
-    """Payload, frame count, playing time in ms and the summed level histogram of a stored text."""
-    parts, time, levels, n = [], 0, np.zeros(HISTOGRAM_BINS, dtype=np.int64), 0
+def read_back(media: bytes) -> tuple[bytes, int, int, list[list[int]]]:
+    """Payload, frame count, playing time in ms and the summed colour histograms of a stored text."""
+    parts, time, levels, n = [], 0, np.zeros((3, HISTOGRAM_BINS), dtype=np.int64), 0
     for f in decode(media):
-        grey = f.canvas[f.top : f.top + f.height, f.left : f.left + f.width, 0]
-        parts.append(grey.tobytes())
-        levels += np.bincount(grey.ravel() // (256 // HISTOGRAM_BINS), minlength=HISTOGRAM_BINS)
+        parts.append(f.canvas[f.top : f.top + f.height, f.left : f.left + f.width, 0].tobytes())
+        levels += histograms(f)
         time, n = f.start_ms + f.delay_ms, n + 1
     return b"".join(parts), n, time, levels.tolist()
 
 
-def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Digests of every text stored as a GIF and read back from its bytes; rows are never merged.
+def read(df: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
+    """Digests of stored texts, from the bytes of the media column as ``store`` writes it; rows are never merged.
 
-    Null and empty texts are one row of 64 zero bytes.  ``feature`` holds frames, playing time and
-    level counts, and depends on the text alone.
+    ``feature`` holds frames, playing time and the colour histograms of all frames.  Media that is null
+    or broken raises GifError here; ``frames`` gives such rows an error instead.
     """
     schema = (
         f"doc_id {dict(df.dtypes)[id_col]}, n_bytes long, payload_bytes long, payload_sha256 string, "
@@ -337,16 +364,27 @@ def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             rows = []
-            for text in texts(part.column(1)):
-                n, payload = padded(text)
-                media = encode(payload)
+            for n, cell in zip(part.column(1).to_pylist(), part.column(2), strict=True):
+                media = cell.as_py() or b""
                 back, count, time, levels = read_back(media)
+                colours = ";".join(f"{c}={','.join(map(str, x))}" for c, x in zip(("red", "green", "blue"), levels, strict=True))
                 rows.append((
                     n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-WIDTH:]), len(media),
-                    hashlib.sha256(media).hexdigest(), f"frames={count};ms={time};levels={','.join(map(str, levels))}",
+                    hashlib.sha256(media).hexdigest(), f"frames={count};ms={time};{colours}",
                 ))
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             cols = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([part.column(0), *cols], names)
 
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    return df.select(id_col, "n_bytes", media_col).mapInArrow(run, schema)
+
+
+def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``store`` written to the shared folder as a media column, reread, and ``read`` from its bytes.
+
+    Null and empty texts are one row of 64 zero bytes.  ``feature`` depends on the text alone.
+    """
+    folder = shared_folder(df.sparkSession, "gif")
+    stored = store(df, id_col, text_col)
+    stored.write.option("compression", "uncompressed").option("parquet.enable.dictionary", "false").parquet(folder)
+    return read(df.sparkSession.read.schema(stored.schema).parquet(folder))
