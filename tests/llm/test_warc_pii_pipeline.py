@@ -1,5 +1,7 @@
 import base64
+import glob
 import hashlib
+import os
 import random
 import re
 
@@ -9,9 +11,10 @@ from vectrace.llm import pii, quality, warc
 from vectrace.llm.common import shared_folder
 
 
-def test_archive_and_index(spark, monkeypatch):
-    monkeypatch.setattr(warc, "BLOCK_LINES", 3)
-    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 4)
+@pytest.mark.parametrize("large", [1 << 15, 4])
+def test_archive_and_index(spark, monkeypatch, large):
+    for name, value in (("BLOCK_LINES", 3), ("RECORDS_PER_FILE", 4), ("BLOCKS_PER_FILE", 1), ("PART_BLOCKS", 1), ("LARGE_BYTES", large)):
+        monkeypatch.setattr(warc, name, value)
     html = {1: "<p>a</p>", 2: "<p>b</p>", 3: "<p>a</p>", 4: None, 5: "", 6: "x\r\n\r\ny WARC/1.0\r\n", 7: "é日🙂" * 30_000, 8: "<p>a</p>"}
     url = {1: "http://www.b.example/z", 2: "https://a.example/?q=1", 3: "http://www.b.example/z", 4: None, 5: "http://x.example/\r\nInjected: 1", 6: "http://[bad", 7: "http://a.example/", 8: ""}
     rows = [(k, url[k], html[k], "s", 1) for k in html] + [(2, url[2], html[2], "s", 1)]
@@ -26,14 +29,41 @@ def test_archive_and_index(spark, monkeypatch):
         first = min(k for k in html if (html[k] or "") == (html[r.page_id] or ""))
         assert (r.record_type, r.refers_to) == (("response", None) if first == r.page_id else ("revisit", first))
     index = warc.CaptureIndex(spark, f"{folder}/index")
-    assert index.first == sorted(index.first) and len(index.first) >= 3
+    assert index.root == sorted(index.root) and len(index.root) >= 3
     found = index.lookup("https://WWW.b.example/z#part")
-    assert [c["page_id"] for c in found] == [1, 3]
+    assert [c["page_id"] for c in found] == ["1", "3"]
     headers, payload = index.read(found[0])
     assert payload == b"<p>a</p>" and headers["WARC-Type"] == "response"
     assert index.read(found[1])[0]["WARC-Refers-To"] == "<urn:page:1>" and index.read(found[1])[1] == b""
     assert index.lookup("http://nowhere.example/") == []
-    assert {c["page_id"] for c in index.lookup(url[2])} == {2}
+    assert {c["page_id"] for c in index.lookup(url[2])} == {"2"}
+
+
+def test_a_lookup_reads_one_part_one_block_and_one_record(spark, monkeypatch):
+    for name, value in (("BLOCK_LINES", 20), ("BLOCKS_PER_FILE", 8), ("PART_BLOCKS", 10)):
+        monkeypatch.setattr(warc, name, value)
+    pages = spark.range(2000).selectExpr("id as page_id", "concat('http://h', id, '.example/') as url", "concat('<p>', repeat(cast(id as string), 50)) as html")
+    folder = shared_folder(spark, "test")
+    assert warc.archive(pages, folder).count() == 2000
+    size = lambda kind: sum(os.path.getsize(f) for f in glob.glob(f"{folder}/{kind}/**/part-*", recursive=True))
+    index = warc.CaptureIndex(spark, f"{folder}/index")
+    for k in (0, 777, 1999):
+        index.bytes_read = 0
+        found = index.lookup(f"http://h{k}.example/")
+        assert [c["page_id"] for c in found] == [str(k)]
+        assert index.read(found[0])[1] == b"<p>" + str(k).encode() * 50
+        # A tenth of the directory or so (two parts at the most), two of a hundred blocks, one of 2,000 records.
+        assert index.bytes_read < 0.3 * size("index/directory") + 0.04 * size("index/blocks") + 0.001 * size("archives")
+
+
+def test_ids_of_any_type_come_back(spark):
+    for kind, ids in (("string", ["null", "a\r\nb: c", "", "é %+", None]), ("date", [None, "2024-01-02"]), ("decimal(20,2)", [None, "12345678901234567.25"]), ("smallint", [3, None])):
+        df = spark.createDataFrame([(str(i) if i is not None else None, "u", "same") for i in ids], "i string, url string, html string").selectExpr(f"cast(i as {kind}) as page_id", "url", "html")
+        got = warc.archive(df, shared_folder(spark, "test")).collect()
+        expect = [r.page_id for r in df.collect()]
+        least = min(x for x in expect if x is not None)
+        assert sorted(map(str, (r.page_id for r in got))) == sorted(map(str, expect))
+        assert {r.refers_to for r in got if r.page_id != least} == {least}
 
 
 def test_least_payload_size_and_shuffled_join(spark, monkeypatch):
