@@ -107,30 +107,75 @@ def test_base_spans_equal_the_patterns():
     assert all(pii.base_spans(t) == brute_spans(t) for t in texts)
 
 
-def test_long_runs_take_linear_time():
-    model = pii.fit()
-    for unit in ("1", "a", "@", "+1", "1.", "a@", "(", "1 ", "a at ", "1-"):
-        pii.spans(unit * 100_000, model)
+def prose(rng, n):
+    """Texts with personal data in its base forms, numbers that are none, and plain sentences."""
+    words = [f"{a}{b}" for a in ("lo", "mi", "ta", "ren", "sol") for b in ("ba", "der", "mon", "ne", "tic")]
+    d = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
 
+    def card():
+        body = d(15)
+        return next(body + c for c in "0123456789" if pii.luhn(body + c))
 
-def test_trees_find_spelt_out_spans_and_leave_clean_text():
-    model = pii.fit()
+    made = [
+        lambda: f"please mail {rng.choice(words)}.{rng.choice(words)}@{rng.choice(words)}.com about it",
+        lambda: f"call +1 {d(3)} {d(3)} {d(4)} today", lambda: "server " + ".".join(str(rng.randint(1, 254)) for _ in range(4)) + " is down",
+        lambda: f"card {card()} was charged", lambda: f"order {d(10)} shipped", lambda: f"in {d(4)} and {d(4)}, {d(3)} copies",
+        lambda: f"we met at {rng.choice(words)}.{rng.choice(words)}", lambda: f"ref {d(3)}-{d(3)}-{d(4)} closed",
+    ]
+    for _ in range(n):
+        yield ". ".join(rng.choice([*made, *[lambda: " ".join(rng.choice(words) for _ in range(9))] * 3])() for _ in range(8))
+
+
+@pytest.fixture(scope="module")
+def model():
+    return pii.fit(list(prose(random.Random(1), 800)))
+
+
+def test_long_runs_take_linear_time(model):
+    for unit in ("1", "a", "@", "+1", "1.", "a@", "(", "1 ", "a at ", "1-", "call 212-555-0199 ", "card 4111.1111.1111.1111 "):
+        pii.spans(unit * (100_000 if len(unit) < 6 else 8000), model)
+
+
+def test_trees_find_disturbed_spans_and_leave_clean_text(model):
     kinds = lambda t: [k for k, _, _ in pii.spans(t, model)[1]]
-    assert kinds("please mail me: tom (at) mail (dot) org soon") == ["email"]
-    assert kinds("credit card: 4111.1111.1111.1111 ok") == ["card"]
-    assert "phone" in kinds("call (977) 555-9722 now") and "phone" in kinds("+1 (977) 555-9722 4111111111111112")
-    for clean in ("we met at noon.then left", "version 1.2.3 of 2024", "order 4111.1111.1111.1112 shipped", "in 1984 and 2001, 300 copies", "the of and to"):
-        assert kinds(clean) == []
-    rng = random.Random(99)
-    made = pii._phrases(rng)
-    held = [next(made) for _ in range(800)]
-    import numpy as np
-
-    margin = model.margin(np.array([pii.features(t, s) for t, s, _ in held]))
-    chosen = [m >= model.threshold[s[0]] for m, (_, s, _) in zip(margin, held, strict=True)]
-    truth = [v for *_, v in held]
-    hits = sum(c and v for c, v in zip(chosen, truth, strict=True))
-    assert hits / max(1, sum(chosen)) > 0.95 and hits / sum(truth) > 0.9
+    assert kinds("please mail tom (at) mail (dot) org about it") == ["email"]
+    assert kinds("card 4111.1111.1111.1111 was charged") == ["card"] == kinds("card 4111 - 1111 - 1111 - 1111 was charged")
+    assert kinds("call (977) 555-9722 today") == ["phone"] and kinds("server 10[.]0[.]0[.]7 is down") == ["ip"]
+    for clean in (
+        "we met at noon.then left", "version 1.2.3 of 2024", "card 4111.1111.1111.1112 was charged", "in 1984 and 2001, 300 copies", "the of and to",
+        "met at noon dot com", "order no 2024-101-2024", "server 10[.]0[.]0[.]777 is down", "order 4155551234 shipped",
+    ):
+        assert kinds(clean) == [], clean
+    for kind, (precision, recall, true) in pii.measured(model, list(prose(random.Random(2), 300))).items():
+        assert precision >= 0.95 and recall >= 0.8 and true > 50, (kind, precision, recall, true)
+
+
+def test_generators_propose_what_is_disturbed():
+    rng, seen, found = random.Random(5), 0, 0
+    for text in prose(rng, 200):
+        for kind, a, b in pii.base_spans(text):
+            s = pii._disturbed(kind, text[a:b], rng)
+            window = text[:a] + s + text[b:]
+            seen += 1
+            found += any(k == kind and c <= a and d >= a + len(s) for k, c, d in pii.candidates(window))
+    assert seen > 300 and found / seen > 0.97
+    for number in ("06 12 34 56 78", "0049 30 1234567", "030 12345678", "91 234 56 78"):
+        assert any(k == "phone" and text[c:d] == number for text in (f"tel {number} x",) for k, c, d in pii.candidates(text))
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_precision_and_recall_on_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sample = pii.training_sample(docs)
+    found = pii.measured(pii.fit([t for i, t in enumerate(sample) if i % 3]), [t for i, t in enumerate(sample) if i % 3 == 0])
+    print(found)
+    for kind, (precision, recall, true) in found.items():
+        assert true == 0 or recall == 0 or precision >= 0.9, (kind, precision, recall, true)
+
+
+def test_a_corpus_without_matches_adds_nothing():
+    for sample in ([], ["plain words"], ["call 212-555-0199"] * 50):
+        assert pii.spans("card 4111.1111.1111.1111, call (977) 555-9722", pii.fit(sample))[1] == []
 
 
 def test_detect_and_redact(spark):
