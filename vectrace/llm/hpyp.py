@@ -2,54 +2,67 @@
 
 Tokens are words (A-Z lower-cased) and one end per text.  Every preceding word, and the text's start,
 has a restaurant that seats the words following it; each of its tables is a customer of the root,
-whose own base is uniform over the known words and one unknown.
-
-1. *Counts.*  All pairs of context and word with their counts, as a table dealt by context.
-2. *Sampling.*  A round seats the root from the tables that the restaurants sent up, joins each word's
-   root probability to its pairs, and sweeps over the restaurants, whole ones in a task; table counts
-   summed by word go up to the next root.  The first root takes one table a pair.  Within a round the
-   root stands still, so a round is an approximate Gibbs step.
-3. *Scores.*  A token costs its word's root probability times its context's back-off, times what the
-   pair's own share adds.  In logarithms these are sums, so each part is joined by itself.
-
-Nothing is left out by size.  ``WORD_SHARE`` and ``PAIR_SHARE`` only decide which values are broadcast
-and which are joined by shuffle.  The root's words are seated by classes of equal customer counts.
-Blocks of customers are seated at once with a Metropolis test against the weights passed over.
+whose own base is uniform over the known words and one unknown.  All contexts, pairs and words count,
+at every size.
+
+The corpus is cut into *units* of some 2 million tokens.  A unit sends its distinct pairs to buckets
+dealt by context and its distinct words to buckets dealt by word, as packed arrays: one row for each
+unit and bucket, never one for a token.
+
+1. *Counts.*  A context bucket merges the pairs of all units and keeps, for each unit, where its pairs
+   went; a word bucket does the same for words.
+2. *Seating.*  Root probabilities follow from how many tables a word has sent up; context buckets sweep
+   over their restaurants by Gibbs sampling and send tables up again (``ROUNDS`` times).  Tables of a
+   dish with few customers are drawn from their exact conditional by generalised Stirling numbers; of
+   one with many, a whole seating is proposed and accepted by Metropolis-Hastings.
+3. *Scores.*  Buckets answer the units: of each pair its own share, averaged over the kept samples, of
+   each word its count, its root probability and its restaurant's back-off.  A unit's texts are read
+   again and summed.
+
+Within a round the root stands still, and a quarter of a restaurant's dishes is drawn at a time, so
+this is a blocked Gibbs sampler that approaches the sequential one.  A context with a large share of all
+tokens has its restaurant dealt in shards by word; a shard takes its tables times the number of shards
+for the whole restaurant's.  Words are told apart by 62 bits of a hash.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vectrace.llm.common import checkpoint, shared_folder, slices, texts
-from vectrace.llm.scan import mix as _mix
+from vectrace.llm import scan
+from vectrace.llm.blobs import ROWS, Held, Row, Store, batch_of, by_key, cut, dealt, distinct, pack, same_cuts, unpack
+from vectrace.llm.scan import mix
 
-#: Words and pairs of at least such a share of all tokens are valued from a broadcast; CONTEXT_SHARE is no longer read.
-WORD_SHARE, CONTEXT_SHARE, PAIR_SHARE = 1 << 20, 1 << 12, 1 << 20
-BURN_IN, SAMPLES = 8, 4
-#: Seatings of the root; after each, all restaurants are swept BURN_IN + SAMPLES times.
-ROUNDS = 2
-#: Pairs swept at once, a whole context at least; runs of contexts and of keys taken one after the other, so that less lies on disk.
-BLOCK_PAIRS, RUNS = 1 << 18, 6
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 CONCENTRATION = 1.0
-#: Replicas that stand for all rare words of one count in the root.
-REPLICAS = 16
-#: Counts up to here keep a class of their own; above, a class is at most 1/1024 of the count.
+#: Sweeps of a round that only sends tables up, sweeps before the first kept sample, and kept samples.
+SENDING, BURN_IN, SAMPLES = 4, 4, 4
+#: Seatings of the root; all restaurants are swept after each.
+ROUNDS = 2
+#: Tokens of a unit (one text more at most) and, about, of a bucket.
+UNIT_TOKENS, BUCKET_TOKENS = 1 << 21, 1 << 21
+#: Contexts of at least this share of all tokens may be split.
+HOT_SHARE = 1 << 16
+#: Dishes of up to so many customers are drawn from their exact conditional.
+EXACT_CUSTOMERS = 24
+#: Parts of a restaurant's dishes that are drawn one after the other.
+PARTS = 4
+#: Words that stand for all words of one class of customer counts in the root.
+REPLICAS = 64
+#: Counts up to here keep a class of their own in the root; above, a class is at most 1/1024 of the count.
 EXACT_COUNTS = 4096
-#: Words whose codes a worker remembers, and tokens it counts before handing them on.
-CACHED_WORDS, FLUSH_TOKENS = 400_000, 1 << 21
-#: Codes of the end token and of all words are 63-bit hashes; the end's is fixed.
-END = 1
-#: The context of a text's first token; no word has this code.
-START = 0
-_RARE = np.uint64(1 << 63)
+#: Codes of the end token and of the context of a text's first token; words have none of these.
+END, START = 1, 0
+_LOW = np.uint64(0xFFFFFFFF)
+
+#: Kinds of rows.
+_SENT, _PAIRS, _CODES, _WORDS, _COUNTS, _PLACES, _ASKED, _TABLES, _CLASS, _ROOTS, _SHARES, _ROOMS, _VALUES, _UNIT = range(14)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -57,404 +70,537 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 1
 
 
-def count_class(count: Column) -> Column:
-    """The upper end of a count's class; at most EXACT_COUNTS + 2048 classes an octave."""
-    octave = F.floor(F.log2(F.greatest(count, F.lit(1)).cast("double")))
-    step = F.greatest(F.lit(1), F.pow(F.lit(2.0), octave - 10).cast("long"))
-    return F.when(count <= EXACT_COUNTS, count).otherwise(F.ceil(count / step).cast("long") * step)
+def count_class(count: np.ndarray) -> np.ndarray:
+    """The upper end of a count's class."""
+    step = 1 << np.maximum(np.frexp(np.maximum(count, 1).astype(np.float64))[1] - 11, 0)
+    return np.where(count <= EXACT_COUNTS, count, -(-count // step) * step)
+
+
+# --- seating -------------------------------------------------------------------------------------
+
+
+def stirling(size: int, discount: float) -> np.ndarray:
+    """Generalised Stirling numbers: weight of all seatings of n customers at t tables, at [n, t]."""
+    out = np.zeros((size + 1, size + 1))
+    out[0, 0] = 1.0
+    for n in range(size):
+        t = np.arange(1, n + 2)
+        out[n + 1, 1 : n + 2] = out[n, : n + 1] + np.maximum(n - discount * t, 0.0) * out[n, 1 : n + 2]
+    return out
+
+
+class Seats:
+    """Tables of dishes, each of at least two customers of one restaurant; sweeps given what else stands there."""
+
+    def __init__(self, room: np.ndarray, customers: np.ndarray, rooms: int, discount: float, rng: np.random.Generator):
+        self.room, self.customers, self.rooms, self.discount, self.rng = room, customers, rooms, discount, rng
+        self.tables = np.ones(len(room))
+        order = np.argsort(room, kind="stable")
+        first = np.zeros(rooms + 1, dtype=np.int64)
+        np.cumsum(np.bincount(room, minlength=rooms), out=first[1:])
+        part = np.empty(len(room), dtype=np.int64)
+        part[order] = (np.arange(len(room)) - first[room[order]]) % PARTS
+        self.log_stirling = np.log(np.maximum(stirling(EXACT_CUSTOMERS, discount), 1e-300))
+        size = np.minimum(customers, EXACT_CUSTOMERS + 1)
+        order = np.lexsort((size, part))
+        edges = np.flatnonzero(np.diff(part[order] * 1000 + size[order], prepend=-1))
+        parts: list[list[tuple[int, np.ndarray]]] = [[] for _ in range(PARTS)]
+        for a, b in zip(edges.tolist(), np.append(edges, len(order))[1:].tolist(), strict=True):
+            parts[part[order[a]]].append((int(size[order[a]]), order[a:b]))
+        self.parts = parts
+        self.paths: dict[int, np.ndarray] = {}
+
+    def sweep(self, root: np.ndarray, fixed: np.ndarray, scale: np.ndarray) -> np.ndarray:
+        """Draw all tables anew, given root probabilities and further tables by room; the rooms' tables after it.
+
+        ``scale`` is what the tables here are multiplied with to give those of the whole restaurant.
+        """
+        total = fixed + np.bincount(self.room, self.tables, self.rooms)
+        for number, groups in enumerate(self.parts):
+            for size, at in groups:
+                others = total[self.room[at]] * scale[self.room[at]] - self.tables[at]
+                if size <= EXACT_CUSTOMERS:
+                    self.tables[at] = self._few(size, root[at], others)
+                else:
+                    self.tables[at] = self._many(number, at, root[at], others)
+            total = fixed + np.bincount(self.room, self.tables, self.rooms)
+        return total
+
+    def _few(self, n: int, root: np.ndarray, others: np.ndarray) -> np.ndarray:
+        d, theta = self.discount, CONCENTRATION
+        if n == 2:
+            odds = (theta + d * (others + 1)) * root / (1 - d)
+            return 1.0 + (self.rng.random(len(root)) * (1 + odds) < odds)
+        more = np.log((theta + d * (others[:, None] + np.arange(1, n))) * root[:, None])
+        weight = np.concatenate((np.zeros((len(root), 1)), np.cumsum(more, axis=1)), axis=1) + self.log_stirling[n, 1 : n + 1]
+        weight = np.cumsum(np.exp(weight - weight.max(axis=1, keepdims=True)), axis=1)
+        return 1.0 + (self.rng.random((len(root), 1)) * weight[:, -1:] >= weight).sum(axis=1)
+
+    def _many(self, part: int, at: np.ndarray, root: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """Customers sit down in turn, in blocks of an eighth once there are 16.
+
+        Such a seating is drawn with its weight over the weights passed over; the test holds those of the
+        new path against those of the old one, both under what stands there now.
+        """
+        order = np.argsort(-self.customers[at], kind="stable")
+        n, root, others = self.customers[at][order], root[order], others[order]
+        d, theta = self.discount, CONCENTRATION
+        old = self.paths.get(part)
+        t, log, before, path, i = np.ones(len(n)), np.zeros(len(n)), np.zeros(len(n)), [], 1
+        while i < n[0]:
+            active = int(np.searchsorted(-n, -i, side="left"))
+            size = np.minimum(max(1, i // 8) if i >= 16 else 1, n[:active] - i)
+            new = (theta + d * (others[:active] + t[:active])) * root[:active]
+            weight = np.maximum(i - d * t[:active], 0.0) + new
+            log[:active] += size * np.log(weight)
+            path.append(t.astype(np.int32))
+            if old is not None:
+                then = old[len(path) - 1][:active]
+                before[:active] += size * np.log(np.maximum(i - d * then, 0.0) + (theta + d * (others[:active] + then)) * root[:active])
+            t[:active] += self.rng.binomial(size, np.minimum(1.0, new / weight))
+            i += max(1, i // 8) if i >= 16 else 1
+        path.append(t.astype(np.int32))
+        if old is not None:
+            stay = np.log(self.rng.random(len(n)) + 1e-300) >= log - before
+            path = [np.where(stay, b, a) for a, b in zip(path, old, strict=True)]
+        self.paths[part] = np.stack(path)
+        out = np.empty(len(n))
+        out[order] = path[-1]
+        return out
 
 
-class _Codes(dict):
-    """Code of each word: its place among the frequent words, or its hash with the top bit set."""
+def restaurants(
+    room: np.ndarray, customers: np.ndarray, root: np.ndarray, fixed: np.ndarray, scale: np.ndarray, discount: float,
+    rng: np.random.Generator, burn_in: int, samples: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sweeps given the root: mean tables of each dish, mean tables of each room with ``fixed``, last tables of each dish."""
+    seats = Seats(room, customers, len(fixed), discount, rng)
+    mean, total = np.zeros(len(room)), np.zeros(len(fixed))
+    for turn in range(burn_in + samples):
+        now = seats.sweep(root, fixed, scale)
+        if turn >= burn_in:
+            mean += seats.tables / samples
+            total += now / samples
+    return mean, total, seats.tables
 
-    def __init__(self, frequent: np.ndarray):
-        self.frequent = frequent
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+@dataclass
+class Root:
+    """Root probability by class of customer counts; the first class, 0, is the unknown word."""
+
+    classes: np.ndarray
+    chance: np.ndarray
+
+    def of(self, customers: np.ndarray) -> np.ndarray:
+        return self.chance[np.searchsorted(self.classes, count_class(customers))]
+
+
+def seat_root(classes: list[tuple[int, int]], types: int, discount: float, seed: int) -> Root:
+    """The root's restaurant from (class of customer counts, number of words): all words of a class by replicas."""
+    rng = np.random.default_rng([17, seed])
+    count = np.array([c for c, _ in classes if c > 0], dtype=np.int64)
+    words = np.array([k for c, k in classes if c > 0], dtype=np.float64)
+    copies = np.minimum(words, REPLICAS).astype(np.int64)
+    customers, share = np.repeat(count, copies), np.repeat(words / copies, copies)
+    base, total = 1.0 / (types + 1), CONCENTRATION + float((count * words).sum())
+    tables, kept, opened = np.ones(len(customers)), np.zeros(len(customers)), 0.0
+    seats = Seats(np.zeros(int((customers > 1).sum()), dtype=np.int64), customers[customers > 1], 1, discount, rng)
+    many = customers > 1
+    for turn in range(BURN_IN + SAMPLES):
+        if many.any():
+            # One replica is moved at a time, as it were: the others' tables are those of all words.
+            others = float((tables * share).sum())
+            seats.sweep(np.full(int(many.sum()), base), np.array([others - tables[many].sum()]), np.ones(1))
+            tables[many] = seats.tables
+        if turn >= BURN_IN:
+            kept += tables / SAMPLES
+            opened += float((tables * share).sum()) / SAMPLES
+    floor = (CONCENTRATION + discount * opened) / total * base
+    mean = np.bincount(np.repeat(np.arange(len(count)), copies), kept, len(count)) / np.maximum(copies, 1)
+    return Root(np.concatenate(([0], count)), np.concatenate(([floor], (count - discount * mean) / total + floor)))
 
-        value = self[word] = self.code((xxhash.xxh3_64_intdigest(word) >> 1) | 2)
-        return value
 
-    def code(self, h: int) -> int:
-        at = int(self.frequent.searchsorted(np.uint64(h)))
-        return at if at < len(self.frequent) and int(self.frequent[at]) == h else h | 1 << 63
+# --- units ---------------------------------------------------------------------------------------
 
 
-def _coded(batch: list[str], codes: _Codes) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all tokens of the texts, and where each text begins."""
-    if len(codes) > CACHED_WORDS:
-        codes.clear()
-    end = codes.code(END)
-    cut = [t.encode("utf-8", "surrogatepass").lower().split() for t in batch]
-    sizes = np.array([len(w) + 1 for w in cut], dtype=np.int64)
-    starts = np.cumsum(sizes) - sizes
-    flat = np.full(int(sizes.sum()), end, dtype=np.uint64)
+def _coded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all tokens of the texts, and how many each text has."""
+    found = scan.words(column)
+    sizes = found.count + 1
+    ends = np.cumsum(sizes) - 1
+    flat = np.full(int(sizes.sum()), END, dtype=np.uint64)
     inner = np.ones(len(flat), dtype=bool)
-    inner[starts + sizes - 1] = False
-    flat[inner] = np.fromiter((codes[w] for ws in cut for w in ws), dtype=np.uint64, count=int(inner.sum()))
-    return flat, starts
-
-
-def _pair_keys(before: np.ndarray, flat: np.ndarray) -> np.ndarray:
-    """64-bit names of the pairs of context and word."""
-    return _mix(_mix(before + np.uint64(0x9E3779B97F4A7C15)) ^ flat)
-
-
-def _before(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The code before each token, START at the start of a text."""
-    before = np.concatenate((np.zeros(1, dtype=np.uint64), flat[:-1]))
-    before[starts] = START
-    return before
-
-
-def _pairs(train: DataFrame, text_col: str) -> DataFrame:
-    """(context, word, n) over all tokens, dealt and sorted by context, combined before the shuffle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = _Codes(np.empty(0, dtype=np.uint64))
-        held, size = [], 0
-
-        def flushed() -> pa.RecordBatch:
-            before, flat = (np.concatenate(x) for x in zip(*held, strict=True))
-            _, at, counts = np.unique(_pair_keys(before, flat), return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (before[at], flat[at], counts)], ["context", "word", "n"])
-
-        for part in slices(batches):
-            flat, starts = _coded(texts(part.column(0)), codes)
-            flat &= ~_RARE
-            held.append((_before(flat, starts), flat))
-            size += len(flat)
-            if size >= FLUSH_TOKENS:
-                yield flushed()
-                held, size = [], 0
-        if size:
-            yield flushed()
-
-    found = train.select(text_col).mapInArrow(run, "context long, word long, n long").repartition("context")
-    return found.groupBy("context", "word").agg(F.sum("n").alias("n")).sortWithinPartitions("context", "word")
+    inner[ends] = False
+    flat[inner] = (found.hash >> np.uint64(1)) | np.uint64(2)
+    return flat, sizes
 
 
 @dataclass
-class Counts:
-    """What the sampler sees of the training tokens."""
+class Unit:
+    """Texts of a unit; its words, pairs and rooms ascending by code, pairs by room and word."""
+
+    origin: int
+    ids: list[pa.Array]
+    held: np.ndarray
+    sizes: np.ndarray
+    word: np.ndarray  # codes, START first
+    word_n: np.ndarray  # training counts
+    token: np.ndarray  # pair of each token
+    pair_word: np.ndarray  # place in word
+    pair_n: np.ndarray  # training counts
+    room: np.ndarray  # codes
+    room_pairs: np.ndarray  # pairs of each
+    room_context: np.ndarray  # place in word
+    room_scale: np.ndarray  # shards that the context is dealt to
+
+    def cut_pairs(self, buckets: int) -> Iterator[tuple[int, slice, slice]]:
+        """(bucket, its rooms, its pairs)."""
+        ends = np.concatenate(([0], np.cumsum(self.room_pairs)))
+        for bucket, a, b in cut(self.room, buckets):
+            yield bucket, slice(a, b), slice(int(ends[a]), int(ends[b]))
+
+
+def _unit(origin: int, ids: list[pa.Array], held: np.ndarray, flat: np.ndarray, sizes: np.ndarray, hot: dict[int, int]) -> Unit:
+    word, at = distinct(flat)
+    word, at = np.concatenate((np.array([START], dtype=np.uint64), word)), at + 1
+    train = np.repeat(~held, sizes)
+    before = np.concatenate(([0], at[:-1]))
+    before[np.cumsum(sizes) - sizes] = 0
+    rooms, context, scale, room_of = word, np.arange(len(word)), np.ones(len(word), dtype=np.int64), before
+    big = [(i, hot[c]) for i, c in enumerate(word.tolist()) if c in hot] if hot else []
+    for i, shards in big:
+        mine = np.flatnonzero(before == i)
+        if room_of is before:
+            room_of = before.copy()
+        room_of[mine] = len(rooms) + (mix(word[at[mine]]) % np.uint64(shards)).astype(np.int64)
+        codes = mix(mix(word[i : i + 1]) + np.arange(1, shards + 1, dtype=np.uint64))
+        rooms = np.concatenate((rooms, (codes >> np.uint64(1)) | np.uint64(2)))
+        context, scale = np.concatenate((context, np.full(shards, i))), np.concatenate((scale, np.full(shards, shards)))
+    order = np.argsort(rooms, kind="stable")
+    rank = np.empty(len(rooms), dtype=np.uint64)
+    rank[order] = np.arange(len(rooms), dtype=np.uint64)
+    pair, token = distinct(rank[room_of] << np.uint64(32) | at.astype(np.uint64))
+    pair_room = (pair >> np.uint64(32)).astype(np.int64)
+    first = np.flatnonzero(np.diff(pair_room, prepend=-1))
+    present = order[pair_room[first]]
+    return Unit(
+        origin, ids, held, sizes, word, np.bincount(at[train], minlength=len(word)), token, (pair & _LOW).astype(np.int64),
+        np.bincount(token[train], minlength=len(pair)), rooms[present], np.diff(first, append=len(pair)), context[present], scale[present],
+    )
 
-    tokens: int
-    types: int
-    texts: int
-    word: np.ndarray  # hashes of frequent words, ascending
-    count: np.ndarray  # their counts
-    context: np.ndarray  # context number of each, -1 where it opens none
-    pair: np.ndarray  # context << 20 | word, ascending
-    pair_count: np.ndarray
-    rare: list[tuple[int, int]]  # (count class, number of words)
 
-    @property
-    def contexts(self) -> int:
-        """Restaurants below the root; the last is that of the text's start."""
-        return int(self.context.max(initial=-1)) + 2
+def _units(batches: Iterator[pa.RecordBatch], hot: dict[int, int], tokens: int) -> Iterator[Unit]:
+    """Units of (id, held_out, text) in the order of the partition."""
+    origin = TaskContext.get().partitionId() << 32
+    ids, held, flats, sizes, size = [], [], [], [], 0
+    for part in scan.byte_slices(batches, 2):
+        flat, n = _coded(part.column(2))
+        ids.append(part.column(0))
+        held.append(part.column(1).to_numpy(zero_copy_only=False).astype(bool))
+        flats.append(flat)
+        sizes.append(n)
+        size += len(flat)
+        if size >= tokens:
+            yield _unit(origin, ids, *map(np.concatenate, (held, flats, sizes)), hot)
+            origin, ids, held, flats, sizes, size = origin + 1, [], [], [], [], 0
+    if size:
+        yield _unit(origin, ids, *map(np.concatenate, (held, flats, sizes)), hot)
 
 
-@dataclass
-class Model:
-    counts: Counts
-    root: np.ndarray  # frequent words x samples: root probability
-    rare_root: np.ndarray  # rare classes x samples
-    unknown: np.ndarray  # samples
-    back_off: np.ndarray  # contexts x samples: weight of the root
-    direct: np.ndarray  # pairs x samples: own share
+# --- jobs ----------------------------------------------------------------------------------------
 
 
-def seat(customers: np.ndarray, new: np.ndarray, discount: float, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """Tables of each dish after its customers sit down in turn, and the log of the passed-over weight.
+def _heavy(source: DataFrame, bucket_tokens: int) -> tuple[int, dict[int, int]]:
+    """All tokens, and the shards of contexts to split.
 
-    ``new`` is the weight of opening a table; the i-th customer joins an old one by i - discount x
-    tables.  Beyond 16 customers, blocks of an eighth are seated at once.
+    A task names the words that make 1 / HOT_SHARE of its own tokens.  A word of twice that share of all
+    tokens has at least that share left after all tasks where it is rarer, so none is missed.
     """
-    order = np.argsort(-customers, kind="stable")
-    c, a = customers[order], new[order]
-    t = (c > 0).astype(np.float64)
-    log = np.zeros(len(c))
-    i = 1
-    while len(c) and i < c[0]:
-        active = int(np.searchsorted(-c, -i, side="left"))
-        step = max(1, i // 8) if i >= 16 else 1
-        size = np.minimum(step, c[:active] - i)
-        weight = np.maximum(i - discount * t[:active], 0.0) + a[:active]
-        log[:active] += size * np.log(weight)
-        t[:active] += rng.binomial(size, np.minimum(1.0, a[:active] / weight))
-        i += step
-    out, logs = np.empty(len(c)), np.empty(len(c))
-    out[order], logs[order] = t, log
-    return out, logs
-
-
-class _Dishes:
-    """Dishes of one level and their table counts; a sweep proposes new seatings dish by dish."""
-
-    def __init__(self, size: int):
-        self.tables, self.log, self.empty = np.zeros(size), np.zeros(size), True
-
-    def sweep(self, customers: np.ndarray, new: np.ndarray, discount: float, rng: np.random.Generator) -> None:
-        tables, log = seat(customers, new, discount, rng)
-        # Seating in turn draws a seating with its weight over the weights passed over; this undoes it.
-        take = self.empty | (np.log(rng.random(len(tables)) + 1e-300) < log - self.log) | (self.tables > customers)
-        self.tables, self.log, self.empty = np.where(take, tables, self.tables), np.where(take, log, self.log), False
-
-
-def sample(counts: Counts, seed: int = 11) -> Model:
-    """Gibbs sweeps over all restaurants; returns the predictive parts of the kept samples."""
-    rng = np.random.default_rng(seed)
-    by_count = dict(counts.rare)
-    ones, twos = by_count.get(1, 0), by_count.get(2, 0)
-    discount = float(np.clip(ones / max(1, ones + 2 * twos), 0.2, 0.9))
-    theta = CONCENTRATION
-    size = len(counts.word)
-    context, word = (counts.pair >> 20).astype(np.int64), (counts.pair & 0xFFFFF).astype(np.int64)
-    seated = np.zeros(counts.contexts)
-    mine = counts.context >= 0
-    seated[counts.context[mine]] = counts.count[mine]
-    seated[-1] = counts.texts
-    kept = np.bincount(context, counts.pair_count, counts.contexts)
-    dropped = np.maximum(seated - kept, 0.0)
-    alone = counts.count - np.bincount(word, counts.pair_count, size)
-    rare_count = np.array([c for c, _ in counts.rare], dtype=np.int64)
-    rare_words = np.array([k for _, k in counts.rare], dtype=np.float64)
-    replicas = np.repeat(rare_count, REPLICAS)
-    below, top, rare = _Dishes(len(word)), _Dishes(size), _Dishes(len(replicas))
-    tables, root_tables = np.ones(counts.contexts), float(size + rare_words.sum())
-    root = (counts.count + 0.5) / max(1, counts.tokens)
-    keep: list[tuple[np.ndarray, ...]] = []
-    for turn in range(BURN_IN + SAMPLES):
-        below.sweep(counts.pair_count, (theta + discount * tables[context]) * root[word], discount, rng)
-        tables = np.bincount(context, below.tables, counts.contexts)
-        customers = np.maximum(alone + np.bincount(word, below.tables, size), 0).astype(np.int64)
-        weight = (theta + discount * root_tables) / (counts.types + 1)
-        top.sweep(customers, np.full(size, weight), discount, rng)
-        rare.sweep(replicas, np.full(len(replicas), weight), discount, rng)
-        rare_mean = rare.tables.reshape(-1, REPLICAS).mean(axis=1)
-        root_tables = float(top.tables.sum() + (rare_mean * rare_words).sum())
-        total = theta + float(customers.sum()) + float((rare_count * rare_words).sum())
-        floor = (theta + discount * root_tables) / total / (counts.types + 1)
-        root = np.maximum(customers - discount * top.tables, 0.0) / total + floor
-        if turn >= BURN_IN:
-            keep.append((
-                root, np.maximum(rare_count - discount * rare_mean, 0.0) / total + floor, np.array(floor),
-                (theta + discount * tables + dropped) / (theta + seated),
-                np.maximum(counts.pair_count - discount * below.tables, 0.0) / (theta + seated[context]),
-            ))
-    return Model(counts, *(np.stack(x, axis=-1) for x in zip(*keep, strict=True)))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, size = [], 0
+        total = {}
 
-def restaurants(
-    room: np.ndarray, count: np.ndarray, root: np.ndarray, alone: np.ndarray, discount: float, rng: np.random.Generator
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sweeps over whole restaurants given the root: own share of each pair, back-off of each room, last tables.
-
-    ``alone`` is the number of further words seen once in each room.  Shares are averaged over the kept
-    samples; those of a room and its back-off sum to one.
-    """
-    rooms, theta = len(alone), CONCENTRATION
-    seated = theta + np.bincount(room, count, rooms) + alone
-    many = count > 1
-    at, customers, below = room[many], count[many], _Dishes(int(many.sum()))
-    fixed = alone + np.bincount(room[~many], minlength=rooms)
-    total = fixed + np.bincount(at, minlength=rooms)
-    sums, totals = np.zeros(len(at)), np.zeros(rooms)
-    for turn in range(BURN_IN + SAMPLES):
-        below.sweep(customers, (theta + discount * total[at]) * root[many], discount, rng)
-        total = fixed + np.bincount(at, below.tables, rooms)
-        if turn >= BURN_IN:
-            sums += below.tables / SAMPLES
-            totals += total / SAMPLES
-    mean, last = np.ones(len(count)), np.ones(len(count))
-    mean[many], last[many] = sums, below.tables
-    return (count - discount * mean) / seated[room], (theta + discount * totals) / seated, last
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            codes, at = distinct(np.concatenate([c for c, _ in seen]))
+            return codes, np.bincount(at, np.concatenate([n for _, n in seen]), len(codes)).astype(np.int64)
 
+        for part in scan.byte_slices(batches, 2):
+            flat, sizes = _coded(part.column(2))
+            seen.append(np.unique(flat, return_counts=True))
+            seen.append((np.array([START], dtype=np.uint64), np.array([len(sizes)])))
+            size += len(flat)
+            if sum(len(c) for c, _ in seen) > UNIT_TOKENS:
+                seen = [merged()]
+        if size:
+            codes, n = merged()
+            much = n >= max(2, size // HOT_SHARE)
+            total = {"code": np.concatenate((codes[much].astype(np.int64), [-1])), "n": np.concatenate((n[much], [size]))}
+            yield pa.RecordBatch.from_pydict(total)
 
-def _swept(pairs: DataFrame, discount: float, seed: int) -> DataFrame:
-    """Restaurants of (context, word, n, root), all rows of a context in one task; word null: n words seen once.
+    found = source.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    rows = {r["code"]: r["n"] for r in found.filter((F.col("code") == -1) | (F.col("n") > 2 * bucket_tokens)).collect()}  # HOT_SHARE at most
+    return rows.get(-1, 0), {c: -(-n // bucket_tokens) for c, n in rows.items() if c >= 0}
 
-    Rows (context, key, word, n, tables, value): of a pair the log10 of what its own share adds to the
-    back-off's chance; of a context, where key is null, the log10 of its back-off.
-    """
 
-    def block(context: np.ndarray, word: np.ndarray, n: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
-        own = word != 0
-        names, room = np.unique(context, return_inverse=True)
-        alone = np.bincount(room[~own], n[~own], len(names))
-        room, n, root, word = room[own], n[own], root[own], word[own]
-        rng = np.random.default_rng([seed, int(names[0]), len(context)])
-        direct, back_off, tables = restaurants(room, n, root, alone, discount, rng)
-        value = np.log10(1 + direct / (back_off[room] * root))
-        keys = _pair_keys(names[room].astype(np.uint64), word.astype(np.uint64)).astype(np.int64)
-        none = len(names)
-        missing = lambda x, kind: pa.concat_arrays([pa.array(x, kind), pa.nulls(none, kind)])
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.concat_arrays([pa.nulls(len(n), pa.int64()), pa.array(names)]), missing(keys, pa.int64()), missing(word, pa.int64()),
-                missing(n, pa.int64()), missing(tables.astype(np.int64), pa.int64()), pa.array(np.concatenate((value, np.log10(back_off)))),
-            ],
-            ["context", "key", "word", "n", "tables", "value"],
-        )
+def _send(source: DataFrame, hot: dict[int, int], buckets: int, unit_tokens: int) -> DataFrame:
+    """Each unit's pairs to the context buckets (keys from 0 up) and words to the word buckets (from -1 down)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            cols = [batch.column(0), batch.column(1).fill_null(0), batch.column(2), batch.column(3).fill_null(1.0)]
-            held.append([c.to_numpy(zero_copy_only=False) for c in cols])
-            size += batch.num_rows
-            if size >= BLOCK_PAIRS and held[0][0][0] != held[-1][0][-1]:
-                context, *rest = (np.concatenate(x) for x in zip(*held, strict=True))
-                cut = int(np.searchsorted(context, context[-1]))
-                yield block(context[:cut], *(x[:cut] for x in rest))
-                held, size = [[context[cut:], *(x[cut:] for x in rest)]], len(context) - cut
-        if size:
-            yield block(*(np.concatenate(x) for x in zip(*held, strict=True)))
-
-    dealt = pairs.repartition("context").sortWithinPartitions("context", "word").select("context", "word", "n", "root")
-    return dealt.mapInArrow(run, "context long, key long, word long, n long, tables long, value double")
-
-
-def _written(df: DataFrame, folder: str) -> DataFrame:
-    """``df`` added as Parquet to a shared folder; the shuffle files behind it are given back at once."""
-    spark = df.sparkSession
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.mode("append").parquet(folder)
-    finally:
-        spark.conf.set(_CLEANUP, before)
-    return spark.read.parquet(folder)
+        for u in _units(batches, hot, unit_tokens):
+            rows = []
+            for bucket, rooms, pairs in u.cut_pairs(buckets):
+                split = np.flatnonzero(u.room_scale[rooms] > 1)
+                body = pack(
+                    u.room[rooms], u.room_pairs[rooms].astype(np.uint32), u.word[u.pair_word[pairs]], u.pair_n[pairs].astype(np.uint32),
+                    split, u.word[u.room_context[rooms][split]], u.room_scale[rooms][split],
+                )
+                rows.append((_SENT, bucket, u.origin, body, 0, 0))
+            for bucket, a, b in cut(u.word, buckets):
+                rows.append((_SENT, -1 - bucket, u.origin, pack(u.word[a:b], u.word_n[a:b].astype(np.uint32)), 0, 0))
+            yield batch_of(rows)
+
+    return source.mapInArrow(run, ROWS)
+
+
+def _merge(buckets: int) -> Callable[[int, Held], Iterator[Row]]:
+    """Merged pairs of a context bucket, merged words of a word bucket, and each unit's places in them."""
+
+    def words(key: int, sent: list[tuple[int, bytes]]) -> Iterator[Row]:
+        parts = [unpack(body) for _, body in sent]
+        word, at = distinct(np.concatenate([p[0] for p in parts]))
+        count = np.bincount(at, np.concatenate([p[1] for p in parts]), len(word)).astype(np.int64)
+        yield _COUNTS, key, 0, pack(word, count), int(count.sum()), int((count > 0).sum())
+        end = 0
+        for (origin, _), p in zip(sent, parts, strict=True):
+            start, end = end, end + len(p[0])
+            yield _PLACES, key, origin, pack(at[start:end].astype(np.uint32)), 0, 0
+
+    def pairs(key: int, sent: list[tuple[int, bytes]]) -> Iterator[Row]:
+        parts = [unpack(body) for _, body in sent]
+        room, in_room = distinct(np.concatenate([p[0] for p in parts]))
+        word, in_word = distinct(np.concatenate([p[2] for p in parts]))
+        in_room = np.repeat(in_room, np.concatenate([p[1] for p in parts]))
+        pair, at = distinct(in_room.astype(np.uint64) << np.uint64(32) | in_word.astype(np.uint64))
+        count = np.bincount(at, np.concatenate([p[3] for p in parts]), len(pair)).astype(np.int64)
+        context, scale = room.copy(), np.ones(len(room), dtype=np.int64)
+        for p in parts:
+            place = np.searchsorted(room, p[0][p[4]])
+            context[place], scale[place] = p[5], p[6]
+        pair_room, pair_word = (pair >> np.uint64(32)).astype(np.int64), (pair & _LOW).astype(np.int64)
+        once, many = count == 1, count > 1
+        code = once.astype(np.uint32)
+        code[many] = np.arange(2, 2 + int(many.sum()))
+        end = 0
+        for (origin, _), p in zip(sent, parts, strict=True):
+            start, end = end, end + len(p[2])
+            check = np.bitwise_xor.reduce(p[2], keepdims=True) if len(p[2]) else np.zeros(1, dtype=np.uint64)
+            yield _CODES, key, origin, pack(code[at[start:end]], check), 0, 0
+        customers = np.bincount(pair_room, count, len(room)).astype(np.int64)
+        keep = customers > 0
+        if not keep.any():
+            return
+        singles = np.bincount(pair_room[once], minlength=len(room))
+        wanted, want = distinct(pair_word[many])
+        number = np.cumsum(keep) - 1
+        body = pack(context[keep], scale[keep], customers[keep], singles[keep], number[pair_room[many]].astype(np.uint32), want.astype(np.uint32), count[many])
+        yield _PAIRS, key, 0, body, int(once.sum()), int((count == 2).sum())
+        known = np.bincount(pair_word[count > 0], minlength=len(word))
+        alone = np.bincount(pair_word[once], minlength=len(word))
+        mine = known > 0
+        for bucket, a, b in cut(word[mine], buckets):
+            yield _WORDS, -1 - bucket, key, pack(word[mine][a:b], alone[mine][a:b].astype(np.uint32), known[mine][a:b].astype(np.uint32)), 0, 0
+
+    def make(key: int, held: Held) -> Iterator[Row]:
+        return pairs(key, held[_SENT]) if key >= 0 else words(key, held[_SENT])
+
+    return make
+
+
+def _customers(key: int, held: Held) -> Iterator[Row]:
+    """Customers of each word in the root, told to the buckets that sweep over it; their classes and counts."""
+    asked = held.get(_WORDS, [])
+    if not asked:
+        return
+    sent = {origin: unpack(body)[0] for origin, body in held.get(_TABLES, [])}
+    parts = [unpack(body) for _, body in asked]
+    word, at = distinct(np.concatenate([p[0] for p in parts]))
+    tables = []
+    for (origin, _), (_, alone, known) in zip(asked, parts, strict=True):
+        mine = known.astype(np.int64)
+        if origin in sent:
+            mine = alone.astype(np.int64)
+            mine[known > alone] += sent[origin]
+        tables.append(mine)
+    customers = np.bincount(at, np.concatenate(tables), len(word)).astype(np.int64)
+    end = 0
+    for (origin, _), (codes, alone, known) in zip(asked, parts, strict=True):
+        start, end = end, end + len(codes)
+        if (want := known > alone).any():
+            yield _ASKED, origin, -1 - key, pack(customers[at[start:end]][want]), 0, 0
+    for c, k in zip(*(x.tolist() for x in np.unique(count_class(customers), return_counts=True)), strict=True):
+        yield _CLASS, 0, 0, None, c, k
+    yield _ROOTS, key, 0, pack(word, customers), 0, 0
+
+
+def _sweep(root: Root, discount: float, seed: int, buckets: int, last: bool) -> Callable[[int, Held], Iterator[Row]]:
+    """Sweeps over the restaurants of a bucket: tables sent up; at ``last`` shares for the units and sums by context."""
+
+    def make(key: int, held: Held) -> Iterator[Row]:
+        share = np.zeros(0)
+        if _PAIRS in held:
+            context, scale, customers, singles, room, want, count = unpack(held[_PAIRS][0][1])
+            answers = [unpack(body)[0] for _, body in held.get(_ASKED, [])]
+            chance = root.of(np.concatenate(answers)) if answers else np.zeros(0)
+            rng = np.random.default_rng([seed, key])
+            mean, total, tables = restaurants(
+                room.astype(np.int64), count, chance[want], singles.astype(np.float64), scale.astype(np.float64), discount, rng,
+                BURN_IN if last else SENDING - 1, SAMPLES if last else 1,
+            )
+            share = count - discount * mean
+            if last:
+                order = np.argsort(context, kind="stable")
+                for bucket, a, b in cut(context[order], buckets):
+                    yield _ROOMS, -1 - bucket, key, pack(context[order[a:b]], customers[order[a:b]], total[order[a:b]]), 0, 0
+            else:
+                sums, end = np.bincount(want, tables, len(chance)).astype(np.uint32), 0
+                for (bucket, _), answer in zip(held.get(_ASKED, []), answers, strict=True):
+                    start, end = end, end + len(answer)
+                    yield _TABLES, -1 - bucket, key, pack(sums[start:end]), 0, 0
+        value = np.concatenate(([0.0, 1.0 - discount], share)).astype(np.float32)
+        for origin, body in held.get(_CODES, []):
+            code, check = unpack(body)
+            yield _SHARES, origin, key, pack(value[code], check), 0, 0
+
+    return make
+
+
+def _values(root: Root, discount: float) -> Callable[[int, Held], Iterator[Row]]:
+    """Answers to the units: of each word its count, root probability, back-off and customers as a context."""
+
+    def make(key: int, held: Held) -> Iterator[Row]:
+        if _COUNTS not in held:
+            return
+        word, count = unpack(held[_COUNTS][0][1])
+        chance = np.full(len(word), root.chance[0])
+        for _, body in held.get(_ROOTS, []):
+            known, customers = unpack(body)
+            chance[np.searchsorted(word, known)] = root.of(customers)
+        seated, tables = np.zeros(len(word)), np.zeros(len(word))
+        for _, body in held.get(_ROOMS, []):
+            context, customers, total = unpack(body)
+            at = np.searchsorted(word, context)
+            np.add.at(seated, at, customers)
+            np.add.at(tables, at, total)
+        seated += CONCENTRATION
+        back_off = (CONCENTRATION + discount * tables) / seated
+        for origin, body in held.get(_PLACES, []):
+            at = unpack(body)[0]
+            yield _VALUES, origin, -1 - key, pack(count[at], chance[at], back_off[at].astype(np.float32), seated[at].astype(np.float32)), 0, 0
+
+    return make
+
+
+def _again(source: DataFrame, hot: dict[int, int], buckets: int, unit_tokens: int) -> DataFrame:
+    """Each unit as it is summed at the end: its texts' ids and sizes, and the pair of each token."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for u in _units(batches, hot, unit_tokens):
+            ids = pa.chunked_array(u.ids).combine_chunks()
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, pa.schema([("id", ids.type)])) as out:
+                out.write_batch(pa.RecordBatch.from_arrays([ids], ["id"]))
+            check, size = [], []
+            for _, _, pairs in u.cut_pairs(buckets):
+                check.append(np.bitwise_xor.reduce(u.word[u.pair_word[pairs]]))
+                size.append(pairs.stop - pairs.start)
+            body = pack(
+                np.frombuffer(sink.getvalue(), dtype=np.uint8), u.held.view(np.uint8), u.sizes, u.token.astype(np.uint32), u.pair_word.astype(np.uint32),
+                u.room_context.astype(np.uint32), u.room_pairs.astype(np.uint32), np.array(check, dtype=np.uint64), np.array(size),
+            )
+            yield batch_of([(_UNIT, u.origin, 0, body, 0, 0)])
 
-def _deleted(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return source.mapInArrow(run, ROWS)
 
 
-def _rooted(words: DataFrame, tokens: int, types: int, seed: int) -> tuple[DataFrame, float]:
-    """``words`` with the column root from their customers, and the unknown word's root probability."""
-    classed = words.withColumn("class", count_class(F.col("customers")))
-    seen = classed.groupBy("class").agg(F.count("*").alias("k")).collect()  # bounded by count_class
-    rare = sorted((int(r["class"]), int(r["k"])) for r in seen)
-    none = np.empty(0, dtype=np.int64)
-    model = sample(Counts(tokens, types, 0, none.astype(np.uint64), none, none, none, none, rare), seed)
-    roots = [(c, float(p)) for (c, _), p in zip(rare, model.rare_root.mean(axis=1), strict=True)] if rare else []
-    by_class = words.sparkSession.createDataFrame(roots, "class long, root double")
-    return classed.join(F.broadcast(by_class), "class").drop("class"), float(model.unknown.mean())
+def _summed(rows: DataFrame, id_type: str, tokens: int, types: int) -> DataFrame:
+    """The texts' sums from units, shares of their pairs and values of their words."""
 
+    def unit(body: bytes, shares: list[tuple[int, bytes]], values: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        raw, held, sizes, token, pair_word, room_context, room_pairs, check, size = unpack(body)
+        parts = [unpack(b) for _, b in shares]
+        if [len(p[0]) for p in parts] != size.tolist() or [int(p[1][0]) for p in parts] != check.tolist():
+            raise RuntimeError("the texts read differently the second time")
+        count, chance, back_off, seated = (np.concatenate(x) for x in zip(*(unpack(b) for _, b in values), strict=True))
+        context = np.repeat(room_context, room_pairs)
+        score = np.log10(np.concatenate([p[0] for p in parts]) / seated[context].astype(np.float64) + back_off[context] * chance[pair_word])
+        base = np.log10((count + 0.5) / (tokens + 0.5 * (types + 1)))
+        word, starts = pair_word[token], np.cumsum(sizes) - sizes
+        total = [np.add.reduceat(x, starts) for x in ((count > 0)[word].astype(np.int64), base[word], score[token])]
+        ids = pa.ipc.open_stream(pa.py_buffer(raw)).read_all().column(0).combine_chunks()
+        cols = [held.astype(bool), sizes, total[0], np.full(len(sizes), tokens), total[1], total[2]]
+        return pa.RecordBatch.from_arrays([ids, *map(pa.array, cols)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, {}
+        for batch in batches:
+            kinds, keys, origins = (batch.column(i).to_pylist() for i in range(3))
+            for i, key in enumerate(keys):
+                if key != now:
+                    if held:
+                        yield unit(held[_UNIT][0][1], held[_SHARES], held[_VALUES])
+                    now, held = key, {}
+                held.setdefault(kinds[i], []).append((origins[i], batch.column(3)[i].as_py()))
+        if held:
+            yield unit(held[_UNIT][0][1], held[_SHARES], held[_VALUES])
+
+    schema = f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return dealt(rows).mapInArrow(run, schema)
+
+
+def score(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit_tokens: int = UNIT_TOKENS, bucket_tokens: int = BUCKET_TOKENS
+) -> DataFrame:
     """One row per input row: (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
     ``base_score`` is the log10 probability of the text under add-half unigrams, ``score`` under the
     model.  Null texts are empty: their end alone is scored.  Rows that repeat are scored each.  No
-    training rows at all leave every token unknown.  ``df`` must read the same when read again.
+    training rows at all leave every token unknown; an empty table gives no rows.  The texts are read
+    three times and cut the same way each time; if they read differently the job fails.
     """
-    spark = df.sparkSession
-    counted, valued = shared_folder(spark, "hpyp-pairs"), shared_folder(spark, "hpyp-values")
-    pairs = _written(_pairs(df.filter(~held_out(F.col(id_col))), text_col), counted)
-    once = F.count(F.when(F.col("n") == 1, 1))
-    words = checkpoint(pairs.groupBy("word").agg(F.sum("n").alias("count"), F.count("*").alias("customers"), once.alias("once")))
-    total = words.agg(F.sum("count").alias("n"), F.count("*").alias("v"), F.sum("once").alias("once")).first()
-    tokens, types, ones = int(total["n"] or 0), int(total["v"]), int(total["once"] or 0)
-    twos = pairs.filter("n = 2").count()
+    with same_cuts(df.sparkSession):
+        return _score(df, id_col, text_col, unit_tokens, bucket_tokens)
+
+
+def _score(df: DataFrame, id_col: str, text_col: str, unit_tokens: int, bucket_tokens: int) -> DataFrame:
+    store, kind = Store(df.sparkSession, "hpyp", ROWS), dict(df.dtypes)[id_col]
+    source = df.select(F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held"), F.col(text_col).alias("text"))
+    size, hot = _heavy(source, bucket_tokens)
+    buckets = max(1, -(-size // bucket_tokens))
+    store.write(by_key(_send(source, hot, buckets, unit_tokens), _merge(buckets)), "merged")
+    total = store.read("merged", _COUNTS).agg(F.sum("a").alias("n"), F.sum("b").alias("v")).first()
+    tokens, types = int(total["n"] or 0), int(total["v"] or 0)
+    seen = store.read("merged", _PAIRS).agg(F.sum("a").alias("once"), F.sum("b").alias("twice")).first()
+    ones, twos = int(seen["once"] or 0), int(seen["twice"] or 0)
     discount = float(np.clip(ones / max(1, ones + 2 * twos), 0.2, 0.9))
-    for turn in range(ROUNDS - 1):
-        rooted, _ = _rooted(words, tokens, types, turn)
-        many = pairs.filter("n > 1").join(rooted.select("word", "root"), "word").select("context", "word", "n", "root")
-        alone = pairs.filter("n = 1").groupBy("context").agg(F.count("*").alias("n"))
-        alone = alone.select("context", F.lit(None).cast("long").alias("word"), "n", F.lit(None).cast("double").alias("root"))
-        sent = _swept(many.unionByName(alone), discount, turn).filter(F.col("key").isNotNull()).groupBy("word").agg(F.sum("tables").alias("sent"))
-        words = checkpoint(words.join(sent, "word", "left").select("word", "count", (F.col("once") + F.coalesce("sent", F.lit(0))).alias("customers"), "once"))
-    rooted, unknown = _rooted(words, tokens, types, ROUNDS - 1)
-    rooted = checkpoint(rooted)
-    for turn in range(RUNS):
-        some = pairs.filter(F.pmod(F.xxhash64("context"), F.lit(RUNS)) == turn)
-        swept = _swept(some.join(rooted.select("word", "root"), "word"), discount, ROUNDS - 1)
-        values = _written(swept.select("context", "key", "n", F.col("value").cast("float").alias("value")), valued)
-    _deleted(spark, counted)
-    rooms = values.filter(F.col("key").isNull()).select(F.col("context").alias("word"), F.col("value").alias("back_off"))
-    first = rooms.filter(F.col("word") == START).first()
-    plain = F.log10((F.col("count") + 0.5) / (tokens + 0.5 * (types + 1)))
-    priced = checkpoint(rooted.join(rooms, "word", "left").select(
-        F.col("word").alias("key"), "count", plain.alias("base"), (F.log10("root") + F.coalesce("back_off", F.lit(0.0))).alias("value")
-    ))
-    return _scored(df, id_col, text_col, priced, values.filter(F.col("key").isNotNull()), tokens, types, unknown, first["back_off"] if first else 0.0)
-
-
-def _scored(
-    df: DataFrame, id_col: str, text_col: str, words: DataFrame, pairs: DataFrame, tokens: int, types: int, unknown: float, first: float
-) -> DataFrame:
-    """The texts' sums over words (key, count, base, value) and pairs (key, n, value)."""
-    spark = df.sparkSession
-    often = words.filter(F.col("count") * WORD_SHARE >= tokens).toPandas().sort_values("key")  # at most WORD_SHARE rows
-    common = pairs.filter(F.col("n") * PAIR_SHARE >= tokens).select("key", "value").toPandas()  # at most PAIR_SHARE rows
-    order = np.argsort(common["key"].to_numpy().astype(np.int64).view(np.uint64))
-    shared = spark.sparkContext.broadcast((
-        often["key"].to_numpy().astype(np.uint64), often["base"].to_numpy(dtype=float), often["value"].to_numpy(dtype=float),
-        common["key"].to_numpy().astype(np.int64).view(np.uint64)[order], common["value"].to_numpy(dtype=np.float32)[order],
-    ))  # at most 36 MB
-    plain, chance = float(np.log10(0.5 / (tokens + 0.5 * (types + 1)))), float(np.log10(unknown))
-    known, worth = F.lit(1).alias("n_known"), (F.col("value") - chance).alias("score")
-    table = (
-        words.filter(F.col("count") * WORD_SHARE < tokens).select("key", known, (F.col("base") - plain).alias("base_score"), worth)
-        .unionByName(pairs.filter(F.col("n") * PAIR_SHARE < tokens).select("key", F.lit(0).alias("n_known"), F.lit(0.0).alias("base_score"), F.col("value").cast("double").alias("score")))
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word, base, value, pair, share = shared.value
-        codes = _Codes(word)
-        for part in slices(batches):
-            flat, starts = _coded(texts(part.column(3)), codes)
-            frequent = flat < _RARE
-            at = flat[frequent].astype(np.int64)
-            sums, bases = np.full(len(flat), chance), np.full(len(flat), plain)
-            sums[frequent], bases[frequent] = value[at], base[at]
-            flat &= ~_RARE
-            flat[frequent] = word[at]
-            keys = _pair_keys(_before(flat, starts), flat)
-            place = np.searchsorted(pair, keys)
-            hit = np.flatnonzero(place < len(pair))
-            hit = hit[pair[place[hit]] == keys[hit]]
-            sums[hit] += share[place[hit]]
-            # Two places a token: its pair's key and its word's, where they are not valued here.
-            wanted = np.empty((len(flat), 2), dtype=bool)
-            wanted[:, 0], wanted[:, 1] = True, ~frequent
-            wanted[hit, 0] = False
-            both = np.stack((keys, flat), axis=1)
-            sizes = np.diff(np.append(starts, len(flat)))
-            parts = [np.add.reduceat(x, starts) if len(starts) else x for x in (frequent.astype(np.int64), bases, sums, wanted.sum(axis=1))]
-            offsets = pa.array(np.concatenate(([0], np.cumsum(parts[3]))), pa.int32())
-            lists = pa.ListArray.from_arrays(offsets, pa.array(both[wanted].astype(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [*(part.column(i) for i in range(3)), pa.array(sizes, pa.int64()), *map(pa.array, (parts[0], parts[1], parts[2] + first)), lists],
-                ["uid", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "keys"],
-            )
-
-    kind = dict(df.dtypes)[id_col]
-    schema = f"uid long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, keys array<long>"
-    source = df.select(
-        F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col)
-    )
-    listed, summed = shared_folder(spark, "hpyp-listed"), shared_folder(spark, "hpyp-summed")
-    partly = _written(source.mapInArrow(run, schema), listed)
-    sums = [F.sum(c).alias(c) for c in ("n_known", "base_score", "score")]
-    for turn in range(RUNS):
-        mine = lambda key: F.pmod(key, F.lit(RUNS)) == turn  # noqa: B023, E731
-        wanted = partly.select("uid", F.explode(F.filter("keys", mine)).alias("key"))
-        found = _written(wanted.join(table.filter(mine(F.col("key"))), "key").groupBy("uid").agg(*sums), summed)
-    extra = found.select(
-        "uid", F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("boolean").alias("held_out"), F.lit(0).cast("long").alias("n_tokens"),
-        "n_known", "base_score", "score",
-    )
-    whole = partly.drop("keys").unionByName(extra).groupBy("uid").agg(
-        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), *sums
-    )
-    return whole.select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score"
-    )
+    words, pairs = store.read("merged", _WORDS), store.read("merged", _PAIRS)
+    for turn in range(ROUNDS):
+        sent = words.unionByName(store.read(f"swept{turn - 1}", _TABLES)) if turn else words
+        store.write(by_key(sent, _customers), f"asked{turn}")
+        found = store.read(f"asked{turn}", _CLASS).groupBy("a").agg(F.sum("b").alias("n")).collect()  # bounded by count_class
+        root = seat_root(sorted((int(r["a"]), int(r["n"])) for r in found), types, discount, turn)
+        last = turn == ROUNDS - 1
+        told = pairs.unionByName(store.read(f"asked{turn}", _ASKED))
+        told = told.unionByName(store.read("merged", _CODES)) if last else told
+        store.write(by_key(told, _sweep(root, discount, turn, buckets, last)), f"swept{turn}")
+    known = store.read("merged", _COUNTS, _PLACES).unionByName(store.read(f"asked{turn}", _ROOTS)).unionByName(store.read(f"swept{turn}", _ROOMS))
+    store.write(by_key(known, _values(root, discount)), "values")
+    store.drop("merged", *(f"asked{i}" for i in range(ROUNDS)), *(f"swept{i}" for i in range(ROUNDS - 1)))
+    rows = _again(source, hot, buckets, unit_tokens).unionByName(store.read(f"swept{turn}", _SHARES)).unionByName(store.read("values", _VALUES))
+    done = _summed(rows, kind, tokens, types)
+    store.write(done, "scores", by_kind=False)
+    store.drop(f"swept{turn}", "values")
+    return store.whole("scores", done.schema)
 
 
 def perplexity(scored: DataFrame) -> DataFrame:
