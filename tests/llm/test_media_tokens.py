@@ -4,9 +4,10 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from vectrace.llm import bpe, gif, unigram
+from vectrace.llm import bpe, gif, scan, unigram
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
@@ -88,6 +89,29 @@ def test_disposal_transparency_local_palette_and_interlace():
             list(gif.decode(broken))
 
 
+def test_every_cut_and_a_huge_canvas_are_error_rows(spark):
+    data = gif.encode(bytes(range(64)) * 3)
+    rows = [(i, data[:i]) for i in range(len(data))] + [(-1, b"GIF89a" + struct.pack("<HHBBB", 65535, 65535, 0, 0, 0) + b";")]
+    df = spark.createDataFrame(rows, "doc_id long, media binary").repartition(2)
+    got = gif.frames(df).collect()
+    assert {r.doc_id for r in got if r.error} == {i for i, _ in rows}
+    assert next(r for r in got if r.doc_id == -1).error == "the canvas is too large"
+    palette = bytes([0, 0, 0, 255, 0, 0, 0, 255, 0, 0, 0, 255])
+    head = b"GIF89a" + struct.pack("<HHBBB", 2, 1, 0x80, 0, 0) + palette[:6]  # two colours
+    clear = next(gif.decode(head + image(0, 0, 2, 1, [1, 3], control=(0, 3, 1)) + b";"))  # the transparent index lies beyond them
+    assert clear.canvas[0].tolist() == [[255, 0, 0, 255], [0, 0, 0, 0]] and sum(gif.histograms(clear)[0]) == 1
+    with pytest.raises(gif.GifError):
+        next(gif.decode(head + image(0, 0, 2, 1, [1, 3]) + b";"))
+
+
+def test_histograms_of_covering_frames_equal_those_of_the_canvas():
+    rng = random.Random(5)
+    for f in gif.decode(gif.encode(bytes(rng.randrange(256) for _ in range(64 * 1500)))):
+        whole = gif.histograms(f)
+        f.alone = None
+        assert gif.histograms(f) == whole
+
+
 def test_media_operators(spark):
     texts = [None, "", "a", "a", "é日🙂", "long text " * 20_000]
     df = spark.createDataFrame([(i, t, 5) for i, t in enumerate(texts)], "doc_id long, text string, media int")
@@ -129,11 +153,54 @@ def test_replay_equals_the_definition_where_rank_order_goes_back():
     # "abc" ranks below "bc", so merging in rank order passes it before (a, bc) can form.
     import base64
 
-    tokens = [bytes([i]) for i in range(256)] + [b"abc", b"bc", b"xbc", b"xabc"]
+    tokens = [bytes([i]) for i in range(256)] + [b"abc", b"bc", b"xbc", b"xabc", b"aa", b"aaa"]
     file = b"\n".join(base64.b64encode(t) + b" " + str(i).encode() for i, t in enumerate(tokens))
     coder = bpe.Coder(file, r"\S+|\s+")
-    words = [b"abcabc", b"xabc", b"aabcc", b"xbcabc"]
-    assert coder.replay(words) == [coder._alone(w) for w in words]
+
+    def definition(piece):
+        ids = list(piece)
+        while pairs := [(r, i) for i in range(len(ids) - 1) if (r := coder.rank_of(ids[i], ids[i + 1])) >= 0]:
+            rank, i = min(pairs)
+            ids[i : i + 2] = [rank]
+        return ids
+
+    rng = random.Random(3)
+    words = [b"abcabc", b"xabc", b"aabcc", b"xbcabc", b"", b"aaaaaaa", *(bytes(rng.choice(b"abcx") for _ in range(rng.randint(1, 12))) for _ in range(300))]
+    ids, count = coder.replay(np.frombuffer(b"".join(words), dtype=np.uint8), np.array([len(w) for w in words]))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])] == [definition(w) for w in words]
+    assert [coder.alone(w) for w in words if w] == [definition(w) for w in words if w]
+
+
+def test_pieces_equal_the_pattern(ranks):
+    import regex
+
+    rng = random.Random(6)
+    some = "aZé日ﬁ1²٣ \t\n\r\x0b\x1c\x85\xa0\u2003\u3000'!.🙂\u0301stmdrevl"
+    texts = ["".join(rng.choice(some) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    texts += ["don't we'll 'tis ''s 's's !'s x'RE they've'd", "'", "'s", " 's", "\n's", "a'", "a'l", "a'r", "'v", "  ", " \n a", "a \n", "''", "'ll'"]
+    texts += ["".join(rng.choice("stmdrevl'' a") for _ in range(12)) for _ in range(3000)]
+    data, bounds = scan.column_bytes(pa.array(texts))
+    start = bpe.Coder(ranks, public_tokenizers.PATTERN).starts(data, bounds)
+    end, at = [*start[1:].tolist(), len(data)], 0
+    for k, text in enumerate(texts):
+        expect = regex.findall(public_tokenizers.PATTERN, text)
+        got = [data[a:b].tobytes().decode() for a, b in zip(start[at : at + len(expect)].tolist(), end[at : at + len(expect)], strict=True)]
+        assert got == expect, text
+        at += len(expect)
+    assert at == len(start)
+
+
+def test_long_pieces_equal_the_library(ranks):
+    import tiktoken
+
+    coder = bpe.Coder(ranks, public_tokenizers.PATTERN)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=coder.ranks, special_tokens={})
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("etaoinshr") for _ in range(200_000)), "ab" * 50_000, "é" * 9999]
+    assert coder.encode(texts) == [library.encode_ordinary(t) for t in texts]
+    one = "".join(rng.choice("etaoinshrdlu") for _ in range(1_000_000))  # one piece of 1 MB
+    assert coder.decode(coder.encode([one])[0]) == one.encode()
+    assert coder.encode([one])[0] == coder.alone(one.encode())
 
 
 def test_bpe_operators(spark, ranks):
@@ -146,6 +213,12 @@ def test_bpe_operators(spark, ranks):
     assert digest[3].n_tokens == len(ids) and digest[3].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
     assert digest[1].n_tokens == 0 and digest[1].ids_sha256 == hashlib.sha256(b"").hexdigest()
     assert bpe.digests(df.limit(0), ranks, public_tokenizers.PATTERN).collect() == []
+    rows = [(i, t) for i, t in enumerate(wild(random.Random(9), 300))]
+    many = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    small = bpe.encode(many, ranks, public_tokenizers.PATTERN, unit_bytes=500, bucket_bytes=1000)  # many units and buckets
+    assert {r.doc_id: r.ids for r in small.collect()} == dict(enumerate(bpe.Coder(ranks, public_tokenizers.PATTERN).encode([t for _, t in rows])))
+    other = bpe.encode(many, ranks, r"\S+|\s+")
+    assert {r.doc_id: r.ids for r in other.collect()} == dict(enumerate(bpe.Coder(ranks, r"\S+|\s+").encode([t for _, t in rows])))
 
 
 def test_counts_equal_the_library(spark):

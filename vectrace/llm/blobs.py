@@ -79,8 +79,11 @@ def batch_of(rows: list[Row]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["kind", "key", "origin", "body", "a", "b"])
 
 
-def by_key(df: DataFrame, make: Callable[[int, Held], Iterator[Row]]) -> DataFrame:
-    """Rows that ``make`` gives for each key from its rows by kind, each kind's (origin, body) ascending by origin."""
+def by_key(df: DataFrame, make: Callable[[int, Held], Iterator[Row]], tasks: int) -> DataFrame:
+    """Rows that ``make`` gives for each key from its rows by kind, each kind's (origin, body) ascending by origin.
+
+    Each key from 0 to ``tasks`` (from the other end, if negative) is a task of its own.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, {}
@@ -95,11 +98,28 @@ def by_key(df: DataFrame, make: Callable[[int, Held], Iterator[Row]]) -> DataFra
         if held:
             yield batch_of(list(make(now, held)))
 
-    return dealt(df).mapInArrow(run, ROWS)
+    own = df.select("kind", "key", "origin", "body").repartitionById(tasks, F.pmod("key", F.lit(tasks)).cast("int"))
+    return own.sortWithinPartitions("key", "kind", "origin").mapInArrow(run, ROWS)
+
 
+def by_unit(df: DataFrame, make: Callable[[Held], Iterator[pa.RecordBatch]], schema: str, tasks: int) -> DataFrame:
+    """What ``make`` gives for each unit from the rows that go to it, dealt to some ``tasks`` tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, {}
+        for batch in batches:
+            kinds, keys, origins = (batch.column(i).to_pylist() for i in range(3))
+            for i, key in enumerate(keys):
+                if key != now:
+                    if held:
+                        yield from make(held)
+                    now, held = key, {}
+                held.setdefault(kinds[i], []).append((origins[i], batch.column(3)[i].as_py()))
+        if held:
+            yield from make(held)
 
-def dealt(df: DataFrame) -> DataFrame:
-    return df.select("kind", "key", "origin", "body").repartition("key").sortWithinPartitions("key", "kind", "origin")
+    own = df.select("kind", "key", "origin", "body").repartition(tasks, "key")
+    return own.sortWithinPartitions("key", "kind", "origin").mapInArrow(run, schema)
 
 
 class Store:

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vectrace.llm import scan
-from vectrace.llm.blobs import ROWS, Held, Row, Store, batch_of, by_key, cut, dealt, distinct, pack, same_cuts, unpack
+from vectrace.llm.blobs import ROWS, Held, Row, Store, batch_of, by_key, by_unit, cut, distinct, pack, same_cuts, unpack
 from vectrace.llm.scan import mix
 
 CONCENTRATION = 1.0
@@ -523,15 +523,15 @@ def _again(source: DataFrame, hot: dict[int, int], buckets: int, unit_tokens: in
     return source.mapInArrow(run, ROWS)
 
 
-def _summed(rows: DataFrame, id_type: str, tokens: int, types: int) -> DataFrame:
+def _summed(rows: DataFrame, id_type: str, tokens: int, types: int, buckets: int) -> DataFrame:
     """The texts' sums from units, shares of their pairs and values of their words."""
 
-    def unit(body: bytes, shares: list[tuple[int, bytes]], values: list[tuple[int, bytes]]) -> pa.RecordBatch:
-        raw, held, sizes, token, pair_word, room_context, room_pairs, check, size = unpack(body)
-        parts = [unpack(b) for _, b in shares]
+    def unit(rows: Held) -> Iterator[pa.RecordBatch]:
+        raw, held, sizes, token, pair_word, room_context, room_pairs, check, size = unpack(rows[_UNIT][0][1])
+        parts = [unpack(b) for _, b in rows[_SHARES]]
         if [len(p[0]) for p in parts] != size.tolist() or [int(p[1][0]) for p in parts] != check.tolist():
             raise RuntimeError("the texts read differently the second time")
-        count, chance, back_off, seated = (np.concatenate(x) for x in zip(*(unpack(b) for _, b in values), strict=True))
+        count, chance, back_off, seated = (np.concatenate(x) for x in zip(*(unpack(b) for _, b in rows[_VALUES]), strict=True))
         context = np.repeat(room_context, room_pairs)
         score = np.log10(np.concatenate([p[0] for p in parts]) / seated[context].astype(np.float64) + back_off[context] * chance[pair_word])
         base = np.log10((count + 0.5) / (tokens + 0.5 * (types + 1)))
@@ -539,23 +539,10 @@ def _summed(rows: DataFrame, id_type: str, tokens: int, types: int) -> DataFrame
         total = [np.add.reduceat(x, starts) for x in ((count > 0)[word].astype(np.int64), base[word], score[token])]
         ids = pa.ipc.open_stream(pa.py_buffer(raw)).read_all().column(0).combine_chunks()
         cols = [held.astype(bool), sizes, total[0], np.full(len(sizes), tokens), total[1], total[2]]
-        return pa.RecordBatch.from_arrays([ids, *map(pa.array, cols)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, {}
-        for batch in batches:
-            kinds, keys, origins = (batch.column(i).to_pylist() for i in range(3))
-            for i, key in enumerate(keys):
-                if key != now:
-                    if held:
-                        yield unit(held[_UNIT][0][1], held[_SHARES], held[_VALUES])
-                    now, held = key, {}
-                held.setdefault(kinds[i], []).append((origins[i], batch.column(3)[i].as_py()))
-        if held:
-            yield unit(held[_UNIT][0][1], held[_SHARES], held[_VALUES])
+        yield pa.RecordBatch.from_arrays([ids, *map(pa.array, cols)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     schema = f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return dealt(rows).mapInArrow(run, schema)
+    return by_unit(rows, unit, schema, buckets)
 
 
 def score(
@@ -577,7 +564,7 @@ def _score(df: DataFrame, id_col: str, text_col: str, unit_tokens: int, bucket_t
     source = df.select(F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held"), F.col(text_col).alias("text"))
     size, hot = _heavy(source, bucket_tokens)
     buckets = max(1, -(-size // bucket_tokens))
-    store.write(by_key(_send(source, hot, buckets, unit_tokens), _merge(buckets)), "merged")
+    store.write(by_key(_send(source, hot, buckets, unit_tokens), _merge(buckets), 2 * buckets), "merged")
     total = store.read("merged", _COUNTS).agg(F.sum("a").alias("n"), F.sum("b").alias("v")).first()
     tokens, types = int(total["n"] or 0), int(total["v"] or 0)
     seen = store.read("merged", _PAIRS).agg(F.sum("a").alias("once"), F.sum("b").alias("twice")).first()
@@ -586,18 +573,18 @@ def _score(df: DataFrame, id_col: str, text_col: str, unit_tokens: int, bucket_t
     words, pairs = store.read("merged", _WORDS), store.read("merged", _PAIRS)
     for turn in range(ROUNDS):
         sent = words.unionByName(store.read(f"swept{turn - 1}", _TABLES)) if turn else words
-        store.write(by_key(sent, _customers), f"asked{turn}")
+        store.write(by_key(sent, _customers, 2 * buckets), f"asked{turn}")
         found = store.read(f"asked{turn}", _CLASS).groupBy("a").agg(F.sum("b").alias("n")).collect()  # bounded by count_class
         root = seat_root(sorted((int(r["a"]), int(r["n"])) for r in found), types, discount, turn)
         last = turn == ROUNDS - 1
         told = pairs.unionByName(store.read(f"asked{turn}", _ASKED))
         told = told.unionByName(store.read("merged", _CODES)) if last else told
-        store.write(by_key(told, _sweep(root, discount, turn, buckets, last)), f"swept{turn}")
+        store.write(by_key(told, _sweep(root, discount, turn, buckets, last), 2 * buckets), f"swept{turn}")
     known = store.read("merged", _COUNTS, _PLACES).unionByName(store.read(f"asked{turn}", _ROOTS)).unionByName(store.read(f"swept{turn}", _ROOMS))
-    store.write(by_key(known, _values(root, discount)), "values")
+    store.write(by_key(known, _values(root, discount), 2 * buckets), "values")
     store.drop("merged", *(f"asked{i}" for i in range(ROUNDS)), *(f"swept{i}" for i in range(ROUNDS - 1)))
     rows = _again(source, hot, buckets, unit_tokens).unionByName(store.read(f"swept{turn}", _SHARES)).unionByName(store.read("values", _VALUES))
-    done = _summed(rows, kind, tokens, types)
+    done = _summed(rows, kind, tokens, types, 2 * buckets)
     store.write(done, "scores", by_kind=False)
     store.drop(f"swept{turn}", "values")
     return store.whole("scores", done.schema)
