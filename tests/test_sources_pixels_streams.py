@@ -2,6 +2,7 @@ import gzip
 import json
 import sqlite3
 import struct
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 from vectrace import schemas
 from vectrace.operators import imgdiff, vectors
 from vectrace.plans.records import moving_square
-from vectrace.sources import files, sinks
-from vectrace.streaming import state
+from vectrace.sources import contracts, files, sinks
+from vectrace.streaming import progress, state
 
 RECORD = (7, 70, 0.7, 3, -1, 16, 16, 1, 2, 4, 6, 12, 16, 4, 0, 3, 4, 5.0)
 
@@ -143,3 +144,82 @@ def test_watermarked_bins_are_accepted(spark, tmp_path):
     live = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
     out = state.run_to_end(state.bins(live, ["video"], 1.0, "10 seconds", "ts"), str(tmp_path / "out"))
     assert sorted((r.bin_index, r.n_frames) for r in out.collect()) == [(0, 1), (1, 1)]
+
+
+CONTRACT = {
+    "feature_set": "bridge_v1", "decision_semantics": {"automatic_rejection": False},
+    "image_dynamics": {"lags_frames": [1, 3, 10], "changed_pixel_thresholds": [10]},
+    "motion_vectors": {"active_vector_threshold_px": "versioned_parameter_required", "preaggregate_spatial_grid": [4, 4]},
+    "temporal": {"bins_ms": [50, 100, 250]},
+    "transcode_trace_features": {"well": ["imgdiff_l1_changed_fraction", "imgdiff_l10_abs_mean", "mv_active_fraction"], "plate_context": ["plate_activity_dispersion"]},
+    "derived_after_transcode": {"window_summaries": ["median", "p95", "max", "auc", "active_frame_fraction"], "features": ["mv_bout_fraction"], "ratio_floor_policy": "versioned_robust_floor_required"},
+}
+
+
+def test_contract_builds_its_plans(spark, tmp_path):
+    (tmp_path / "qc.json").write_text(json.dumps(CONTRACT, indent=2))
+    found = contracts.read_contract(spark, str(tmp_path / "qc.json"))
+    assert (found.name, found.lags, found.grid, found.rejects) == ("bridge_v1", (1, 3, 10), (4, 4), False)
+    assert found.versioned == ("derived_after_transcode.ratio_floor_policy", "motion_vectors.active_vector_threshold_px")
+    made = found.image_features(moving_square(spark), ["clip"])
+    assert found.missing(made) == ["mv_active_fraction"] and made.count() == 50
+    rows = spark.createDataFrame([("v", i, i * 0.25, float(i)) for i in range(8)], "video string, frame_index long, time_seconds double, x double")
+    windows = found.windows(rows, "x", F.col("x") > 2, ["video"])
+    assert windows.columns == ["video", "window_index", *found.summaries] and windows.count() == 2
+    for broken in ("[]", "{}", json.dumps({**CONTRACT, "temporal": {"bins_ms": [0]}}), json.dumps({**CONTRACT, "derived_after_transcode": {"window_summaries": ["mode"], "features": []}})):
+        with pytest.raises(contracts.ContractError):
+            contracts.parse(broken)
+
+
+def test_progress_documents(spark, tmp_path):
+    path = str(tmp_path / "status.json")
+    progress.write_document(spark, path, status="running", done=1)
+    progress.write_document(spark, path, status="validated", done=2)
+    document = json.loads((tmp_path / "status.json").read_text())
+    assert document["status"] == "validated" and document["done"] == 2 and document["updated_at"].endswith("Z")
+    assert not (tmp_path / "status.json.partial").exists()
+    listener = progress.ProgressDocuments(spark, str(tmp_path / "queries"))
+    spark.streams.addListener(listener)
+    try:
+        spark.range(5).write.parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("id long").parquet(str(tmp_path / "in"))
+        query = stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        document = tmp_path / "queries" / f"{query.id}.json"
+        for _ in range(100):
+            if document.exists() and json.loads(document.read_text())["status"] == "ended":
+                break
+            time.sleep(0.1)
+        assert json.loads(document.read_text())["status"] == "ended"
+    finally:
+        spark.streams.removeListener(listener)
+
+
+def test_colour_planes_and_wrong_lengths(spark):
+    rows = [("c", 0, 2, 1, bytes([255, 0, 0, 0, 0, 255])), ("c", 1, 2, 1, bytes([0, 255, 0, 255, 255, 255])), ("c", 2, 2, 1, None)]
+    df = spark.createDataFrame(rows, "clip string, frame_index long, width int, height int, bgr binary")
+    gray = imgdiff.to_gray(df).orderBy("frame_index").collect()
+    assert [r.gray and list(r.gray) for r in gray] == [[29, 76], [150, 255], None]
+    for bad in (df.withColumn("width", F.lit(3)), ):
+        with pytest.raises(Exception, match="colour plane"):
+            imgdiff.to_gray(bad).collect()
+    with pytest.raises(Exception, match="no 3 x 1 plane"):
+        imgdiff.frame_difference(imgdiff.to_gray(df).withColumn("width", F.lit(3)), ["clip"]).collect()
+
+
+def test_manifest_document_and_provenance(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("x")
+    rows = spark.createDataFrame([("a",), ("a",), ("b",)], "source_video_id string")
+    code = sinks.provenance(str(tmp_path))
+    assert code == {"commit": None, "modified": None}
+    document = json.loads(sinks.manifest_document(rows, files.file_hashes(spark, str(tmp_path / "in.csv")), code, name="m").first().json)
+    assert (document["n_wells"], document["n_plates"], document["name"], len(document["inputs"])) == (3, 2, "m", 1)
+    assert document["inputs"][0]["sha256"] == "2d711642b726b04401627ca9fbac32f5c8530fb1903cc4db02258717921a4881"
+
+
+def test_comparison_tables_have_given_types(spark, tmp_path):
+    for video in ("run_a", "run_b"):
+        (tmp_path / video).mkdir()
+        (tmp_path / video / "all_wells_comparison.csv").write_text("well,frame_index,cd10\nA01,1,2.5\n")
+    got = files.read_comparisons(spark, str(tmp_path), "well string, frame_index long, cd10 double")
+    assert sorted(map(tuple, got.collect())) == [("A01", 1, 2.5, "run_a"), ("A01", 1, 2.5, "run_b")]

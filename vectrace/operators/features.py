@@ -1,7 +1,7 @@
 """Frame features and temporal bins: the flagship plan.
 
-Two aggregations on (keys, frame), one with filtered aggregates for all per-vector figures and one
-over grid cells, meet the frames in left joins on the same keys; runs of active frames are a window
+One aggregation on (keys, frame) holds all per-vector figures, the grid cells included, as filtered
+aggregates, and meets the frames in a left join on the same keys; runs of active frames are a window
 over the clip; all bin widths come from one expansion.
 """
 
@@ -16,6 +16,12 @@ from vectrace.functions.exprs import EPS, bin_index, in_source, normalised, rati
 from vectrace.operators.runs import with_runs
 
 
+#: Extents of up to so many clips are broadcast (five numbers each, some 8 MB); of more, joined by shuffle.
+BROADCAST_CLIPS = 100_000
+#: Grids of up to so many cells are counted inside the aggregation of a frame.
+INLINE_CELLS = 64
+
+
 def spatial_extent(vectors: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, x0, x1, y0, y1): bounds of all blocks, 0..1 where they have no width."""
     sides = {}
@@ -35,7 +41,12 @@ def spatial_extent(vectors: DataFrame, keys: list[str]) -> DataFrame:
 
 def with_grid(vectors: DataFrame, extent: DataFrame, keys: list[str], rows: int = 4, cols: int = 4) -> DataFrame:
     """Vectors with dst_x_norm, dst_y_norm and the row-major grid_bin."""
-    out = vectors.join(extent, keys) if keys else vectors.crossJoin(F.broadcast(extent))  # without keys, one row
+    if keys:
+        found = extent.limit(BROADCAST_CLIPS + 1).collect()
+        small = extent.sparkSession.createDataFrame(found[:BROADCAST_CLIPS], extent.schema)
+        out = vectors.join(F.broadcast(small) if len(found) <= BROADCAST_CLIPS else extent, keys)
+    else:
+        out = vectors.crossJoin(F.broadcast(extent))  # one row
     out = out.withColumns({
         "dst_x_norm": normalised(F.col("dst_x"), F.col("x0"), F.col("x1")),
         "dst_y_norm": normalised(F.col("dst_y"), F.col("y0"), F.col("y1")),
@@ -48,27 +59,29 @@ def grid_counts(vectors: DataFrame, keys: list[str]) -> DataFrame:
     return vectors.groupBy(*keys, "frame_index", "grid_bin").agg(F.count("*").alias("bin_count"))
 
 
+def _shares(table: DataFrame, cells: int) -> DataFrame:
+    """Spatial features from (by, t, sx, sy, ns): vectors, summed coordinates and the counts of the occupied cells."""
+    p = lambda n: n / F.greatest(F.col("t").cast("double"), F.lit(EPS))
+    entropy = -F.aggregate("ns", F.lit(0.0), lambda acc, n: acc + p(n) * F.ln(p(n) + EPS)) / max(math.log(cells), EPS)
+    return table.withColumns({
+        "active_spatial_bin_fraction": F.size("ns") / F.lit(float(cells)), "spatial_entropy": entropy, "max_bin_fraction": p(F.array_max("ns")),
+        "motion_centroid_x_norm": F.col("sx") / F.col("t"), "motion_centroid_y_norm": F.col("sy") / F.col("t"),
+    }).drop("t", "sx", "sy", "ns")
+
+
 def spatial_features(active: DataFrame, keys: list[str], rows: int = 4, cols: int = 4) -> DataFrame:
     """Per frame with an active vector: occupied share of cells, normalised entropy, largest cell's share, centroid.
 
     The entropy's divisor is ln(cells), but at least 1e-12 so that a single cell is defined.
     """
     by = [*keys, "frame_index"]
-    cells = rows * cols
     counted = active.groupBy(*by, "grid_bin").agg(
         F.count("*").alias("n"), F.sum("dst_x_norm").alias("sx"), F.sum("dst_y_norm").alias("sy")
     )
     total = counted.groupBy(*by).agg(
-        F.sum("n").alias("t"), F.sum("sx").alias("sx"), F.sum("sy").alias("sy"), F.count("*").alias("k"),
-        F.max("n").alias("top"), F.collect_list("n").alias("ns"),
-    )
-    p = lambda n: n / F.greatest(F.col("t").cast("double"), F.lit(EPS))
-    entropy = -F.aggregate("ns", F.lit(0.0), lambda acc, n: acc + p(n) * F.ln(p(n) + EPS)) / max(math.log(cells), EPS)
-    return total.select(
-        *by, (F.col("k") / F.lit(float(cells))).alias("active_spatial_bin_fraction"), entropy.alias("spatial_entropy"),
-        p(F.col("top")).alias("max_bin_fraction"),
-        (F.col("sx") / F.col("t")).alias("motion_centroid_x_norm"), (F.col("sy") / F.col("t")).alias("motion_centroid_y_norm"),
+        F.sum("n").alias("t"), F.sum("sx").alias("sx"), F.sum("sy").alias("sy"), F.collect_list("n").alias("ns"),  # at most rows x cols
     )
+    return _shares(total, rows * cols)
 
 
 def frame_features(
@@ -82,16 +95,27 @@ def frame_features(
     by = [*keys, "frame_index"]
     mag, active = F.col("magnitude_px").cast("double"), F.col("magnitude_px") > threshold
     chosen = vectors.filter(in_source("source", source))
-    agg = chosen.groupBy(*by).agg(
+    cells = grid[0] * grid[1]
+    inline = spatial and cells <= INLINE_CELLS
+    gridded = with_grid(chosen, spatial_extent(chosen, keys), keys, *grid) if spatial else chosen
+    counted = []
+    if inline:
+        cell = lambda i: F.count(F.when(active & (F.col("grid_bin") == i), 1))
+        sums = [F.sum(F.when(active, F.col(f"dst_{a}_norm"))).alias(f"s{a}") for a in "xy"]
+        counted = [*sums, F.filter(F.array(*map(cell, range(cells))), lambda n: n > 0).alias("ns")]
+    agg = (gridded if inline else chosen).groupBy(*by).agg(
         F.count("*").alias("analysis_n_vectors"), F.sum(mag).alias("analysis_motion_energy"),
         F.avg(mag).alias("analysis_mean_magnitude_px"), F.percentile(mag, F.lit(0.95)).alias("analysis_p95_magnitude_px"),
         F.sum(F.col("dx_px").cast("double")).alias("analysis_sum_dx_px"), F.sum(F.col("dy_px").cast("double")).alias("analysis_sum_dy_px"),
         F.count(F.when(active, 1)).alias("mv_active_vectors"), F.sum(F.when(active, mag)).alias("mv_active_motion_energy"),
-        F.avg(F.when(active, mag)).alias("mv_active_mean_magnitude_px"),
+        F.avg(F.when(active, mag)).alias("mv_active_mean_magnitude_px"), *counted,
     )
+    plain = [(c, t) for c, t in agg.dtypes if c not in (*by, "sx", "sy", "ns")]
+    if inline:
+        agg = _shares(agg.withColumn("t", F.col("mv_active_vectors")), cells)
     out = frames.join(agg, by, "left")
     counts = ("analysis_n_vectors", "mv_active_vectors")
-    out = out.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(t)).cast("long" if c in counts else "double") for c, t in agg.dtypes if c not in by})
+    out = out.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(t)).cast("long" if c in counts else "double") for c, t in plain})
     n, a = F.col("analysis_n_vectors"), F.col("mv_active_vectors")
     share = lambda x: F.when(n > 0, ratio(x, n)).otherwise(F.lit(0.0))
     out = out.withColumns({"mvaf": share(a), "mv_active_frame": a >= min_blocks})
@@ -109,9 +133,8 @@ def frame_features(
         "mv_inverse_saturation_fraction": F.col("mvaf") * F.pow(F.greatest(1.0 - F.col("mvaf"), F.lit(0.0)), F.lit(2.0)),
     })
     if spatial:
-        gridded = with_grid(chosen, spatial_extent(chosen, keys), keys, *grid)
-        cells = spatial_features(gridded.filter(active), keys, *grid)
-        out = out.join(cells, by, "left")
+        if not inline:
+            out = out.join(spatial_features(gridded.filter(active), keys, *grid), by, "left")
         zero = ("active_spatial_bin_fraction", "spatial_entropy", "max_bin_fraction")
         out = out.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in zero})
     return out.withColumn("vector_source_filter", F.lit(source))

@@ -10,9 +10,43 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Weights of blue, green and red in grey, as fractions of 2**14.
+_BGR = (1868, 9617, 4899)
+
+
+class PlaneError(ValueError):
+    """A plane's bytes do not fit its width and height."""
+
+
+def to_gray(frames: DataFrame, column: str = "bgr", name: str = "gray") -> DataFrame:
+    """Frames with packed blue, green, red bytes as a grey plane ``name``, rounded as fixed-point weights give it.
+
+    A null plane stays null; one whose length is not three times its area raises PlaneError.
+    """
+    rest = [c for c in frames.columns if c not in (column, name)]
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            planes = []
+            for raw, w, h in zip(part[column], part["width"], part["height"], strict=True):
+                if raw is None:
+                    planes.append(None)
+                    continue
+                if len(raw) != 3 * w * h:
+                    raise PlaneError(f"{len(raw)} bytes are no {w} x {h} colour plane")
+                pixels = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 3).astype(np.int32)
+                planes.append(((pixels @ np.array(_BGR, dtype=np.int32) + (1 << 13)) >> 14).astype(np.uint8).tobytes())
+            yield part[rest].assign(**{name: planes})
+
+    kinds = dict(frames.dtypes)
+    return frames.select(*rest, column).mapInPandas(run, ", ".join(f"`{c}` {kinds[c]}" for c in rest) + f", `{name}` binary")
+
+
 def _plane(raw: bytes | None, width: int, height: int) -> np.ndarray | None:
-    if raw is None or len(raw) != width * height:
+    if raw is None:
         return None
+    if len(raw) != width * height:
+        raise PlaneError(f"{len(raw)} bytes are no {width} x {height} plane")
     return np.frombuffer(raw, dtype=np.uint8).reshape(height, width).astype(np.int16)
 
 
@@ -25,7 +59,8 @@ def with_lag(frames: DataFrame, keys: list[str], lag: int = 1) -> DataFrame:
 
 def frame_difference(frames: DataFrame, keys: list[str], threshold: int = 10, lag: int = 1) -> DataFrame:
     """Per frame: changed pixels (> threshold) and their summed difference, changed share, summed and mean
-    absolute difference, mean signed change.  Frames without a predecessor of their size are 0."""
+    absolute difference, mean signed change.  Frames without a predecessor of their size are 0, as are
+    null planes; a plane of the wrong length raises PlaneError."""
     names = ["changed_pixels", "changed_sum", "changed_fraction", "abs_sum", "abs_mean", "signed_mean"]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -62,9 +97,11 @@ def block_differences(vectors: DataFrame, frames: DataFrame, keys: list[str], th
     """Vectors with the mean and largest difference and the changed pixels of their block.
 
     The pixels of a vector's block are found by slicing its frame, so no pixel is joined to a vector.
-    A first frame gives nulls for the differences and 0 changed pixels.
+    A first frame gives nulls for the differences and 0 changed pixels.  Columns of these names that the
+    vectors have already are replaced.
     """
     by = [*keys, "frame_index"]
+    vectors = vectors.drop("block_mean_diff", "block_max_diff", "block_cd_pixels")
     listed = vectors.withColumn("_v", F.struct(*vectors.columns)).groupBy(*by).agg(F.collect_list("_v").alias("_vs"))  # vectors of a frame
     planes = with_lag(frames, keys).select(*by, "gray", "_before", "width", "height")
     both = listed.join(planes, by)
@@ -129,14 +166,23 @@ def block_motion(frames: DataFrame, keys: list[str], block: int = 16, search: in
                 a, b = _plane(now, w, h), _plane(before, w, h)
                 if a is None or b is None:
                     continue
-                for i, (y, x) in enumerate((y, x) for y in range(0, h - block + 1, block) for x in range(0, w - block + 1, block)):
-                    here, best = a[y : y + block, x : x + block], None
-                    for dy, dx in shifts:
-                        if 0 <= y + dy and y + dy + block <= h and 0 <= x + dx and x + dx + block <= w:
-                            cost = int(np.abs(here - b[y + dy : y + dy + block, x + dx : x + dx + block]).sum())
-                            if best is None or cost < best[0]:
-                                best = (cost, dy, dx)
-                    rows.append((*key, i, -1, block, block, x + best[2] + block // 2, y + best[1] + block // 2, x + block // 2, y + block // 2))
+                down, across = h // block, w // block
+                if not down or not across:
+                    continue
+                here = a[: down * block, : across * block]
+                best = np.full((down, across), np.iinfo(np.int64).max)
+                which = np.zeros((down, across), dtype=np.int64)
+                padded = np.pad(b, search)
+                top, left = np.arange(down)[:, None] * block, np.arange(across)[None, :] * block
+                for k, (dy, dx) in enumerate(shifts):
+                    moved = padded[search + dy : search + dy + down * block, search + dx : search + dx + across * block]
+                    cost = np.abs(here - moved).astype(np.int64).reshape(down, block, across, block).sum(axis=(1, 3))
+                    inside = (top + dy >= 0) & (top + dy + block <= h) & (left + dx >= 0) & (left + dx + block <= w)
+                    better = inside & (cost < best)
+                    best[better], which[better] = cost[better], k
+                for i, (r, c) in enumerate(np.ndindex(down, across)):
+                    (dy, dx), y, x = shifts[which[r, c]], r * block, c * block
+                    rows.append((*key, i, -1, block, block, x + dx + block // 2, y + dy + block // 2, x + block // 2, y + block // 2))
             yield pd.DataFrame(rows, columns=[*keys, "frame_index", "vector_index", "source", "w", "h", "src_x", "src_y", "dst_x", "dst_y"])
 
     kinds = dict(frames.dtypes)

@@ -221,3 +221,38 @@ def plate_template(spark, rows: int = 8, cols: int = 12, pitch: float = 83.0, or
     label = F.concat(F.chr(F.col("r") + 65), F.lpad((F.col("c") + 1).cast("string"), 2, "0"))
     x0, y0 = F.col("c") * pitch + origin[0], F.col("r") * pitch + origin[1]
     return grid.select(label.alias("well_label"), "well_index", x0.alias("roi_x0"), y0.alias("roi_y0"), (x0 + pitch).alias("roi_x1"), (y0 + pitch).alias("roi_y1"))
+
+
+#: Well centres of the 24-well plate in pixels of a 1664 x 1440 frame, by column and by row.
+CENTRES_24 = ((138, 400, 662, 925, 1187, 1450), (137, 400, 663, 927))
+#: First corner, pitch and size of the 96 wells in pixels of a 1600 x 1068 frame.
+GRID_96 = {"origin": (22, 16), "pitch": (131, 132), "size": (112, 109)}
+#: The layout that a frame size stands for.
+LAYOUT_OF_SIZE = {(1600, 1068): "s24_96", (1664, 1440): "s22_24"}
+
+
+def layout_of(width: int, height: int, layout: str = "auto") -> str:
+    """The named layout, or under "auto" the one of the frame size; ManifestError where there is none."""
+    name = LAYOUT_OF_SIZE.get((width, height)) if layout == "auto" else layout
+    if name not in LAYOUT_OF_SIZE.values():
+        raise ManifestError(f"no plate layout for {layout} at {width} x {height}")
+    return name
+
+
+def plate_layout(spark, layout: str, crop: int = 256) -> DataFrame:
+    """Wells of a layout: label, row-major index and whole-pixel corners; ``crop`` is the side of a well around its centre."""
+    name = layout_of(0, 0, layout)
+    columns, rows = (6, 4) if name == "s22_24" else (12, 8)
+    grid = spark.range(rows * columns).select(
+        F.col("id").alias("well_index"), F.floor(F.col("id") / columns).cast("int").alias("r"), (F.col("id") % columns).cast("int").alias("c")
+    )
+    label = F.concat(F.chr(F.col("r") + 65), F.lpad((F.col("c") + 1).cast("string"), 2, "0"))
+    if name == "s22_24":
+        half = crop // 2
+        at = [F.get(F.array(*map(F.lit, centres)), F.col(i)) for centres, i in zip(CENTRES_24, "cr", strict=True)]
+        low, high = [x - half for x in at], [x + half for x in at]
+    else:
+        low = [F.col(i) * step + first for i, step, first in zip("cr", GRID_96["pitch"], GRID_96["origin"], strict=True)]
+        high = [x + size for x, size in zip(low, GRID_96["size"], strict=True)]
+    corners = {"roi_x0": low[0], "roi_y0": low[1], "roi_x1": high[0], "roi_y1": high[1]}
+    return grid.select(label.alias("well_label"), "well_index", *[x.cast("int").alias(c) for c, x in corners.items()])

@@ -180,7 +180,7 @@ def greedy_peaks(df: DataFrame, keys: list[str], at: str, score: str, n: int, ga
     """Greedy non-maximum suppression in each group: best score first, none closer than ``gap`` to one taken.
 
     With ``within``, the gap only holds between rows of equal value in that column.  Ties go by
-    ``within`` and place.  A group is one folded array, so groups must be bounded (seconds of a video).
+    ``within`` and place.  A group is one folded array, so groups must be bounded (seconds of a trace or video).
     """
     place = F.struct(*( [F.col(within).alias("g")] if within else []), F.col(at).cast("double").alias("t"))
     item = F.struct((-F.col(score)).alias("k"), place.alias("p"))
@@ -200,9 +200,15 @@ def peaks(cons: DataFrame, n: int = 8, gap: float = 5.0) -> DataFrame:
 
 
 def gallery_events(sec: DataFrame, regimes: list[str], n: int = 6, gap: float = 8.0) -> DataFrame:
-    """The best n seconds of each regime, ``gap`` seconds apart in a trace, with rank and event id."""
-    scored = sec.filter(F.col("regime").isin(regimes)).withColumn("score", event_score("gallery")).withColumn("_trace", F.concat_ws("\x01", *TRACE))
-    chosen = greedy_peaks(scored, ["regime"], "second_bin", "score", n, gap, positive=False, within="_trace").drop("_trace")
+    """The best n seconds of each regime, ``gap`` seconds apart in a trace, with rank and event id.
+
+    The gap holds inside a trace alone, so each trace is folded by itself; the best n of what the traces
+    pick are those that one greedy pass over the regime would take.
+    """
+    scored = sec.filter(F.col("regime").isin(regimes)).withColumn("score", event_score("gallery"))
+    picked = greedy_peaks(scored, ["regime", *TRACE], "second_bin", "score", n, gap, positive=False)
+    best = F.row_number().over(Window.partitionBy("regime").orderBy(F.desc("score"), *TRACE, "second_bin"))
+    chosen = picked.withColumn("_best", best).filter(F.col("_best") <= n).drop("_best")
     place = F.array_position(F.array(*map(F.lit, regimes)), F.col("regime"))
     # At most n rows a regime are numbered here.
     number = F.row_number().over(Window.orderBy(place, F.desc("score"), *TRACE, "second_bin"))
@@ -275,23 +281,26 @@ def specificity_distance(pairs: DataFrame, measure: str = "pearson_r") -> DataFr
 
 
 def filter_scan(
-    pixels: DataFrame, vectors: DataFrame, frames: DataFrame, magnitudes: list[float], changed: list[int], floors: list[float]
+    pixels: DataFrame, vectors: DataFrame, frames: DataFrame, magnitudes: list[float], changed: list[int], floors: list[float],
+    keys: list[str] | None = None,
 ) -> DataFrame:
-    """Agreement of thresholded motion with pixel change for every parameter triple, best first.
+    """Agreement of thresholded motion with pixel change for every parameter triple of each clip, best first.
 
-    The grid is a small table joined to the data, so one plan serves all triples.
+    Frames meet on (keys, frame_index), and ranks and percentiles are those of a clip, so a task holds
+    one clip's frames under one triple.  Without keys the tables are one clip.  The grid is a small table
+    joined to the data, so one plan serves all triples.
     """
-    spark = pixels.sparkSession
+    spark, keys = pixels.sparkSession, list(keys or [])
     grid = spark.createDataFrame([(float(m), int(c)) for m in magnitudes for c in changed], "min_magnitude_px double, min_block_cd_pixels int")
     floor = spark.createDataFrame([(float(f),) for f in floors], "motion_energy_floor double")
-    steps = ["min_magnitude_px", "min_block_cd_pixels"]
-    base = pixels.select("frame_index", "cd10", "cd10_sum_absdiff").join(frames.select("frame_index", "n_vectors"), "frame_index", "left")
+    steps, frame = ["min_magnitude_px", "min_block_cd_pixels"], [*keys, "frame_index"]
+    base = pixels.select(*frame, "cd10", "cd10_sum_absdiff").join(frames.select(*frame, "n_vectors"), frame, "left")
     kept = vectors.join(F.broadcast(grid), (F.col("magnitude_px") >= F.col(steps[0])) & (F.col("block_cd_pixels") >= F.col(steps[1])))
-    agg = kept.groupBy(*steps, "frame_index").agg(F.round(F.sum("magnitude_px"), STEADY).alias("e"), F.count("*").alias("k"))
-    rows = base.crossJoin(F.broadcast(grid)).join(agg, [*steps, "frame_index"], "left")  # grid: a few dozen rows
+    agg = kept.groupBy(*steps, *frame).agg(F.round(F.sum("magnitude_px"), STEADY).alias("e"), F.count("*").alias("k"))
+    rows = base.crossJoin(F.broadcast(grid)).join(agg, [*steps, *frame], "left")  # grid: a few dozen rows
     rows = rows.withColumn("fraction", ratio(F.coalesce("k", F.lit(0)), F.coalesce("n_vectors", F.lit(0))))
     rows = rows.crossJoin(F.broadcast(floor)).withColumn("energy", F.greatest(F.coalesce("e", F.lit(0.0)) - F.col("motion_energy_floor"), F.lit(0.0)))
-    by = [*steps, "motion_energy_floor"]
+    by = [*keys, *steps, "motion_energy_floor"]
     rows = rows.withColumns({f"rank_{c}": stats.average_rank(c, by) for c in ("energy", "fraction", "cd10")})
     on, seen = F.col("energy") > 0, F.col("cd10") > 0
     count = lambda test: F.count(F.when(test, 1))
@@ -306,4 +315,4 @@ def filter_scan(
         F.percentile(F.when(seen, F.col("energy")), F.lit(0.5)).alias("median_energy_when_cd10_positive"),
         F.percentile(F.when(~seen, F.col("energy")), F.lit(0.95)).alias("p95_energy_when_cd10_zero"),
     )
-    return out.orderBy("motion_active_cd10_zero_frames", F.desc_nulls_last("pearson_r"), *by)
+    return out.orderBy(*keys, "motion_active_cd10_zero_frames", F.desc_nulls_last("pearson_r"), *by)

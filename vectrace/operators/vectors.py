@@ -114,10 +114,13 @@ def top_motion_frames(frames: DataFrame, n: int = 25, keys: tuple[str, ...] = ()
     return frames.orderBy(F.desc("sum_magnitude_px"), *keys, "frame_index").limit(n)
 
 
-def report(frames: DataFrame) -> DataFrame:
-    """One row over a frame summary: counts, medians, p95 and the share of frames without vectors."""
+def report(frames: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """One row over each sidecar's frame summary: counts, medians, p95 and the share of frames without vectors.
+
+    Percentiles are exact, so a task holds the distinct values of one sidecar; without keys the table is one.
+    """
     q = lambda c, p: F.percentile(F.col(c).cast("double"), F.lit(p))
-    return frames.agg(
+    return frames.groupBy(*keys).agg(
         F.count("*").alias("frames"), F.sum("n_vectors").cast("long").alias("vectors"),
         q("n_vectors", 0.5).alias("median_vectors_per_frame"), q("sum_magnitude_px", 0.5).alias("median_frame_energy"),
         q("sum_magnitude_px", 0.95).alias("p95_frame_energy"),

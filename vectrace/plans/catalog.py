@@ -89,13 +89,13 @@ def top_motion_frames(spark, d):
 
 
 @query(
-    "sidecar_report", "frames:l vectors:l median_vectors_per_frame median_frame_energy p95_frame_energy zero_vector_fraction", "vec fr", _SUMMARY + """,
-al AS (SELECT coalesce(fs.n_vectors, 0) AS n, coalesce(fs.sum_magnitude_px, 0) AS e FROM fr LEFT JOIN fs USING (clip, frame_index))""",
-    """SELECT count(*) AS frames, sum(n) AS vectors, median(n::DOUBLE) AS median_vectors_per_frame, median(e) AS median_frame_energy,
- quantile_cont(e, 0.95) AS p95_frame_energy, avg((n = 0)::INT) AS zero_vector_fraction FROM al""",
+    "sidecar_report", "clip:l frames:l vectors:l median_vectors_per_frame median_frame_energy p95_frame_energy zero_vector_fraction", "vec fr", _SUMMARY + """,
+al AS (SELECT fr.clip, coalesce(fs.n_vectors, 0) AS n, coalesce(fs.sum_magnitude_px, 0) AS e FROM fr LEFT JOIN fs USING (clip, frame_index))""",
+    """SELECT clip, count(*) AS frames, sum(n) AS vectors, median(n::DOUBLE) AS median_vectors_per_frame, median(e) AS median_frame_energy,
+ quantile_cont(e, 0.95) AS p95_frame_energy, avg((n = 0)::INT) AS zero_vector_fraction FROM al GROUP BY clip""",
 )
 def sidecar_report(spark, d):
-    return vectors.report(vectors.frame_summary(views.vectors(spark, d), views.frames(spark, d), ("clip",)))
+    return vectors.report(vectors.frame_summary(views.vectors(spark, d), views.frames(spark, d), ("clip",)), ("clip",))
 
 
 @query(
@@ -562,7 +562,7 @@ def bhattacharyya(spark, d):
 
 
 _SCAN_COLUMNS = (
-    "min_magnitude_px min_block_cd_pixels:i motion_energy_floor pearson_r spearman_r active_fraction_pearson_r active_fraction_spearman_r active_frames:l cd10_active_frames:l "
+    "clip:l min_magnitude_px min_block_cd_pixels:i motion_energy_floor pearson_r spearman_r active_fraction_pearson_r active_fraction_spearman_r active_frames:l cd10_active_frames:l "
     "cd10_sum_absdiff_active_frames:l motion_active_cd10_zero_frames:l motion_active_cd10_positive_frames:l missed_cd10_positive_frames:l "
     "median_energy_when_cd10_positive p95_energy_when_cd10_zero"
 )
@@ -570,22 +570,22 @@ _SCAN_COLUMNS = (
 
 @query(
     "filter_scan_grid", _SCAN_COLUMNS, "vec fr",
-    """px AS (SELECT frame_index, greatest(frame_index % 37 - 12, 0) AS cd10, frame_index % 11 AS cd10_sum_absdiff, n_vectors FROM fr),
+    """px AS (SELECT clip, frame_index, greatest(frame_index % 37 - 12, 0) AS cd10, frame_index % 11 AS cd10_sum_absdiff, n_vectors FROM fr),
 gd AS (SELECT unnest([0.0::DOUBLE, 2.0::DOUBLE]) AS m), gc AS (SELECT unnest([0, 5, 10]) AS c), gf AS (SELECT unnest([0.0::DOUBLE, 3.0::DOUBLE]) AS f),
-ka AS (SELECT m, c, frame_index, round(sum(magnitude_px), 12) AS e, count(*) AS k FROM vec, gd, gc WHERE magnitude_px >= m AND block_cd_pixels >= c GROUP BY ALL),
-sr AS (SELECT m, c, f, px.*, coalesce(k / nullif(n_vectors, 0)::DOUBLE, 0) AS fraction, greatest(coalesce(e, 0) - f, 0) AS energy FROM px CROSS JOIN gd CROSS JOIN gc CROSS JOIN gf LEFT JOIN ka USING (m, c, frame_index)),
-sk AS (SELECT *, """ + ", ".join(f"{_rank(x, 'm, c, f')} AS rank_{x}" for x in ("energy", "fraction", "cd10")) + " FROM sr)",
-    f"""SELECT m AS min_magnitude_px, c AS min_block_cd_pixels, f AS motion_energy_floor, {_corr('energy', 'cd10')} AS pearson_r, {_corr('rank_energy', 'rank_cd10')} AS spearman_r,
+ka AS (SELECT clip, m, c, frame_index, round(sum(magnitude_px), 12) AS e, count(*) AS k FROM vec, gd, gc WHERE magnitude_px >= m AND block_cd_pixels >= c GROUP BY ALL),
+sr AS (SELECT m, c, f, px.*, coalesce(k / nullif(n_vectors, 0)::DOUBLE, 0) AS fraction, greatest(coalesce(e, 0) - f, 0) AS energy FROM px CROSS JOIN gd CROSS JOIN gc CROSS JOIN gf LEFT JOIN ka USING (clip, m, c, frame_index)),
+sk AS (SELECT *, """ + ", ".join(f"{_rank(x, 'clip, m, c, f')} AS rank_{x}" for x in ("energy", "fraction", "cd10")) + " FROM sr)",
+    f"""SELECT clip, m AS min_magnitude_px, c AS min_block_cd_pixels, f AS motion_energy_floor, {_corr('energy', 'cd10')} AS pearson_r, {_corr('rank_energy', 'rank_cd10')} AS spearman_r,
  {_corr('fraction', 'cd10')} AS active_fraction_pearson_r, {_corr('rank_fraction', 'rank_cd10')} AS active_fraction_spearman_r, count(*) FILTER (WHERE energy > 0) AS active_frames,
  count(*) FILTER (WHERE cd10 > 0) AS cd10_active_frames, count(*) FILTER (WHERE cd10_sum_absdiff > 0) AS cd10_sum_absdiff_active_frames,
  count(*) FILTER (WHERE energy > 0 AND cd10 <= 0) AS motion_active_cd10_zero_frames, count(*) FILTER (WHERE energy > 0 AND cd10 > 0) AS motion_active_cd10_positive_frames,
  count(*) FILTER (WHERE energy <= 0 AND cd10 > 0) AS missed_cd10_positive_frames, median(energy) FILTER (WHERE cd10 > 0) AS median_energy_when_cd10_positive,
- quantile_cont(energy, 0.95) FILTER (WHERE cd10 <= 0) AS p95_energy_when_cd10_zero FROM sk GROUP BY m, c, f""",
+ quantile_cont(energy, 0.95) FILTER (WHERE cd10 <= 0) AS p95_energy_when_cd10_zero FROM sk GROUP BY clip, m, c, f""",
 )
 def filter_scan_grid(spark, d):
     frame = views.frames(spark, d)
-    px = frame.select("frame_index", F.greatest(F.col("frame_index") % 37 - 12, F.lit(0)).alias("cd10"), (F.col("frame_index") % 11).alias("cd10_sum_absdiff"))
-    return traces.filter_scan(px, views.vectors(spark, d), frame, [0.0, 2.0], [0, 5, 10], [0.0, 3.0])
+    px = frame.select("clip", "frame_index", F.greatest(F.col("frame_index") % 37 - 12, F.lit(0)).alias("cd10"), (F.col("frame_index") % 11).alias("cd10_sum_absdiff"))
+    return traces.filter_scan(px, views.vectors(spark, d), frame, [0.0, 2.0], [0, 5, 10], [0.0, 3.0], ["clip"])
 
 
 @query(

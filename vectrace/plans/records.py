@@ -418,17 +418,48 @@ def moving_square(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "clip string, frame_index long, width int, height int, gray binary")
 
 
-@query("image_diff_square", "clip:s frame_index:l changed_pixels:l changed_sum:l changed_fraction abs_sum:l abs_mean signed_mean")
+#: The square's moves in SQL: pixels it has moved over the last k frames; the lines are never under it.
+_MOVED = "(least(greatest(t - 9, 0), 11) - least(greatest(t - {k} - 9, 0), 11) + least(greatest(t - 29, 0), 11) - least(greatest(t - {k} - 29, 0), 11)) * 2"
+_CHANGED = "CASE WHEN t >= {k} THEN 24 * least(" + _MOVED + ", 12) ELSE 0 END"
+_SQUARE = "sq AS (SELECT range AS t FROM range(50))"
+
+
+@query(
+    "image_diff_square", "clip:s frame_index:l changed_pixels:l changed_sum:l changed_fraction abs_sum:l abs_mean signed_mean", "",
+    _SQUARE + f", ch AS (SELECT t, {_CHANGED.format(k=1)} AS n FROM sq)",
+    "SELECT 'square' AS clip, t AS frame_index, n AS changed_pixels, n * 202 AS changed_sum, n / 6889.0::DOUBLE AS changed_fraction, n * 202 AS abs_sum, n * 202 / 6889.0::DOUBLE AS abs_mean, 0 AS signed_mean FROM ch",
+)
 def image_diff_square(spark, d):
     return imgdiff.frame_difference(moving_square(spark), ["clip"])
 
 
-@query("image_lags_square", "clip:s frame_index:l " + " ".join(f"imgdiff_l{k}_changed_fraction imgdiff_l{k}_abs_mean" for k in (1, 3, 10)))
+@query(
+    "image_lags_square", "clip:s frame_index:l " + " ".join(f"imgdiff_l{k}_changed_fraction imgdiff_l{k}_abs_mean" for k in (1, 3, 10)), "", _SQUARE,
+    "SELECT 'square' AS clip, t AS frame_index, " + ", ".join(
+        f"{_CHANGED.format(k=k)} / 6889.0::DOUBLE AS imgdiff_l{k}_changed_fraction, {_CHANGED.format(k=k)} * 202 / 6889.0::DOUBLE AS imgdiff_l{k}_abs_mean" for k in (1, 3, 10)
+    ) + " FROM sq",
+)
 def image_lags_square(spark, d):
     return imgdiff.lag_differences(moving_square(spark), ["clip"])
 
 
-@query("block_motion_square", "clip:s frame_index:l vector_index:i dx_px:i dy_px:i magnitude_px block_cd_pixels:i")
+def _pixel(t: str, y: str, x: str) -> str:
+    left, top = f"(18 + 2 * least(greatest({t} - 9, 0), 11))", f"(36 - 2 * least(greatest({t} - 29, 0), 11))"
+    inside = f"{x} >= {left} AND {x} < {left} + 12 AND {y} >= {top} AND {y} < {top} + 12"
+    return f"CASE WHEN {inside} THEN 220 WHEN {x} = 66 AND {y} BETWEEN 15 AND 71 THEN 48 WHEN {y} = 12 AND {x} BETWEEN 8 AND 74 THEN 55 ELSE 18 END"
+
+
+@query(
+    "block_motion_square", "clip:s frame_index:l vector_index:i dx_px:i dy_px:i magnitude_px block_cd_pixels:i", "",
+    f"""bl AS (SELECT b.range AS i, 16 * (b.range // 5) AS y, 16 * (b.range % 5) AS x FROM range(25) b), px AS (SELECT p.range // 16 AS v, p.range % 16 AS u FROM range(256) p),
+sh AS (SELECT a.range AS dy, b.range AS dx FROM range(-7, 8) a, range(-7, 8) b),
+co AS (SELECT t.range AS t, i, dy, dx, sum(abs({_pixel('t.range', 'y + v', 'x + u')} - {_pixel('(t.range - 1)', 'y + v + dy', 'x + u + dx')})) AS cost
+ FROM range(1, 50) t, bl, px, sh WHERE y + dy >= 0 AND y + dy + 16 <= 83 AND x + dx >= 0 AND x + dx + 16 <= 83 GROUP BY ALL),
+be AS (SELECT *, row_number() OVER (PARTITION BY t, i ORDER BY cost, dy * dy + dx * dx, dy, dx) AS rn FROM co),
+cd AS (SELECT t.range AS t, i, count(*) FILTER (WHERE abs({_pixel('t.range', 'y + v', 'x + u')} - {_pixel('(t.range - 1)', 'y + v', 'x + u')}) > 10) AS n FROM range(1, 50) t, bl, px GROUP BY ALL)""",
+    """SELECT 'square' AS clip, t AS frame_index, i AS vector_index, -dx AS dx_px, -dy AS dy_px, sqrt((dx * dx + dy * dy)::DOUBLE) AS magnitude_px, n AS block_cd_pixels
+ FROM be JOIN cd USING (t, i) WHERE rn = 1""",
+)
 def block_motion_square(spark, d):
     from vectrace.operators import vectors
 
@@ -440,3 +471,42 @@ def block_motion_square(spark, d):
 @query("phase_shift_square", "clip:s frame_index:l shift_x_px shift_y_px shift_px response")
 def phase_shift_square(spark, d):
     return imgdiff.phase_shift(moving_square(spark), ["clip"])
+
+
+@query(
+    "colour_diff_square", "clip:s frame_index:l changed_pixels:l abs_sum:l", "",
+    _SQUARE + f", ch AS (SELECT t, {_CHANGED.format(k=1)} AS n FROM sq)",
+    # Blue 220 - t % 3, green 18, red 55 inside the square and 18 outside, in fixed-point grey.
+    """SELECT 'square' AS clip, t AS frame_index, CASE WHEN t > 0 THEN greatest(n, 0) ELSE 0 END AS changed_pixels,
+ CASE WHEN t > 0 THEN n // 2 * ((1868 * (220 - t % 3) + 9617 * 18 + 4899 * 55 + 8192) // 16384 + (1868 * (220 - (t - 1) % 3) + 9617 * 18 + 4899 * 55 + 8192) // 16384 - 36)
+  + (144 - n // 2) * abs((1868 * (220 - t % 3) + 9617 * 18 + 4899 * 55 + 8192) // 16384 - (1868 * (220 - (t - 1) % 3) + 9617 * 18 + 4899 * 55 + 8192) // 16384) ELSE 0 END AS abs_sum FROM ch""",
+)
+def colour_diff_square(spark, d):
+    import numpy as np
+
+    rows = []
+    for t in range(50):
+        plane = np.full((83, 83, 3), 18, dtype=np.uint8)
+        x, y = 18 + 2 * min(max(t - 9, 0), 11), 36 - 2 * min(max(t - 29, 0), 11)
+        plane[y : y + 12, x : x + 12] = (220 - t % 3, 18, 55)
+        rows.append(("square", t, 83, 83, plane.tobytes()))
+    frames = spark.createDataFrame(rows, "clip string, frame_index long, width int, height int, bgr binary")
+    return imgdiff.frame_difference(imgdiff.to_gray(frames), ["clip"])
+
+
+@query(
+    "plate_layout_24", "well_label:s well_index:l roi_x0:i roi_y0:i roi_x1:i roi_y1:i", "",
+    "pl AS (SELECT range AS i, [138, 400, 662, 925, 1187, 1450][range % 6 + 1] AS x, [137, 400, 663, 927][range // 6 + 1] AS y FROM range(24))",
+    "SELECT chr((65 + i // 6)::INT) || lpad((i % 6 + 1)::VARCHAR, 2, '0') AS well_label, i AS well_index, x - 128 AS roi_x0, y - 128 AS roi_y0, x + 128 AS roi_x1, y + 128 AS roi_y1 FROM pl",
+)
+def plate_layout_24(spark, d):
+    return manifests.plate_layout(spark, manifests.layout_of(1664, 1440))
+
+
+@query(
+    "plate_layout_96", "well_label:s well_index:l roi_x0:i roi_y0:i roi_x1:i roi_y1:i", "",
+    "pl AS (SELECT range AS i, 22 + 131 * (range % 12) AS x, 16 + 132 * (range // 12) AS y FROM range(96))",
+    "SELECT chr((65 + i // 12)::INT) || lpad((i % 12 + 1)::VARCHAR, 2, '0') AS well_label, i AS well_index, x AS roi_x0, y AS roi_y0, x + 112 AS roi_x1, y + 109 AS roi_y1 FROM pl",
+)
+def plate_layout_96(spark, d):
+    return manifests.plate_layout(spark, manifests.layout_of(1600, 1068))

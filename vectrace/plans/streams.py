@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectrace.plans import views
 from vectrace.plans.catalog import query
+from vectrace.session import shared_folder
 from vectrace.streaming import state
 
 
 def _shared(spark: SparkSession) -> str:
-    """A new folder under the shared checkpoint folder, or a temporary one where none is set."""
-    import uuid
-
-    return f"{(spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp()).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return shared_folder(spark, "stream")
 
 
 def _source(spark: SparkSession, df: DataFrame, files: int = 4) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import types as T
 
 
@@ -33,10 +35,12 @@ BINARY = {
     "vectors": (b"MSCVB1\0\0", "<qqfiiIIhhhhiiIQiif", VECTORS),
     "frames": (b"MSCFB1\0\0", "<qqfi10fiqfqf", FRAMES),
 }
+#: Fixed format: columns of the source catalogue.
 SOURCE_CATALOG = (
     "source_video_id", "source_path", "source_fingerprint", "video_width", "video_height", "pixel_format",
     "fps_nominal", "frame_count", "duration_s",
 )
+#: Fixed format: columns of the plain region table.
 ROI_SIMPLE = (
     "source_video_id", "well_label", "well_index", "roi_x0", "roi_y0", "roi_x1", "roi_y1", "roi_width", "roi_height",
 )
@@ -49,6 +53,12 @@ METADATA = T.StructType([
 ])
 
 
+def record_types(kind: str) -> list[str]:
+    """Little-endian array types of a binary record's fields, from its struct code."""
+    kinds = {"q": "<i8", "i": "<i4", "I": "<u4", "h": "<i2", "f": "<f4", "d": "<f8", "Q": "<u8"}
+    return [kinds[c] for count, c in re.findall(r"(\d*)([a-zA-Z])", BINARY[kind][1]) for _ in range(int(count or 1))]
+
+
 class SchemaError(ValueError):
     """A table lacks required columns."""
 

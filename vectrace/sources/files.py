@@ -50,16 +50,7 @@ def decode_binary(data: bytes, kind: str, name: str = "stream") -> np.ndarray:
         raise FormatError(f"{name}: unexpected header {_HEADER.unpack_from(data)}")
     if (len(data) - _HEADER.size) % record:
         raise FormatError(f"{name}: the last record is cut off")
-    kinds = {"q": "<i8", "i": "<i4", "I": "<u4", "h": "<i2", "f": "<f4", "d": "<f8", "Q": "<u8"}
-    codes = []
-    count = ""
-    for c in code[1:]:
-        if c.isdigit():
-            count += c
-        else:
-            codes += [kinds[c]] * int(count or 1)
-            count = ""
-    return np.frombuffer(data, dtype=np.dtype(list(zip(schema.names, codes, strict=True))), offset=_HEADER.size)
+    return np.frombuffer(data, dtype=np.dtype(list(zip(schema.names, schemas.record_types(kind), strict=True))), offset=_HEADER.size)
 
 
 def read_binary(spark: SparkSession, path: str, kind: str, frames: tuple[int, int] | None = None, source: str = "all") -> DataFrame:
@@ -115,9 +106,12 @@ def discover(spark: SparkSession, root: str) -> DataFrame:
     return sets.filter("frames is not null").withColumn("missing", F.when(F.col("vectors").isNull(), "vectors"))
 
 
-def read_comparisons(spark: SparkSession, root: str, name: str = "all_wells_comparison.csv") -> DataFrame:
-    """The comparison tables of all videos, the video taken from the folder; none at all is an error."""
-    df = spark.read.option("header", True).option("inferSchema", True).csv(f"{root.rstrip('/')}/*/{name}")
+def read_comparisons(spark: SparkSession, root: str, schema: T.StructType | str, name: str = "all_wells_comparison.csv") -> DataFrame:
+    """The comparison tables of all videos in the given types, the video taken from the folder; none at all is an error.
+
+    Each file's header must name the schema's columns in their order.
+    """
+    df = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(f"{root.rstrip('/')}/*/{name}")
     return df.withColumn("video", basename(parent(F.col("_metadata.file_path"))))
 
 

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import gzip
 import struct
+import subprocess
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vectrace import schemas
 from vectrace.functions.exprs import in_range
+from vectrace.session import checkpointed
 
 _HEADER = struct.Struct("<8s6I")
 
@@ -54,19 +57,17 @@ def binary_streams(df: DataFrame, kind: str, keys: list[str]) -> DataFrame:
     """
     magic, code, schema = schemas.BINARY[kind]
     head = _HEADER.pack(magic, 1, 0x01020304, _HEADER.size, struct.calcsize(code), len(schema), 0)
-    whole = {f.name for f in schema if f.dataType.simpleString() != "double"}
+    record = np.dtype(list(zip(schema.names, schemas.record_types(kind), strict=True)))
 
     def build(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         order = [c for c in ("frame_index", "vector_index") if c in part.columns]
-        rows = part.sort_values(order, kind="stable")[schema.names]
-        body, pack = [head], struct.Struct(code)
-        for row in rows.itertuples(index=False):
-            cells = []
-            for name, value in zip(schema.names, row, strict=True):
-                missing = pd.isna(value)
-                cells.append((-(1 << 63) if name == "pts" else 0) if missing and name in whole else float("nan") if missing else int(value) if name in whole else float(value))
-            body.append(pack.pack(*cells))
-        return pd.DataFrame([(*key, gzip.compress(b"".join(body), 6, mtime=0))], columns=[*keys, "content"])
+        rows = part.sort_values(order, kind="stable")
+        out = np.zeros(len(rows), dtype=record)
+        for name in schema.names:
+            missing = -(1 << 63) if name == "pts" else float("nan") if record[name].kind == "f" else 0
+            column = rows[name]
+            out[name] = column.where(column.notna(), missing).astype(record[name]) if column.hasnans else column.astype(record[name])
+        return pd.DataFrame([(*key, gzip.compress(head + out.tobytes(), 6, mtime=0))], columns=[*keys, "content"])
 
     kinds = dict(df.dtypes)
     return df.select(*keys, *schema.names).groupBy(*keys).applyInPandas(build, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", content binary")
@@ -114,5 +115,48 @@ def metadata(counters: DataFrame, hashes: DataFrame, **fields: str) -> DataFrame
 
 
 def numbered(df: DataFrame, name: str, order: list[str], keys: list[str] | None = None) -> DataFrame:
-    """df with a number from 1 in ``order`` within ``keys``; without keys the whole table is numbered in one task."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)))
+    """df with a number from 1 in ``order`` within ``keys``; without keys over the whole table.
+
+    The whole table is sorted by ranges; a range's rows are numbered from the rows of those before it,
+    so no task holds more than its range.  The sorted rows are written once and read twice.
+    """
+    if keys:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    ranged = checkpointed(df.sort(*order)).withColumn("_place", F.monotonically_increasing_id())
+    part, inside = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
+    sizes = ranged.groupBy(part.alias("_part")).agg(F.count("*").alias("_n")).collect()  # one row a partition
+    first, before = [], 0
+    for r in sorted(sizes, key=lambda r: r["_part"]):
+        first.append((r["_part"], before))
+        before += r["_n"]
+    starts = df.sparkSession.createDataFrame(first, "_part long, _first long")
+    both = ranged.withColumns({"_part": part, "_inside": inside}).join(F.broadcast(starts), "_part")
+    return both.withColumn(name, F.col("_first") + F.col("_inside") + 1).drop("_part", "_inside", "_place", "_first")
+
+
+def provenance(folder: str) -> dict[str, str | bool | None]:
+    """Commit of the working copy that holds ``folder`` and whether it has changes; nulls where there is none."""
+
+    def git(*words: str) -> str | None:
+        done = subprocess.run(["git", "-C", folder, *words], capture_output=True, text=True, timeout=30, check=False)
+        return done.stdout.strip() if not done.returncode else None
+
+    try:
+        commit, changes = git("rev-parse", "HEAD"), git("status", "--porcelain")
+    except (OSError, subprocess.TimeoutExpired):
+        commit = changes = None
+    return {"commit": commit, "modified": None if commit is None or changes is None else bool(changes)}
+
+
+def manifest_document(rows: DataFrame, inputs: DataFrame, code: dict[str, str | bool | None], **fields: str) -> DataFrame:
+    """One JSON document of a manifest: its rows and plates counted, its input files by hash, and the code that made it.
+
+    ``inputs`` are (path, length, sha256) as ``file_hashes`` gives them; a document has few input files.
+    """
+    files = inputs.agg(F.array_sort(F.collect_list(F.struct("path", "length", "sha256"))).alias("inputs"))
+    counts = rows.agg(F.count("*").alias("n_wells"), F.countDistinct("source_video_id").alias("n_plates"))
+    made = F.struct(F.lit(code.get("commit")).cast("string").alias("commit"), F.lit(code.get("modified")).cast("boolean").alias("modified"))
+    now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    both = counts.crossJoin(F.broadcast(files))  # one row each
+    named = [F.lit(v).alias(k) for k, v in fields.items()]
+    return both.select(F.to_json(F.struct(*named, "n_wells", "n_plates", "inputs", made.alias("code"), now.alias("created_at"))).alias("json"))
