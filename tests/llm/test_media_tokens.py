@@ -238,5 +238,5 @@ def test_counts_equal_the_library(spark):
 def test_ties_go_to_the_earliest_start():
     # "ab"+"c" and "a"+"bc" score alike; the piece that ends later and starts earlier is met first.
     pieces = (("<unk>", 0.0), ("▁", -1.0), ("a", -2.0), ("c", -2.0), ("▁a", -3.0), ("b", -2.0), ("ab", -4.0), ("bc", -4.0), ("abc", -6.0))
-    assert unigram.Counter(pieces).text("abc") in (2, 3)
+    assert unigram.Counter(pieces).text("abc") == 2
     assert unigram.Counter(pieces).word("▁abc") == 2

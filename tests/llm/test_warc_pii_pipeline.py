@@ -217,3 +217,41 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, tmp_path):
     assert redacted.columns == docs.columns
     hit = redacted.filter("doc_id = 300").first()
     assert "<EMAIL>" in hit.text and "@" not in hit.text and hit.n_chars == len(hit.text)
+
+
+def test_pipeline_keeps_what_no_stage_rejects(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    vocabulary = [f"word{i}" for i in range(900)]
+    good = lambda n=80: " ".join(rng.choice(["the", "of", "and", *rng.sample(vocabulary, 3)]) for _ in range(n))
+    a, b, c, d = good(), good(), good(), good()
+    rows = [
+        (None, a), (None, a), (None, b), (None, None),  # no id: linked with nothing
+        (1, c), (1, c), (2, c + " tail"), (2, d),  # a repeated row; one text of id 2 is a near copy, the other is not
+        (3, None), (4, ""), (5, "short"),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for name, table_rows in (("full", rows), ("empty", [])):
+        spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in table_rows], schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+    first, second = (sorted((r.doc_id or 0, r.n_tokens, r.bucket, r.batch, r.slot) for r in corpus_pipeline.run(spark, f"{tmp_path}/full").collect()) for _ in range(2))
+    assert first == second
+    assert sorted((i, n) for i, n, *_ in first) == [(0, 80), (0, 80), (0, 80), (1, 80), (2, 80)]
+    empty = corpus_pipeline.run(spark, f"{tmp_path}/empty")
+    assert empty.collect() == [] and "slot" in empty.columns
+    docs = spark.read.parquet(f"{tmp_path}/empty/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.collect() == [] and out.columns == docs.columns
+
+
+def test_folders_must_be_shared_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from vectrace.llm import common
+
+    fake = lambda master, top: SimpleNamespace(conf=SimpleNamespace(get=lambda k, default=None: top), sparkContext=SimpleNamespace(master=master))
+    assert common.shared_folder(fake("spark://x", "hdfs://y/z/"), "a").startswith("hdfs://y/z/a-")
+    assert common.shared_folder(fake("local[2]", None), "a")
+    with pytest.raises(RuntimeError):
+        common.shared_folder(fake("spark://x", None), "a")

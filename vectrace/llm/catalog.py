@@ -10,7 +10,6 @@ from vectrace.llm import bpe, chat, gif, hpyp, jaccard, packing, pii, quality, u
 from vectrace.llm.common import shared_folder, table
 
 
-
 def tokenizer_path(name: str) -> str:
     """Where a public vocabulary file lies; the files are read in place, never copied."""
     import public_tokenizers

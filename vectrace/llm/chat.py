@@ -39,7 +39,11 @@ def collapse(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str
     Turns are ordered by (turn, role, text), nulls first, so ties have a defined order; rows that
     repeat are turns of their own.  Rows with a null conv_id form one conversation.  Of equal
     conversations the least id stays and ``n_copies`` counts them.  Null roles render as "unknown",
-    null texts as empty; null and empty texts are different turns.
+    null texts as empty; null and empty texts are different turns.  An empty table gives no rows.
+
+    A conversation is numbered, hashed and rendered by one task and becomes one text, so its turns must
+    stay below what a cell holds (2 GB); that goes for all rows with a null id together.  Turns that many
+    conversations share meet only as hashes.
     """
     rows = df.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
     by = Window.partitionBy("conv_id").orderBy("turn", "role", "text")

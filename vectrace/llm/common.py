@@ -107,3 +107,9 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{_shared_top(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that was written and is read no more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

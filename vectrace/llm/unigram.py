@@ -6,6 +6,10 @@ automaton lists all vocabulary pieces by their end, longest first.  The best sco
 count are carried from end to end; a candidate replaces the best only when strictly better, so the
 earliest start wins a tie, as in the original library.  A character that no piece covers alone may
 also be read as unknown, at ``min score - 10``, and counts as its UTF-8 bytes (byte fallback).
+
+The rules are those of the `tokenizers` library's Unigram model, which takes every listed piece as text:
+control and byte pieces ("<s>", "<0x41>") match where a text spells them out.  A vocabulary without them
+gives counts without them.
 """
 
 from __future__ import annotations
