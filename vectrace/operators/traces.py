@@ -217,12 +217,15 @@ def gallery_events(sec: DataFrame, regimes: list[str], n: int = 6, gap: float =
 
 
 def recurrence(found: DataFrame, tolerance: int = 2) -> DataFrame:
-    """Per candidate and peak second: videos with a peak within the tolerance and their mean score."""
-    near = Window.partitionBy("candidate").orderBy("second_bin").rangeBetween(-tolerance, tolerance)
-    return found.select(
-        "candidate", "second_bin", F.size(F.collect_set("video").over(near)).cast("long").alias("video_count"),
-        F.avg("stimulus_like_score").over(near).alias("mean_peak_score"),
-    ).distinct()
+    """Per candidate and peak second: videos with a peak within the tolerance and their mean score.
+
+    A peak is dealt to the few seconds around it, so seconds are grouped and no list of videos is held.
+    """
+    around = F.explode(F.sequence(F.col("second_bin") - tolerance, F.col("second_bin") + tolerance)).alias("second_bin")
+    reached = found.select("candidate", "video", "stimulus_like_score", around)
+    return reached.join(found.select("candidate", "second_bin").distinct(), ["candidate", "second_bin"], "left_semi").groupBy("candidate", "second_bin").agg(
+        F.countDistinct("video").alias("video_count"), F.avg("stimulus_like_score").alias("mean_peak_score")
+    )
 
 
 def recurrence_summary(found: DataFrame, videos: int, tolerance: int = 2) -> DataFrame:

@@ -61,18 +61,18 @@ def sampling_counters(spark, d):
     return vectors.counters(views.vectors(spark, d), "sampled", **_DIALS)
 
 
-_SUMMARY = """fs AS (SELECT clip, frame_index, count(*) AS n_vectors, avg(dx_px) AS mean_dx_px, avg(dy_px) AS mean_dy_px, avg(magnitude_px) AS mean_magnitude_px,
+FRAME_SUMMARY = """fs AS (SELECT clip, frame_index, count(*) AS n_vectors, avg(dx_px) AS mean_dx_px, avg(dy_px) AS mean_dy_px, avg(magnitude_px) AS mean_magnitude_px,
  quantile_cont(magnitude_px, 0.5) AS median_magnitude_px, quantile_cont(magnitude_px, 0.9) AS p90_magnitude_px, quantile_cont(magnitude_px, 0.95) AS p95_magnitude_px,
  max(magnitude_px) AS max_magnitude_px, sum(magnitude_px) AS sum_magnitude_px, sqrt(pow(sum(dx_px), 2) + pow(sum(dy_px), 2)) AS resultant_magnitude_px FROM vec GROUP BY ALL)"""
-_SUMMARY_COLUMNS = (
+FRAME_SUMMARY_COLUMNS = (
     "clip:l frame_index:l n_vectors:l mean_dx_px mean_dy_px mean_magnitude_px median_magnitude_px p90_magnitude_px p95_magnitude_px "
     "max_magnitude_px sum_magnitude_px resultant_magnitude_px coherence"
 )
 
 
 @query(
-    "frame_summary", _SUMMARY_COLUMNS, "vec fr", _SUMMARY,
-    "SELECT fr.clip, fr.frame_index, " + ", ".join(f"coalesce(fs.{c.split(':')[0]}, 0) AS {c.split(':')[0]}" for c in _SUMMARY_COLUMNS.split()[2:-1])
+    "frame_summary", FRAME_SUMMARY_COLUMNS, "vec fr", FRAME_SUMMARY,
+    "SELECT fr.clip, fr.frame_index, " + ", ".join(f"coalesce(fs.{c.split(':')[0]}, 0) AS {c.split(':')[0]}" for c in FRAME_SUMMARY_COLUMNS.split()[2:-1])
     + ", coalesce(CASE WHEN fs.sum_magnitude_px > 0 THEN fs.resultant_magnitude_px / (fs.sum_magnitude_px + 1e-12) END, 0) AS coherence FROM fr LEFT JOIN fs USING (clip, frame_index)",
 )
 def frame_summary(spark, d):
@@ -80,7 +80,7 @@ def frame_summary(spark, d):
 
 
 @query(
-    "top_motion_frames", "clip:l frame_index:l sum_magnitude_px n_vectors:l", "vec", _SUMMARY,
+    "top_motion_frames", "clip:l frame_index:l sum_magnitude_px n_vectors:l", "vec", FRAME_SUMMARY,
     "SELECT * FROM fs ORDER BY round(sum_magnitude_px, 9) DESC, frame_index LIMIT 25",
 )
 def top_motion_frames(spark, d):
@@ -89,7 +89,7 @@ def top_motion_frames(spark, d):
 
 
 @query(
-    "sidecar_report", "clip:l frames:l vectors:l median_vectors_per_frame median_frame_energy p95_frame_energy zero_vector_fraction", "vec fr", _SUMMARY + """,
+    "sidecar_report", "clip:l frames:l vectors:l median_vectors_per_frame median_frame_energy p95_frame_energy zero_vector_fraction", "vec fr", FRAME_SUMMARY + """,
 al AS (SELECT fr.clip, coalesce(fs.n_vectors, 0) AS n, coalesce(fs.sum_magnitude_px, 0) AS e FROM fr LEFT JOIN fs USING (clip, frame_index))""",
     """SELECT clip, count(*) AS frames, sum(n) AS vectors, median(n::DOUBLE) AS median_vectors_per_frame, median(e) AS median_frame_energy,
  quantile_cont(e, 0.95) AS p95_frame_energy, avg((n = 0)::INT) AS zero_vector_fraction FROM al GROUP BY clip""",

@@ -418,6 +418,24 @@ def moving_square(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "clip string, frame_index long, width int, height int, gray binary")
 
 
+_SEPARATED = [c for c in profiles.SEPARABILITY_FEATURES if c != "mv_active_fraction"]
+
+
+@query(
+    "separability_seconds", "clip:l second_bin:l cd10_sum:l cd10_active_fraction " + " ".join(f"{c}_mean {c}_p95 {c}_max" for c in _SEPARATED), "vec fr",
+    catalog.FRAME_SUMMARY + ", ss AS (SELECT fs.*, CASE WHEN fs.sum_magnitude_px > 0 THEN fs.resultant_magnitude_px / (fs.sum_magnitude_px + 1e-12) ELSE 0 END AS coherence, floor(fr.time_seconds)::BIGINT AS second_bin, greatest(frame_index % 37 - 12, 0) AS cd10 FROM fs JOIN fr USING (clip, frame_index))",
+    "SELECT clip, second_bin, sum(cd10) AS cd10_sum, avg((cd10 > 0)::INT) AS cd10_active_fraction, " + ", ".join(
+        f"avg({c}::DOUBLE) AS {c}_mean, quantile_cont({c}::DOUBLE, 0.95) AS {c}_p95, max({c}) AS {c}_max" for c in _SEPARATED
+    ) + " FROM ss GROUP BY clip, second_bin",
+)
+def separability_seconds(spark, d):
+    from vectrace.operators import vectors
+
+    summary = vectors.frame_summary(views.vectors(spark, d), keys=("clip",))
+    timed = summary.join(views.frames(spark, d).select("clip", "frame_index", "time_seconds"), ["clip", "frame_index"])
+    return profiles.separability_seconds(timed.withColumn("cd10", F.greatest(F.col("frame_index") % 37 - 12, F.lit(0))), ("clip",))
+
+
 #: The square's moves in SQL: pixels it has moved over the last k frames; the lines are never under it.
 _MOVED = "(least(greatest(t - 9, 0), 11) - least(greatest(t - {k} - 9, 0), 11) + least(greatest(t - 29, 0), 11) - least(greatest(t - {k} - 29, 0), 11)) * 2"
 _CHANGED = "CASE WHEN t >= {k} THEN 24 * least(" + _MOVED + ", 12) ELSE 0 END"
