@@ -258,8 +258,8 @@ def _candidates(lists: DataFrame, percent: int) -> DataFrame:
     return found.unionByName(stars).distinct()
 
 
-def _blocks(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Row blocks of every group (root, class_id, doc, mark, copies, n): each class's block, and the pairs of blocks to multiply.
+def _blocks(classes: DataFrame, percent: int) -> DataFrame:
+    """Classes (root, class_id, doc, mark, copies, n) of groups, each with the pairs of row blocks it is multiplied in.
 
     A group of more than one block is cut into bands of sizes, each ``percent`` of the next, and a band
     into hash blocks of bounded weight; sets of bands further apart than neighbours cannot link.  So
@@ -271,34 +271,35 @@ def _blocks(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     banded = checkpoint(
         classes.join(groups, "root").withColumn("band", F.when(F.col("weight") > BLOCK_GRAMS, ratio).otherwise(0)).drop("members", "weight")
     )
-    blocks = banded.groupBy("root", "band").agg(F.ceil(F.sum(weight) / BLOCK_GRAMS).cast("int").alias("blocks"))
-    blocks = checkpoint(blocks)
-    placed = banded.join(blocks, ["root", "band"]).withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")).drop("blocks")
-    return placed, blocks
+    blocks = checkpoint(banded.groupBy("root", "band").agg(F.ceil(F.sum(weight) / BLOCK_GRAMS).cast("int").alias("blocks")))
+    near = lambda by, name: blocks.select("root", (F.col("band") + by).alias("band"), F.col("blocks").alias(name))
+    every = lambda name: F.when(F.col(name).isNull(), F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), F.coalesce(name, F.lit(1)) - 1))
+    pair = lambda band, low, high, cross, side: F.struct(
+        F.col("band") + band, low.alias("low"), high.alias("high"), F.lit(cross).alias("cross"), side.cast("int").alias("side")
+    )
+    me = F.col("block")
+    # A pair of neighbouring bands is named by the lower one, whose blocks are side 0.
+    pairs = F.concat(
+        F.transform(every("blocks"), lambda o: pair(0, F.least(me, o), F.greatest(me, o), False, me > o)),
+        F.transform(every("over"), lambda o: pair(0, me, o, True, F.lit(0))),
+        F.transform(every("under"), lambda o: pair(-1, o, me, True, F.lit(1))),
+    ).cast("array<struct<band:int,low:int,high:int,cross:boolean,side:int>>")
+    key = ["root", "band"]
+    around = blocks.join(near(-1, "over"), key, "left").join(near(1, "under"), key, "left")
+    return banded.join(around, key).withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")).select(
+        "root", "class_id", "doc", "mark", "copies", pairs.alias("pairs")
+    )
 
 
-def _multiplied(members: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
-    """Rows (a, b, links) of classes from members (root, band, block, class_id, copies, grams).
+def _multiplied(members: DataFrame, percent: int) -> DataFrame:
+    """Rows (a, b, links) of classes from members (root, pairs, class_id, copies, grams).
 
     Of each pair of row blocks, a forest of its links (a, b, 0); and for each class there (a, a, the
     number of documents in the other block, or its own, that it links with).
     """
-    near = lambda by: blocks.select("root", (F.col("band") + by).alias("band"), F.col("blocks").alias("more"))
     key = ["root", "band", "low", "high", "cross"]
-    member = ["class_id", "copies", "grams"]
-    inside = (
-        members.join(near(0), ["root", "band"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("more") - 1)))
-        .select("root", "band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), F.lit(False).alias("cross"), F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"), *member)
-    )
-    # The lower band's blocks are side 0, the upper one's side 1 of a pair named by the lower band.
-    up = members.join(near(-1), ["root", "band"]).withColumn("high", F.explode(F.sequence(F.lit(0), F.col("more") - 1)))
-    down = members.join(near(1), ["root", "band"]).withColumn("low", F.explode(F.sequence(F.lit(0), F.col("more") - 1)))
-    pairs = (
-        inside
-        .unionByName(up.select("root", "band", F.col("block").alias("low"), "high", F.lit(True).alias("cross"), F.lit(0).alias("side"), *member))
-        .unionByName(down.select("root", (F.col("band") - 1).alias("band"), "low", F.col("block").alias("high"), F.lit(True).alias("cross"), F.lit(1).alias("side"), *member))
-    )
-    ordered = pairs.repartition(*key).sortWithinPartitions(*key, "side", "class_id").select(*key, "side", *member)
+    dealt = members.select("root", F.explode("pairs").alias("p"), "class_id", "copies", "grams").select("root", "p.*", "class_id", "copies", "grams")
+    ordered = dealt.repartition(*key).sortWithinPartitions(*key, "side", "class_id").select(*key, "side", "class_id", "copies", "grams")
 
     def product(key: tuple, held: list[tuple]) -> list[tuple[bytes, bytes, int]]:
         # A row that repeats brings its class twice.
@@ -362,8 +363,8 @@ def _labelled(df: DataFrame, n: int, percent: int, id_col: str, text_col: str) -
     classes = nodes.join(sets, "class_id").select(
         "root", "class_id", F.col("first.doc_id").alias("doc"), F.col("first.mark").alias("mark"), "copies", "n"
     )
-    placed, blocks = _blocks(checkpoint(classes), percent)
-    found = checkpoint(_multiplied(_with_grams(spark_docs, checkpoint(placed), n, id_col, text_col), blocks, percent))
+    placed = checkpoint(_blocks(checkpoint(classes), percent))
+    found = checkpoint(_multiplied(_with_grams(spark_docs, placed, n, id_col, text_col), percent))
     linked = components(found.filter("a <> b").select("a", "b"))
     counted = found.filter("links > 0").groupBy(F.col("a").alias("class_id")).agg(F.sum("links").alias("links"))
     # Labels go from group to class to document; each table is written before its join, so that the rows
@@ -387,17 +388,18 @@ def _labelled(df: DataFrame, n: int, percent: int, id_col: str, text_col: str) -
 
 def _with_grams(df: DataFrame, placed: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
     """Members with their n-gram hashes, computed from the candidates' texts only."""
-    at = placed.select("root", "band", "block", "class_id", "copies", F.col("doc").alias("_doc"), F.col("mark").alias("_mark"))
+    at = placed.select("root", "pairs", "class_id", "copies", F.col("doc").alias("_doc"), F.col("mark").alias("_mark"))
     source = df.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_mark"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            grams = pa.array([s.tobytes() for s in gram_sets(part.column(5), n)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(5)), grams], ["root", "band", "block", "class_id", "copies", "grams"])
+            grams = pa.array([s.tobytes() for s in gram_sets(part.column(4), n)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(4)), grams], ["root", "pairs", "class_id", "copies", "grams"])
 
-    schema = f"root {dict(placed.dtypes)['root']}, band int, block int, class_id binary, copies long, grams binary"
-    wanted = source.join(at, ["_doc", "_mark"]).select("root", "band", "block", "class_id", "copies", "_text")
-    return checkpoint(wanted.mapInArrow(run, schema))
+    kind = dict(placed.dtypes)
+    schema = f"root {kind['root']}, pairs {kind['pairs']}, class_id binary, copies long, grams binary"
+    wanted = source.join(at, ["_doc", "_mark"]).select("root", "pairs", "class_id", "copies", "_text")
+    return wanted.mapInArrow(run, schema)
 
 
 def keep_one(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
