@@ -82,7 +82,8 @@ def save_streams(streams: DataFrame, folder: str, name: str) -> DataFrame:
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        store, top = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        plain = folder.removeprefix("file:") if folder.startswith("file:/") and "://" not in folder else folder
+        store, top = fs.FileSystem.from_uri(plain if "://" in plain else f"file://{plain}")
         store.create_dir(top, recursive=True)
         for part in parts:
             out = []
