@@ -437,14 +437,14 @@ def separability_seconds(spark, d):
 
 
 #: The square's moves in SQL: pixels it has moved over the last k frames; the lines are never under it.
-_MOVED = "(least(greatest(t - 9, 0), 11) - least(greatest(t - {k} - 9, 0), 11) + least(greatest(t - 29, 0), 11) - least(greatest(t - {k} - 29, 0), 11)) * 2"
-_CHANGED = "CASE WHEN t >= {k} THEN 24 * least(" + _MOVED + ", 12) ELSE 0 END"
-_SQUARE = "sq AS (SELECT range AS t FROM range(50))"
+MOVED = "(least(greatest(t - 9, 0), 11) - least(greatest(t - {k} - 9, 0), 11) + least(greatest(t - 29, 0), 11) - least(greatest(t - {k} - 29, 0), 11)) * 2"
+CHANGED = "CASE WHEN t >= {k} THEN 24 * least(" + MOVED + ", 12) ELSE 0 END"
+SQUARE = "sq AS (SELECT range AS t FROM range(50))"
 
 
 @query(
     "image_diff_square", "clip:s frame_index:l changed_pixels:l changed_sum:l changed_fraction abs_sum:l abs_mean signed_mean", "",
-    _SQUARE + f", ch AS (SELECT t, {_CHANGED.format(k=1)} AS n FROM sq)",
+    SQUARE + f", ch AS (SELECT t, {CHANGED.format(k=1)} AS n FROM sq)",
     "SELECT 'square' AS clip, t AS frame_index, n AS changed_pixels, n * 202 AS changed_sum, n / 6889.0::DOUBLE AS changed_fraction, n * 202 AS abs_sum, n * 202 / 6889.0::DOUBLE AS abs_mean, 0 AS signed_mean FROM ch",
 )
 def image_diff_square(spark, d):
@@ -452,9 +452,9 @@ def image_diff_square(spark, d):
 
 
 @query(
-    "image_lags_square", "clip:s frame_index:l " + " ".join(f"imgdiff_l{k}_changed_fraction imgdiff_l{k}_abs_mean" for k in (1, 3, 10)), "", _SQUARE,
+    "image_lags_square", "clip:s frame_index:l " + " ".join(f"imgdiff_l{k}_changed_fraction imgdiff_l{k}_abs_mean" for k in (1, 3, 10)), "", SQUARE,
     "SELECT 'square' AS clip, t AS frame_index, " + ", ".join(
-        f"{_CHANGED.format(k=k)} / 6889.0::DOUBLE AS imgdiff_l{k}_changed_fraction, {_CHANGED.format(k=k)} * 202 / 6889.0::DOUBLE AS imgdiff_l{k}_abs_mean" for k in (1, 3, 10)
+        f"{CHANGED.format(k=k)} / 6889.0::DOUBLE AS imgdiff_l{k}_changed_fraction, {CHANGED.format(k=k)} * 202 / 6889.0::DOUBLE AS imgdiff_l{k}_abs_mean" for k in (1, 3, 10)
     ) + " FROM sq",
 )
 def image_lags_square(spark, d):
@@ -486,6 +486,21 @@ def block_motion_square(spark, d):
     return imgdiff.block_differences(found, frames, ["clip"])
 
 
+@query(
+    "local_gate_square", "clip:s frame_index:l vector_index:i block_mean_diff block_max_diff block_cd_pixels:i", "",
+    f"""bl AS (SELECT b.range AS i, 16 * (b.range // 5) AS y, 16 * (b.range % 5) AS x FROM range(25) b), px AS (SELECT p.range // 16 AS v, p.range % 16 AS u FROM range(256) p),
+df AS (SELECT t.range AS t, i, abs({_pixel('t.range', 'y + v', 'x + u')} - {_pixel('(t.range - 1)', 'y + v', 'x + u')}) AS d FROM range(1, 50) t, bl, px),
+bd AS (SELECT t, i, avg(d) AS m, max(d) AS x, count(*) FILTER (WHERE d > 10) AS n FROM df GROUP BY ALL)""",
+    "SELECT 'square' AS clip, t AS frame_index, i AS vector_index, m AS block_mean_diff, x AS block_max_diff, n AS block_cd_pixels FROM bd WHERE m >= 1 AND x >= 50 AND n >= 8",
+)
+def local_gate_square(spark, d):
+    from vectrace.operators import vectors
+
+    frames = moving_square(spark)
+    blocks = imgdiff.block_differences(imgdiff.block_motion(frames, ["clip"]), frames, ["clip"])
+    return vectors.local_gate(blocks, mean_diff=1.0, max_diff=50.0, changed=8)
+
+
 @query("phase_shift_square", "clip:s frame_index:l shift_x_px shift_y_px shift_px response")
 def phase_shift_square(spark, d):
     return imgdiff.phase_shift(moving_square(spark), ["clip"])
@@ -493,7 +508,7 @@ def phase_shift_square(spark, d):
 
 @query(
     "colour_diff_square", "clip:s frame_index:l changed_pixels:l abs_sum:l", "",
-    _SQUARE + f", ch AS (SELECT t, {_CHANGED.format(k=1)} AS n FROM sq)",
+    SQUARE + f", ch AS (SELECT t, {CHANGED.format(k=1)} AS n FROM sq)",
     # Blue 220 - t % 3, green 18, red 55 inside the square and 18 outside, in fixed-point grey.
     """SELECT 'square' AS clip, t AS frame_index, CASE WHEN t > 0 THEN greatest(n, 0) ELSE 0 END AS changed_pixels,
  CASE WHEN t > 0 THEN n // 2 * ((1868 * (220 - t % 3) + 9617 * 18 + 4899 * 55 + 8192) // 16384 + (1868 * (220 - (t - 1) % 3) + 9617 * 18 + 4899 * 55 + 8192) // 16384 - 36)
@@ -528,3 +543,39 @@ def plate_layout_24(spark, d):
 )
 def plate_layout_96(spark, d):
     return manifests.plate_layout(spark, manifests.layout_of(1600, 1068))
+
+
+@query(
+    "routed_rows", "row_pos:l well_archive_path:s", "roi", "", "SELECT row_pos, '/scratch/' || source_video_id || '/video/' || well_label || '.av1.mkv' AS well_archive_path FROM roi",
+)
+def routed_rows(spark, d):
+    rows = views.roi_rows(spark, d).withColumn("well_archive_path", F.concat(F.lit("/old/"), "source_video_id", F.lit("/video/"), "well_label", F.lit(".av1.mkv")))
+    return manifests.routed(rows, "/scratch/")
+
+
+@query(
+    "incomplete_work", "row_pos:l source_video_id:s", "roi prb", "",
+    "SELECT row_pos, source_video_id FROM roi WHERE row_pos NOT IN (SELECT row_pos FROM prb WHERE codec_name = 'av1' AND packet_count > 0)",
+)
+def incomplete_work(spark, d):
+    done = views.probes(spark, d).filter("codec_name = 'av1' and packet_count > 0")
+    return manifests.incomplete(views.roi_rows(spark, d), done.select("row_pos"), ["row_pos"])
+
+
+@query(
+    "roi_normalised", "source_video_id:s n:l x0:l y1:l", "roi", "", "SELECT source_video_id, count(*) AS n, sum(x0) AS x0, sum(y0 + height) AS y1 FROM roi GROUP BY source_video_id",
+)
+def roi_normalised(spark, d):
+    rows = views.roi_rows(spark, d)
+    named = rows.select(*[F.col(c).alias(f"analysis_{c}" if c.startswith("roi_") else c) for c in rows.columns])
+    return manifests.normalise_roi(named).groupBy("source_video_id").agg(
+        F.count("*").alias("n"), F.sum(F.col("roi_x0").cast("long")).alias("x0"), F.sum(F.col("roi_y1").cast("long")).alias("y1")
+    )
+
+
+@query(
+    "campaign_capacity", "shared_peak_gb wall_hours", "src", "", "SELECT 20 * (9 + 5 + 2 + 0.5) AS shared_peak_gb, count(*) * 1.5 / 20 AS wall_hours FROM src",
+)
+def campaign_capacity(spark, d):
+    plates = views.catalog_rows(spark, d).count()
+    return spark.createDataFrame([manifests.capacity(plates, 20, 1.5, 9.0, 5.0, 2.0, 0.5)])

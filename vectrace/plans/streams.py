@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectrace.plans import views
+from vectrace.plans import records, views
 from vectrace.plans.catalog import query
 from vectrace.session import shared_folder
 from vectrace.streaming import state
@@ -54,3 +54,16 @@ def stream_runs(spark, d):
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     found = state.run_to_end(state.runs(stream, ["video", "well"]), _shared(spark), mode="append")
     return state.longest(found, ["video", "well"])
+
+
+@query(
+    "stream_change", "clip:s frame_index:l changed_pixels:l", "", records.SQUARE + f", ch AS (SELECT t, {records.CHANGED.format(k=1)} AS n FROM sq)",
+    "SELECT 'square' AS clip, t AS frame_index, n AS changed_pixels FROM ch",
+)
+def stream_change(spark, d):
+    frames, folder = records.moving_square(spark), _shared(spark)
+    for low in (0, 25):
+        # Files are read in the order they were written; a trace's frames never reach back.
+        frames.filter((F.col("frame_index") >= low) & (F.col("frame_index") < low + 25)).coalesce(1).write.mode("append").parquet(folder)
+    live = spark.readStream.schema(frames.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return state.run_to_end(state.change_from_last(live, ["clip"]), _shared(spark), mode="append")
