@@ -10,6 +10,7 @@ from __future__ import annotations
 import struct
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from vectrace.llm.common import shared_folder
+from vectrace.llm.common import delete_folder, shared_folder
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _SPLITS = "spark.sql.files.minPartitionNum"
@@ -56,6 +57,32 @@ def unpack(body: bytes) -> list[np.ndarray]:
     return out
 
 
+@lru_cache(maxsize=1)
+def _zstd():
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def squeeze(data: np.ndarray) -> np.ndarray:
+    """Bytes, compressed."""
+    return np.frombuffer(_zstd()[0].compress(data.tobytes()), dtype=np.uint8)
+
+
+def loosen(body: np.ndarray) -> np.ndarray:
+    return np.frombuffer(_zstd()[1].decompress(body.tobytes()), dtype=np.uint8)
+
+
+def press(numbers: np.ndarray) -> np.ndarray:
+    """Numbers of 32 bits, byte place by byte place, compressed: small numbers leave whole places empty."""
+    places = np.ascontiguousarray(numbers.astype(np.uint32).view(np.uint8).reshape(-1, 4).T)
+    return squeeze(places)
+
+
+def unpress(body: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(loosen(body).reshape(4, -1).T).view(np.uint32).reshape(-1)
+
+
 def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     values, at = np.unique(x, return_inverse=True)
     return values, at.reshape(-1)
@@ -149,5 +176,4 @@ class Store:
 
     def drop(self, *names: str) -> None:
         for name in names:
-            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.top}/{name}")
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            delete_folder(self.spark, f"{self.top}/{name}")

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vectrace.llm import scan
-from vectrace.llm.blobs import ROWS, Held, Row, Store, batch_of, by_key, by_unit, cut, distinct, pack, same_cuts, unpack
+from vectrace.llm.blobs import ROWS, Held, Row, Store, batch_of, by_key, by_unit, cut, distinct, pack, press, same_cuts, unpack, unpress
 from vectrace.llm.scan import mix
 
 CONCENTRATION = 1.0
@@ -46,7 +46,7 @@ SENDING, BURN_IN, SAMPLES = 4, 4, 4
 #: Seatings of the root; all restaurants are swept after each.
 ROUNDS = 2
 #: Tokens of a unit (one text more at most) and, about, of a bucket.
-UNIT_TOKENS, BUCKET_TOKENS = 1 << 21, 1 << 21
+UNIT_TOKENS, BUCKET_TOKENS = 3 << 19, 1 << 21
 #: Contexts of at least this share of all tokens may be split.
 HOT_SHARE = 1 << 16
 #: Dishes of up to so many customers are drawn from their exact conditional.
@@ -318,8 +318,7 @@ def _heavy(source: DataFrame, bucket_tokens: int) -> tuple[int, dict[int, int]]:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, size = [], 0
-        total = {}
+        seen, size, room = [], 0, UNIT_TOKENS
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
             codes, at = distinct(np.concatenate([c for c, _ in seen]))
@@ -330,13 +329,13 @@ def _heavy(source: DataFrame, bucket_tokens: int) -> tuple[int, dict[int, int]]:
             seen.append(np.unique(flat, return_counts=True))
             seen.append((np.array([START], dtype=np.uint64), np.array([len(sizes)])))
             size += len(flat)
-            if sum(len(c) for c, _ in seen) > UNIT_TOKENS:
+            if sum(len(c) for c, _ in seen) > room:
                 seen = [merged()]
+                room = UNIT_TOKENS + 2 * len(seen[0][0])
         if size:
             codes, n = merged()
             much = n >= max(2, size // HOT_SHARE)
-            total = {"code": np.concatenate((codes[much].astype(np.int64), [-1])), "n": np.concatenate((n[much], [size]))}
-            yield pa.RecordBatch.from_pydict(total)
+            yield pa.RecordBatch.from_pydict({"code": np.concatenate((codes[much].astype(np.int64), [-1])), "n": np.concatenate((n[much], [size]))})
 
     found = source.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     rows = {r["code"]: r["n"] for r in found.filter((F.col("code") == -1) | (F.col("n") > 2 * bucket_tokens)).collect()}  # HOT_SHARE at most
@@ -352,12 +351,12 @@ def _send(source: DataFrame, hot: dict[int, int], buckets: int, unit_tokens: int
             for bucket, rooms, pairs in u.cut_pairs(buckets):
                 split = np.flatnonzero(u.room_scale[rooms] > 1)
                 body = pack(
-                    u.room[rooms], u.room_pairs[rooms].astype(np.uint32), u.word[u.pair_word[pairs]], u.pair_n[pairs].astype(np.uint32),
+                    u.room[rooms], press(u.room_pairs[rooms]), u.word[u.pair_word[pairs]], press(u.pair_n[pairs]),
                     split, u.word[u.room_context[rooms][split]], u.room_scale[rooms][split],
                 )
                 rows.append((_SENT, bucket, u.origin, body, 0, 0))
             for bucket, a, b in cut(u.word, buckets):
-                rows.append((_SENT, -1 - bucket, u.origin, pack(u.word[a:b], u.word_n[a:b].astype(np.uint32)), 0, 0))
+                rows.append((_SENT, -1 - bucket, u.origin, pack(u.word[a:b], press(u.word_n[a:b])), 0, 0))
             yield batch_of(rows)
 
     return source.mapInArrow(run, ROWS)
@@ -369,7 +368,7 @@ def _merge(buckets: int) -> Callable[[int, Held], Iterator[Row]]:
     def words(key: int, sent: list[tuple[int, bytes]]) -> Iterator[Row]:
         parts = [unpack(body) for _, body in sent]
         word, at = distinct(np.concatenate([p[0] for p in parts]))
-        count = np.bincount(at, np.concatenate([p[1] for p in parts]), len(word)).astype(np.int64)
+        count = np.bincount(at, np.concatenate([unpress(p[1]) for p in parts]), len(word)).astype(np.int64)
         yield _COUNTS, key, 0, pack(word, count), int(count.sum()), int((count > 0).sum())
         end = 0
         for (origin, _), p in zip(sent, parts, strict=True):
@@ -380,9 +379,9 @@ def _merge(buckets: int) -> Callable[[int, Held], Iterator[Row]]:
         parts = [unpack(body) for _, body in sent]
         room, in_room = distinct(np.concatenate([p[0] for p in parts]))
         word, in_word = distinct(np.concatenate([p[2] for p in parts]))
-        in_room = np.repeat(in_room, np.concatenate([p[1] for p in parts]))
+        in_room = np.repeat(in_room, np.concatenate([unpress(p[1]) for p in parts]))
         pair, at = distinct(in_room.astype(np.uint64) << np.uint64(32) | in_word.astype(np.uint64))
-        count = np.bincount(at, np.concatenate([p[3] for p in parts]), len(pair)).astype(np.int64)
+        count = np.bincount(at, np.concatenate([unpress(p[3]) for p in parts]), len(pair)).astype(np.int64)
         context, scale = room.copy(), np.ones(len(room), dtype=np.int64)
         for p in parts:
             place = np.searchsorted(room, p[0][p[4]])
@@ -395,7 +394,7 @@ def _merge(buckets: int) -> Callable[[int, Held], Iterator[Row]]:
         for (origin, _), p in zip(sent, parts, strict=True):
             start, end = end, end + len(p[2])
             check = np.bitwise_xor.reduce(p[2], keepdims=True) if len(p[2]) else np.zeros(1, dtype=np.uint64)
-            yield _CODES, key, origin, pack(code[at[start:end]], check), 0, 0
+            yield _CODES, key, origin, pack(press(code[at[start:end]]), check), 0, 0
         customers = np.bincount(pair_room, count, len(room)).astype(np.int64)
         keep = customers > 0
         if not keep.any():
@@ -470,7 +469,7 @@ def _sweep(root: Root, discount: float, seed: int, buckets: int, last: bool) ->
         value = np.concatenate(([0.0, 1.0 - discount], share)).astype(np.float32)
         for origin, body in held.get(_CODES, []):
             code, check = unpack(body)
-            yield _SHARES, origin, key, pack(value[code], check), 0, 0
+            yield _SHARES, origin, key, pack(press(value[unpress(code)].view(np.uint32)), check), 0, 0
 
     return make
 
@@ -514,9 +513,13 @@ def _again(source: DataFrame, hot: dict[int, int], buckets: int, unit_tokens: in
             for _, _, pairs in u.cut_pairs(buckets):
                 check.append(np.bitwise_xor.reduce(u.word[u.pair_word[pairs]]))
                 size.append(pairs.stop - pairs.start)
+            # Frequent pairs get small numbers, so that most of their bytes are zero.
+            order = np.argsort(-np.bincount(u.token, minlength=len(u.pair_word)), kind="stable")
+            rank = np.empty(len(order), dtype=np.int64)
+            rank[order] = np.arange(len(order))
             body = pack(
-                np.frombuffer(sink.getvalue(), dtype=np.uint8), u.held.view(np.uint8), u.sizes, u.token.astype(np.uint32), u.pair_word.astype(np.uint32),
-                u.room_context.astype(np.uint32), u.room_pairs.astype(np.uint32), np.array(check, dtype=np.uint64), np.array(size),
+                np.frombuffer(sink.getvalue(), dtype=np.uint8), u.held.view(np.uint8), u.sizes, press(rank[u.token]), press(order), press(u.pair_word),
+                press(u.room_context), press(u.room_pairs), np.array(check, dtype=np.uint64), np.array(size),
             )
             yield batch_of([(_UNIT, u.origin, 0, body, 0, 0)])
 
@@ -527,8 +530,10 @@ def _summed(rows: DataFrame, id_type: str, tokens: int, types: int, buckets: int
     """The texts' sums from units, shares of their pairs and values of their words."""
 
     def unit(rows: Held) -> Iterator[pa.RecordBatch]:
-        raw, held, sizes, token, pair_word, room_context, room_pairs, check, size = unpack(rows[_UNIT][0][1])
-        parts = [unpack(b) for _, b in rows[_SHARES]]
+        raw, held, sizes, *pressed, check, size = unpack(rows[_UNIT][0][1])
+        token, order, pair_word, room_context, room_pairs = map(unpress, pressed)
+        token = order[token]
+        parts = [(unpress(share).view(np.float32), mark) for share, mark in (unpack(b) for _, b in rows[_SHARES])]
         if [len(p[0]) for p in parts] != size.tolist() or [int(p[1][0]) for p in parts] != check.tolist():
             raise RuntimeError("the texts read differently the second time")
         count, chance, back_off, seated = (np.concatenate(x) for x in zip(*(unpack(b) for _, b in rows[_VALUES]), strict=True))
