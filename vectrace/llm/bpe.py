@@ -32,11 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectrace.llm import scan
-from vectrace.llm.blobs import ROWS, Held, Row, Store, batch_of, by_key, by_unit, cut, pack, same_cuts, unpack
+from vectrace.llm.blobs import ROWS, Held, Row, Store, batch_of, by_key, by_unit, cut, loosen, pack, press, same_cuts, squeeze, unpack, unpress
 from vectrace.llm.common import slices
 
 #: Bytes of text of a unit (one text more at most) and, about, of all texts of a bucket's pieces.
-UNIT_BYTES, BUCKET_BYTES = 16 << 20, 64 << 20
+UNIT_BYTES, BUCKET_BYTES = 16 << 20, 32 << 20
 #: The pattern that is cut without an expression.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _SENT, _IDS, _UNIT = range(3)
@@ -170,7 +170,7 @@ class Coder:
         """Rank of the merge of each pair; -1 where the file has none."""
         if not len(self.pair):
             return np.full(len(left), -1, dtype=np.int64)
-        key = left << 32 | right
+        key = left.astype(np.int64) << 32 | right
         at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
         return np.where(self.pair[at] == key, self.merged[at], -1)
 
@@ -183,9 +183,9 @@ class Coder:
     def replay(self, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces run together and how many each has, merges replayed over the pieces' bytes together."""
         n = len(data)
-        ids = self.single[data] if n else np.empty(0, dtype=np.int64)
+        ids = self.single[data].astype(np.int32)
         ends = np.cumsum(size)
-        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         full = size > 0
         after[ends[full] - 1], before[(ends - size)[full]] = -1, -1
         index: dict[int, list[np.ndarray]] = {}
@@ -206,7 +206,7 @@ class Coder:
                     index[r] = [position[a:b]]
                     heappush(heap, r)
 
-        left = np.flatnonzero(after >= 0)
+        left = np.flatnonzero(after >= 0).astype(np.int32)
         file(left, self.lookup(ids[left], ids[left + 1]))
         odd = []
         while heap:
@@ -291,28 +291,25 @@ def _texts(token: np.ndarray, tokens: np.ndarray, ids: np.ndarray, count: np.nda
 class _Unit:
     """Texts of a unit: the distinct pieces by hash, the piece at each place, pieces of each text."""
 
-    def __init__(self, origin: int, ids: list[pa.Array], hashes: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], tokens: np.ndarray):
+    def __init__(self, origin: int, ids: list[pa.Array], data: np.ndarray, start: np.ndarray, size: np.ndarray, hashes: np.ndarray, tokens: np.ndarray):
         self.origin, self.ids, self.tokens = origin, ids, tokens
         self.hash, first, token = np.unique(hashes, return_index=True, return_inverse=True)
-        self.token = token.reshape(-1)
-        number = np.concatenate([np.full(len(s), i) for i, (_, s, _) in enumerate(parts)]) if parts else np.empty(0, dtype=np.int64)
-        start = np.concatenate([s for _, s, _ in parts]) if parts else number
-        size = np.concatenate([z for _, _, z in parts]) if parts else number
+        self.token = token.reshape(-1).astype(np.uint32)
         self.size = size[first].astype(np.int64)
-        base = np.cumsum([0, *(len(d) for d, _, _ in parts)])
-        whole = np.concatenate([d for d, _, _ in parts]) if parts else np.empty(0, dtype=np.uint8)
-        self.data = whole[_ranges(start[first] + base[number[first]], self.size)]
+        self.data = data[_ranges(start[first], self.size)]
 
 
 def _unit(origin: int, coder: Coder, ids: list[pa.Array], columns: list[tuple[np.ndarray, np.ndarray]]) -> _Unit:
-    parts, hashes, tokens = [], [], []
+    starts, sizes, hashes, tokens, base = [], [], [], [], 0
     for data, bounds in columns:
         start = coder.starts(data, bounds)
         end = np.append(start, len(data))[1:]
-        parts.append((data, start, end - start))
+        starts.append(start + base)
+        sizes.append((end - start).astype(np.uint32))
         hashes.append(scan.chunk_hashes(data, start, end))
         tokens.append(np.diff(np.searchsorted(start, bounds)))
-    return _Unit(origin, ids, np.concatenate(hashes), parts, np.concatenate(tokens))
+        base += len(data)
+    return _Unit(origin, ids, np.concatenate([d for d, _ in columns]), *map(np.concatenate, (starts, sizes, hashes, tokens)))
 
 
 def _units(batches: Iterator[pa.RecordBatch], coder: Coder, unit_bytes: int) -> Iterator[_Unit]:
@@ -337,7 +334,7 @@ def _send(source: DataFrame, rank_file: bytes, pattern: str, buckets: int, unit_
         for u in _units(batches, _coder(rank_file, pattern), unit_bytes):
             ends, rows = np.concatenate(([0], np.cumsum(u.size))), []
             for bucket, a, b in cut(u.hash >> np.uint64(1), buckets):
-                rows.append((_SENT, bucket, u.origin, pack(u.data[ends[a] : ends[b]], u.size[a:b].astype(np.uint32)), 0, 0))
+                rows.append((_SENT, bucket, u.origin, pack(squeeze(u.data[ends[a] : ends[b]]), press(u.size[a:b])), 0, 0))
             yield batch_of(rows)
 
     return source.mapInArrow(run, ROWS)
@@ -347,7 +344,7 @@ def _replayed(rank_file: bytes, pattern: str) -> Callable[[int, Held], Iterator[
     """Each distinct piece of a bucket is encoded once; every unit gets the ids of its pieces."""
 
     def make(key: int, held: Held) -> Iterator[Row]:
-        parts = [unpack(body) for _, body in held[_SENT]]
+        parts = [(loosen(data), unpress(sizes)) for data, sizes in (unpack(body) for _, body in held[_SENT])]
         data, size = (np.concatenate([p[i] for p in parts]) for i in range(2))
         size = size.astype(np.int64)
         start = np.cumsum(size) - size
@@ -361,7 +358,7 @@ def _replayed(rank_file: bytes, pattern: str) -> Callable[[int, Held], Iterator[
             low, end = end, end + len(sizes)
             mine = at[low:end]
             check = np.array([int(scan.mix(sizes.astype(np.uint64)).sum()) ^ len(bytes_)], dtype=np.uint64)
-            yield _IDS, origin, key, pack(ids[_ranges(begin[mine], count[mine])].astype(np.uint32), count[mine].astype(np.uint32), check), 0, 0
+            yield _IDS, origin, key, pack(press(ids[_ranges(begin[mine], count[mine])]), press(count[mine]), check), 0, 0
 
     return make
 
@@ -370,9 +367,6 @@ def _again(source: DataFrame, rank_file: bytes, pattern: str, buckets: int, unit
     """Each unit as it is put together at the end: its texts' ids and, compressed, the piece at each place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        press = zstandard.ZstdCompressor(level=1)
         for u in _units(batches, _coder(rank_file, pattern), unit_bytes):
             column = pa.chunked_array(u.ids).combine_chunks()
             sink = pa.BufferOutputStream()
@@ -382,11 +376,10 @@ def _again(source: DataFrame, rank_file: bytes, pattern: str, buckets: int, unit
             order = np.argsort(-np.bincount(u.token, minlength=len(u.hash)), kind="stable")
             rank = np.empty(len(order), dtype=np.uint32)
             rank[order] = np.arange(len(order), dtype=np.uint32)
-            planes = np.ascontiguousarray(rank[u.token].view(np.uint8).reshape(-1, 4).T).tobytes()
             sizes = u.size.astype(np.uint32)
             check = [int(scan.mix(sizes[a:b].astype(np.uint64)).sum()) ^ int(sizes[a:b].sum()) for _, a, b in cut(u.hash >> np.uint64(1), buckets)]
             body = pack(
-                np.frombuffer(sink.getvalue(), dtype=np.uint8), u.tokens, np.frombuffer(press.compress(planes), dtype=np.uint8),
+                np.frombuffer(sink.getvalue(), dtype=np.uint8), u.tokens, press(rank[u.token]),
                 order.astype(np.uint32), np.array(check, dtype=np.uint64),
             )
             yield batch_of([(_UNIT, u.origin, 0, body, 0, 0)])
@@ -403,16 +396,13 @@ def _encoded(df: DataFrame, rank_file: bytes, pattern: str, id_col: str, text_co
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def unit(held: Held) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        raw, tokens, planes, order, check = unpack(held[_UNIT][0][1])
+        raw, tokens, places, order, check = unpack(held[_UNIT][0][1])
         parts = [unpack(body) for _, body in held.get(_IDS, [])]
         if [int(p[2][0]) for p in parts] != check.tolist():
             raise RuntimeError("the texts read differently the second time")
         none = np.empty(0, dtype=np.uint32)
-        ids, count = (np.concatenate([none, *(p[i] for p in parts)]) for i in range(2))
-        flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(planes.tobytes()), dtype=np.uint8)
-        token = order[np.ascontiguousarray(flat.reshape(4, -1).T).view(np.uint32).reshape(-1)] if len(order) else none
+        ids, count = (np.concatenate([none, *(unpress(p[i]) for p in parts)]) for i in range(2))
+        token = order[unpress(places)] if len(order) else none
         column = pa.ipc.open_stream(pa.py_buffer(raw)).read_all().column(0).combine_chunks()
         yield from make(_coder(rank_file, pattern), column, _texts(token, tokens, ids, count.astype(np.int64)))
 
