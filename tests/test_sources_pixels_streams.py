@@ -44,6 +44,32 @@ def test_streams_round_trip(spark, tmp_path):
     assert [r.frame_index for r in back] == [7, 9] and back[1].pts is None and back[0].magnitude_px == 5.0
 
 
+def test_long_streams_are_built_and_read_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "MEMBER_ROWS", 100)
+    monkeypatch.setattr(sinks, "DEALT_ROWS", 250)
+    monkeypatch.setattr(files, "WHOLE_BYTES", 1 << 12)
+    rows = [((i * 37) % 499, None if i % 9 == 0 else i, 0.5, i // 499, *RECORD[4:], "b.bin.gz" if i % 50 == 0 else "a.bin.gz") for i in range(3000)]
+    df = spark.createDataFrame(rows, "struct<" + ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in schemas.VECTORS) + ",clip:string>").repartition(3)
+    made = sinks.binary_streams(df, "vectors", ["clip"])
+    parts = made.selectExpr("clip", "part", "length(content) as n").collect()
+    assert sum(r.clip == "a.bin.gz" for r in parts) > 20 and {r.part for r in parts if r.clip == "b.bin.gz"} == {0}
+    saved = sinks.save_streams(made, str(tmp_path / "out"), "clip").collect()
+    assert {r.file: r.bytes for r in saved} == {c: (tmp_path / "out" / c).stat().st_size for c in ("a.bin.gz", "b.bin.gz")}
+    for c in ("a.bin.gz", "b.bin.gz"):
+        data = (tmp_path / "out" / c).read_bytes()
+        assert (len(data) > files.WHOLE_BYTES) == (c == "a.bin.gz")
+        got = files.decode_binary(data, "vectors")
+        want = sorted((r[0], r[3], files.NO_PTS if r[1] is None else r[1]) for r in rows if r[-1] == c)
+        assert list(zip(got["frame_index"].tolist(), got["vector_index"].tolist(), got["pts"].tolist(), strict=True)) == want
+    back = files.read_binary(spark, str(tmp_path / "out"), "vectors")
+    assert back.count() == 3000
+    want = df.drop("clip").withColumn("time_seconds", F.expr("if(pts is null, null, time_seconds)"))
+    assert back.drop("_file").exceptAll(want).count() == 0
+    assert files.read_binary(spark, str(tmp_path / "out"), "vectors", frames=(10, 20)).count() == sum(10 <= r[0] <= 20 for r in rows)
+    with pytest.raises(Exception, match="does not follow"):
+        sinks.save_streams(made.filter("part <> 1"), str(tmp_path / "bad"), "clip").collect()
+
+
 def test_csv_round_trip_and_header_check(spark, tmp_path):
     rows = [(i, i, i * 0.01, 2, *[1 / 3] * 9, 0.5, 10, 0, 0.0, 0, 123456789.0) for i in range(3)]
     df = spark.createDataFrame(rows, schemas.FRAMES)

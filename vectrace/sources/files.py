@@ -7,6 +7,8 @@ decodes bytes that Spark has read.
 from __future__ import annotations
 
 import gzip
+import io
+import re
 import struct
 from collections.abc import Iterator
 
@@ -24,6 +26,8 @@ _HEADER = struct.Struct("<8s6I")
 _ENDIAN = 0x01020304
 #: pts of a frame without a time stamp.
 NO_PTS = -(1 << 63)
+#: Bytes of a stream up to which Spark reads its file in one piece, and records of a stream that are decoded at a time.
+WHOLE_BYTES, CHUNK_ROWS = 1 << 24, 1 << 16
 
 
 class FormatError(ValueError):
@@ -37,50 +41,82 @@ def read_csv(spark: SparkSession, path: str | list[str], kind: str) -> DataFrame
     return df.select(*[null_if_nan(f.name).alias(f.name) if f.dataType == T.DoubleType() else F.col(f.name) for f in schema])
 
 
-def decode_binary(data: bytes, kind: str, name: str = "stream") -> np.ndarray:
-    """Records of a binary stream, gzipped or not, as a structured array; every header field is checked."""
+def store_of(path: str):
+    """(file system, path on it) as pyarrow names them; a path without a store is a local one."""
+    from pyarrow import fs
+
+    if "://" in path and not path.startswith("file:"):
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), re.sub("^file:(//)?(?=/)", "", path)
+
+
+def stream_records(file, kind: str, name: str = "stream", rows: int = CHUNK_ROWS) -> Iterator[np.ndarray]:
+    """Records of a seekable binary stream, gzipped (in any number of members) or not, so many at a time as structured arrays; every header field is checked."""
     magic, code, schema = schemas.BINARY[kind]
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
-    if len(data) < _HEADER.size:
+    zipped = file.read(2) == b"\x1f\x8b"
+    file.seek(0)
+    data = gzip.GzipFile(fileobj=file) if zipped else file
+    head, record = data.read(_HEADER.size), struct.calcsize(code)
+    if len(head) < _HEADER.size:
         raise FormatError(f"{name}: the header is cut off")
-    record = struct.calcsize(code)
     want = (magic, 1, _ENDIAN, _HEADER.size, record, len(schema), 0)
-    if _HEADER.unpack_from(data) != want:
-        raise FormatError(f"{name}: unexpected header {_HEADER.unpack_from(data)}")
-    if (len(data) - _HEADER.size) % record:
-        raise FormatError(f"{name}: the last record is cut off")
-    return np.frombuffer(data, dtype=np.dtype(list(zip(schema.names, schemas.record_types(kind), strict=True))), offset=_HEADER.size)
+    if _HEADER.unpack(head) != want:
+        raise FormatError(f"{name}: unexpected header {_HEADER.unpack(head)}")
+    kinds = np.dtype(list(zip(schema.names, schemas.record_types(kind), strict=True)))
+    while part := data.read(rows * record):
+        if len(part) % record:
+            raise FormatError(f"{name}: the last record is cut off")
+        yield np.frombuffer(part, dtype=kinds)
+
+
+def decode_binary(data: bytes, kind: str, name: str = "stream") -> np.ndarray:
+    """All records of a binary stream, gzipped or not, as a structured array; every header field is checked."""
+    kinds = np.dtype(list(zip(schemas.BINARY[kind][2].names, schemas.record_types(kind), strict=True)))
+    return np.concatenate([np.zeros(0, dtype=kinds), *stream_records(io.BytesIO(data), kind, name)])
 
 
 def read_binary(spark: SparkSession, path: str, kind: str, frames: tuple[int, int] | None = None, source: str = "all") -> DataFrame:
     """Vector or frame tables in the fixed-width format, with the file's path as ``_file``.
 
     ``frames`` (first, last) and ``source`` (all, past, future) are applied to the records before
-    they become rows.  A missing pts is null, and so is the time of such a row.
+    they become rows.  A missing pts is null, and so is the time of such a row.  Files of up to
+    WHOLE_BYTES are read by Spark; longer ones are streamed by their task from a store that pyarrow
+    reaches, so a task holds CHUNK_ROWS records, however long its file is.
     """
     schema = T.StructType([*schemas.BINARY[kind][2], T.StructField("_file", T.StringType())])
     arrow = to_arrow_schema(schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def decoded(content: io.BytesIO, file: str) -> Iterator[pa.RecordBatch]:
+        for rows in stream_records(content, kind, file):
+            if frames:
+                rows = rows[(rows["frame_index"] >= frames[0]) & (rows["frame_index"] <= frames[1])]
+            if source != "all":
+                rows = rows[rows["source"] < 0 if source == "past" else rows["source"] > 0]
+            cols = []
+            absent = rows["pts"] == NO_PTS
+            for f in list(arrow)[:-1]:
+                values = rows[f.name].astype(f.type.to_pandas_dtype())
+                mask = absent if f.name in ("pts", "time_seconds") else None
+                if pa.types.is_floating(f.type):
+                    mask = np.isnan(values) if mask is None else mask | np.isnan(values)
+                cols.append(pa.array(values, f.type, mask=mask))
+            yield pa.RecordBatch.from_arrays([*cols, pa.array([file] * len(rows), pa.string())], schema=arrow)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                rows = decode_binary(content.as_buffer().to_pybytes(), kind, file)
-                if frames:
-                    rows = rows[(rows["frame_index"] >= frames[0]) & (rows["frame_index"] <= frames[1])]
-                if source != "all":
-                    rows = rows[rows["source"] < 0 if source == "past" else rows["source"] > 0]
-                cols = []
-                absent = rows["pts"] == NO_PTS
-                for f in list(arrow)[:-1]:
-                    values = rows[f.name].astype(f.type.to_pandas_dtype())
-                    mask = absent if f.name in ("pts", "time_seconds") else None
-                    if pa.types.is_floating(f.type):
-                        mask = np.isnan(values) if mask is None else mask | np.isnan(values)
-                    cols.append(pa.array(values, f.type, mask=mask))
-                yield pa.RecordBatch.from_arrays([*cols, pa.array([file] * len(rows), pa.string())], schema=arrow)
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, schema)
+                yield from decoded(io.BytesIO(content.as_buffer()), file)
+
+    def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file in batch.column(0).to_pylist():
+                store, at = store_of(file)
+                with store.open_input_file(at) as content:
+                    yield from decoded(content, file)
+
+    found = spark.read.format("binaryFile").load(path)
+    short = found.filter(F.col("length") <= WHOLE_BYTES).select("path", "content").mapInArrow(whole, schema)
+    return short.unionAll(found.filter(F.col("length") > WHOLE_BYTES).select("path").mapInArrow(streamed, schema))
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
