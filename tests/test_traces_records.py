@@ -1,3 +1,6 @@
+import math
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,6 +154,37 @@ def test_profile_distance_equals_numpy(spark):
     assert all(np.isclose(r.distance, np.linalg.norm(z[r.left] - z[r.right])) and r.same_label == (r.left % 3 == r.right % 3) for r in got)
 
 
+def test_pairs_of_blocks_are_shuffled_little(spark, monkeypatch):
+    monkeypatch.setattr(profiles, "LEAST_BLOCK", 20)
+    rows = [(f"p{i}", None if i % 4 == 0 else i % 3, [float(i), float(i % 7)] if i % 50 else [1.0, None] if i else [1.0]) for i in range(200)]
+    df = spark.createDataFrame(rows, "profile string, stage int, features array<double>").repartition(4)
+    pairs = profiles.pair_distance(df.unionAll(df.limit(1)).unionAll(df.limit(1).withColumn("profile", F.lit(None).cast("string"))))
+    assert pairs.dropDuplicates(["left", "right"]).count() == 200 * 199 // 2 and pairs.count() == 200 * 199 // 2 + 199
+    by = {r[0]: r for r in rows}
+    for r in pairs.collect():
+        (_, la, a), (_, lb, b) = by[r.left], by[r.right]
+        assert r.left < r.right and r.same_label == (la == lb)
+        if None in a or None in b or len(a) != len(b):
+            assert r.distance is None
+        else:
+            assert abs(r.distance - math.dist(a, b)) < 1e-9
+    monkeypatch.undo()
+    # 10,000 profiles once lay in 40 blocks, and so were copied 80 times.
+    wide = spark.range(10_000).selectExpr("id as profile", "id % 3 as stage", "array(double(id)) as features")
+    plan = profiles.pair_distance(wide)._jdf.queryExecution().toString()
+    assert max(int(n) for n in re.findall(r"sequence\([^)]*?, (\d+)", plan)) < 12
+
+
+def test_a_block_meets_itself_in_any_order():
+    import pyarrow as pa
+
+    rows = [{"k": i, "l": 0, "f": [float(i)]} for i in range(9)]
+    batch = pa.RecordBatch.from_pydict({"x": [3], "y": [3], "lr": [rows], "rr": [rows[::-1]]})
+    (got,) = profiles._block_distances([batch])
+    pairs = {frozenset(p) for p in zip(got["a"].to_pylist(), got["b"].to_pylist(), strict=True)}
+    assert got.num_rows == 36 == len(pairs) and all(len(p) == 2 for p in pairs)
+
+
 def test_separability_learns_a_clear_label(spark):
     rows = [(v, s, float(s + v % 2 * 0.1), float(s % 2), "even" if s % 2 == 0 else "odd") for v in range(4) for s in range(20)]
     df = spark.createDataFrame(rows, "video int, second_bin int, a double, b double, well string")
