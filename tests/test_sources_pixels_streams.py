@@ -70,6 +70,16 @@ def test_long_streams_are_built_and_read_in_pieces(spark, tmp_path, monkeypatch)
         sinks.save_streams(made.filter("part <> 1"), str(tmp_path / "bad"), "clip").collect()
 
 
+def test_a_slice_of_a_long_stream_is_read_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "WHOLE_BYTES", 0)
+    records = [(i, i, 0.5, 0, -1 if i % 3 else 1, *RECORD[5:]) for i in range(1000)]
+    (tmp_path / "a.vectors.bin.gz").write_bytes(stream(records))
+    with open(tmp_path / "a.vectors.bin.gz", "rb") as f:
+        assert [len(part) for part in files.stream_records(f, "vectors", rows=300)] == [300, 300, 300, 100]
+    got = files.read_binary(spark, str(tmp_path), "vectors", frames=(100, 900), source="past")
+    assert sorted(r.frame_index for r in got.collect()) == [i for i in range(100, 901) if i % 3]
+
+
 def test_csv_round_trip_and_header_check(spark, tmp_path):
     rows = [(i, i, i * 0.01, 2, *[1 / 3] * 9, 0.5, 10, 0, 0.0, 0, 123456789.0) for i in range(3)]
     df = spark.createDataFrame(rows, schemas.FRAMES)
