@@ -178,6 +178,27 @@ def test_a_corpus_without_matches_adds_nothing():
         assert pii.spans("card 4111.1111.1111.1111, call (977) 555-9722", pii.fit(sample))[1] == []
 
 
+def test_the_model_is_fitted_on_every_text(spark, monkeypatch):
+    sample = [t + " so" * 7000 for t in prose(random.Random(4), 180)]
+    rows = [(i, t) for i, t in enumerate([*sample, *sample[:50], None, ""])] + [(1000, "call (977) 555-9722 today")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    texts = [*sample, rows[-1][1]]
+    labels = [x[2] for t in texts for x in pii.labelled(t) if not x[2] or pii._valid(x[1][0], x[0][x[1][1] : x[1][2]])]
+    want = pii.fit(texts, trees=2)
+    assert want.threshold["phone"] < float("inf") and len(set(labels)) == 2
+    for most in (1 << 18, 0):
+        monkeypatch.setattr(pii, "LOCAL_PATTERNS", most)
+        patterns = pii.patterns_of(df)
+        assert isinstance(patterns.rows, tuple) == (most > 0)
+        if most:
+            assert patterns.rows[1].sum(axis=0).tolist() == [labels.count(True), labels.count(False)]
+        got = pii.fit(df, trees=2)
+        assert got.threshold == want.threshold and got.bias == want.bias
+        assert all((getattr(got, k) == getattr(want, k)).all() for k in ("feature", "cut", "leaf"))
+    monkeypatch.setattr(pii, "LOCAL_PATTERNS", 1 << 18)
+    assert [r.spans for r in pii.detect(df).filter("doc_id = 1000").collect()] == ["phone:5:19"]
+
+
 def test_detect_and_redact(spark):
     rows = [(1, None, "a"), (2, "", "b"), (3, "write a@b.com or 10.0.0.1", "c"), (3, "write a@b.com or 10.0.0.1", "c"), (4, "clean " * 40_000, "d")]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans string")

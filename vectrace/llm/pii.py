@@ -6,12 +6,14 @@ context go through boosted trees, and those above their kind's calibrated thresh
 base span are added.  An added card passes the Luhn test, an added address has octets, an added phone
 number has 9 to 15 digits.
 
-The trees are fitted on the driver from rows labelled by the corpus itself, of at most
-``TRAINING_TEXTS`` different texts (those with the least hashes, so the same corpus gives the same
-model).  True rows are base matches with their format disturbed, where they stand; false rows are
-candidates of the same texts that touch no base match, look-alikes that break a kind's test put in a
-match's place, and look-alikes put where no match stands.  A quarter of the texts, held out, calibrates
-the thresholds.
+The trees are fitted on rows labelled by the corpus itself, of all its different texts.  True rows are
+base matches with their format disturbed, where they stand; false rows are candidates of the same texts
+that touch no base match, look-alikes that break a kind's test put in a match's place, and look-alikes
+put where no match stands.  A quarter of the texts, by their hash, calibrates the thresholds.
+
+Features, margins and gradients are whole numbers, so sums of them do not depend on their order.  Equal
+rows are counted by Spark; trees and thresholds need nothing but sums over the distinct ones, taken on
+the driver for up to ``LOCAL_PATTERNS`` of them and by Spark beyond, with the same model.
 """
 
 from __future__ import annotations
@@ -20,19 +22,23 @@ import hashlib
 import random
 import re
 from bisect import bisect_left, insort
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectrace.llm.common import slices, texts
+from vectrace.llm.common import checkpoint, slices, texts
 
 KINDS = ("email", "ip", "card", "phone")
-#: Bounds of the training sample: different texts, their length, and labelled rows of each label and kind.
-TRAINING_TEXTS, TRAINING_CHARS, TRAINING_ROWS = 2000, 20_000, 1500
+#: Distinct labelled rows up to which the driver sums them.
+LOCAL_PATTERNS = 1 << 18
+#: A feature is a whole number below LEVELS; margins are in parts of UNIT, gradients of ONE.
+LEVELS, UNIT, ONE = 512, 1 << 10, 1 << 20
+#: Different texts that a measurement on the driver takes at most, and their length.
+MEASURED_TEXTS, MEASURED_CHARS = 2000, 20_000
 #: Share of true spans that a threshold must reach among the calibration rows it selects.
 PRECISION = 0.99
 #: True and false rows of a kind below which nothing of it is added.
@@ -141,7 +147,8 @@ def candidates(text: str) -> list[Span]:
     return found
 
 
-def features(text: str, span: Span) -> list[float]:
+def features(text: str, span: Span) -> list[int]:
+    """Whole numbers below LEVELS: no generator proposes more than some 270 characters."""
     kind, a, b = span
     s = text[a:b]
     digits = _digits(s)
@@ -149,67 +156,156 @@ def features(text: str, span: Span) -> list[float]:
     seps = re.sub(r"[0-9A-Za-z]", "", s)
     before, after = text[max(0, a - 40) : a], text[b : b + 2]
     prior = before.rstrip()[-1:]
+    most = max((digits.count(c) for c in set(digits)), default=0)
     return [
-        *(float(kind == k) for k in KINDS), b - a, len(digits), len(seps), len(set(seps)),
-        float(bool(digits) and luhn(digits)), float(kind == "ip" and all(int(g) <= 255 for g in groups if g.isdecimal())),
-        len(groups), float("(" in s), len(groups[0]) if groups else 0, len(groups[-1]) if groups else 0,
-        float(bool(_CUES[kind].search(before))), float(bool(_OTHER.search(before))),
-        float(before[-1:].isalpha()), float(after[:1].isalpha()), float(prior in "#$%=/:" and prior != ""),
-        max((digits.count(c) for c in set(digits)), default=0) / max(1, len(digits)),
-        float(kind == "email" and groups[-1].lower() in ("com", "org", "net", "edu", "de", "fr", "es", "io") if groups else 0.0),
-        float(kind == "email" and not re.search(r"[^A-Za-z0-9 ]", s)), float(prior == ":"),
+        *(int(kind == k) for k in KINDS), b - a, len(digits), len(seps), len(set(seps)),
+        int(bool(digits) and luhn(digits)), int(kind == "ip" and all(int(g) <= 255 for g in groups if g.isdecimal())),
+        len(groups), int("(" in s), len(groups[0]) if groups else 0, len(groups[-1]) if groups else 0,
+        int(bool(_CUES[kind].search(before))), int(bool(_OTHER.search(before))),
+        int(before[-1:].isalpha()), int(after[:1].isalpha()), int(prior in "#$%=/:" and prior != ""),
+        (LEVELS - 1) * most // max(1, len(digits)),
+        int(kind == "email" and groups[-1].lower() in ("com", "org", "net", "edu", "de", "fr", "es", "io") if groups else False),
+        int(kind == "email" and not re.search(r"[^A-Za-z0-9 ]", s)), int(prior == ":"),
     ]
 
 
 @dataclass(frozen=True)
 class Model:
-    """Boosted regression trees of depth 3 as arrays, and each kind's threshold on the margin."""
+    """Boosted regression trees of depth 3 as arrays, and each kind's threshold on the margin (in parts of UNIT)."""
 
     feature: np.ndarray  # trees x 7 inner nodes
     cut: np.ndarray
     leaf: np.ndarray  # trees x 8
-    bias: float
+    bias: int
     threshold: dict[str, float]
 
-    def margin(self, x: np.ndarray) -> np.ndarray:
-        rows = np.arange(len(x))
-        out = np.full(len(x), self.bias)
-        for f, c, leaf in zip(self.feature, self.cut, self.leaf, strict=True):
-            node = np.zeros(len(x), dtype=np.int64)
-            for _ in range(3):
-                node = 2 * node + 1 + (x[rows, f[node]] > c[node])
-            out += leaf[node - 7]
+    def margin(self, x: np.ndarray, first: int = 0) -> np.ndarray:
+        """The sum of the trees from ``first`` on, and of the bias where that is 0."""
+        out = np.full(len(x), 0 if first else self.bias, dtype=np.int64)
+        for f, c, leaf in zip(self.feature[first:], self.cut[first:], self.leaf[first:], strict=True):
+            out += leaf[_below(x, f, c, 3) - 7]
         return out
 
 
-def _grow(x: np.ndarray, grad: np.ndarray, hess: np.ndarray, shrink: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _below(x: np.ndarray, feature: np.ndarray, cut: np.ndarray, depth: int) -> np.ndarray:
+    """The node that each row reaches at a depth of a tree; a node's children are 2n + 1 and 2n + 2."""
+    rows, node = np.arange(len(x)), np.zeros(len(x), dtype=np.int64)
+    for _ in range(depth):
+        node = 2 * node + 1 + (x[rows, feature[node]] > cut[node])
+    return node
+
+
+_WIDTH = len(FEATURES)
+#: Of distinct labelled rows (features, then whether held out), their true and false numbers and their margins: two sums for each cell.
+Sums = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+
+
+class Patterns:
+    """Distinct labelled rows with their numbers of true and false ones, as arrays or as a table (pattern, true, false)."""
+
+    def __init__(self, rows: DataFrame | tuple[np.ndarray, np.ndarray]):
+        self.rows, self.done = rows, 0
+        if not isinstance(rows, DataFrame):
+            self.margin = np.zeros(len(rows[0]), dtype=np.int64)
+
+    def summed(self, sums: Sums, model: Model, cells: int) -> np.ndarray:
+        """``sums`` over all patterns, cells x 2; the model may only grow from call to call."""
+        if not isinstance(self.rows, DataFrame):
+            if not self.done:
+                self.margin[:] = model.bias
+            self.margin += replace(model, bias=0).margin(self.rows[0], self.done)
+            self.done = len(model.feature)
+            return sums(*self.rows, self.margin)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((cells, 2))
+            for batch in batches:
+                x, n = _arrays(batch)
+                total += sums(x, n, model.margin(x))
+            at = np.flatnonzero(total.any(axis=1))
+            yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(total[at, k].astype(np.int64)) for k in (0, 1))], ["cell", "a", "b"])
+
+        found = self.rows.mapInArrow(run, "cell long, a long, b long").groupBy("cell").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+        out = np.zeros((cells, 2))
+        for r in found.collect():  # cells at most
+            out[r["cell"]] = r["a"], r["b"]
+        return out
+
+
+def _arrays(table: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Features with whether held out, and true and false numbers, of rows (pattern, true, false)."""
+    x = np.frombuffer(b"".join(table.column(0).to_pylist()), dtype=np.uint16).reshape(-1, _WIDTH + 1)
+    return x, np.stack([table.column(k).to_numpy() for k in (1, 2)], axis=1)
+
+
+def _totals(x: np.ndarray, n: np.ndarray, _: np.ndarray) -> np.ndarray:
+    """True and false rows by held out and kind."""
+    cell = x[:, _WIDTH].astype(np.int64) * len(KINDS) + x[:, : len(KINDS)].argmax(axis=1)
+    return np.stack([np.bincount(cell, n[:, k], 2 * len(KINDS)) for k in (0, 1)], axis=1)
+
+
+def _histograms(feature: np.ndarray, cut: np.ndarray, depth: int) -> Sums:
+    """Gradients and second derivatives of the rows fitted, by node of a depth, feature and value."""
+
+    def sums(x: np.ndarray, n: np.ndarray, margin: np.ndarray) -> np.ndarray:
+        mine = x[:, _WIDTH] == 0
+        x, n, margin = x[mine], n[mine], margin[mine]
+        p, w = 1 / (1 + np.exp(-np.clip(margin / UNIT, -500, 500))), n.sum(axis=1)
+        both = np.rint((n[:, 0] - w * p) * ONE), np.rint(w * p * (1 - p) * ONE)
+        node = (_below(x, feature, cut, depth) - (2**depth - 1)) * LEVELS
+        out = np.empty((2**depth, _WIDTH, LEVELS, 2))
+        for j in range(_WIDTH):
+            at = node + x[:, j]
+            for k in (0, 1):
+                out[:, j, :, k] = np.bincount(at, both[k], 2**depth * LEVELS).reshape(-1, LEVELS)
+        return out.reshape(-1, 2)
+
+    return sums
+
+
+def _grow(patterns: Patterns, model: Model, shrink: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """One tree of depth 3 by the second-order gain, over every distinct cut."""
-    feature, cut, leaf = np.zeros(7, dtype=np.int64), np.full(7, np.inf), np.zeros(8)
-    parts: list[np.ndarray] = [np.arange(len(x))]
-    for node in range(15):
-        part = parts[node]
-        g, h = grad[part].sum(), hess[part].sum() + 1.0
-        if node >= 7:
-            leaf[node - 7] = shrink * g / h
-            continue
-        best = (1e-6, 0, np.inf)
-        for j in range(x.shape[1]):
-            order = np.argsort(x[part, j], kind="stable")
-            v = x[part, j][order]
-            edge = np.flatnonzero(v[1:] > v[:-1])
-            if not len(edge):
-                continue
-            gl, hl = np.cumsum(grad[part][order])[edge], np.cumsum(hess[part][order])[edge] + 1.0
-            gain = gl**2 / hl + (g - gl) ** 2 / (h - hl + 2.0) - g**2 / h
-            k = int(np.argmax(gain))
-            if gain[k] > best[0]:
-                best = (float(gain[k]), j, float((v[edge[k]] + v[edge[k] + 1]) / 2))
-        _, feature[node], cut[node] = best
-        right = x[part, feature[node]] > cut[node]
-        parts += [part[~right], part[right]]
+    feature, cut, leaf = np.zeros(7, dtype=np.int64), np.full(7, np.inf), np.zeros(8, dtype=np.int64)
+    for depth in range(3):
+        cells = (2**depth, _WIDTH, LEVELS, 2)
+        sums = patterns.summed(_histograms(feature, cut, depth), model, int(np.prod(cells[:3]))).reshape(cells) / ONE
+        for i, of in enumerate(sums):
+            node, (g, h) = 2**depth - 1 + i, of[0].sum(axis=0)
+            best, left = 1e-6, (g, h)
+            for j in range(_WIDTH):
+                v = np.flatnonzero(of[j, :, 1])
+                gl, hl = np.cumsum(of[j, v], axis=0)[:-1].T
+                gain = gl**2 / (hl + 1) + (g - gl) ** 2 / (h - hl + 1) - g**2 / (h + 1)
+                if len(gain) and gain[k := int(np.argmax(gain))] > best:
+                    best, feature[node], cut[node], left = gain[k], j, (v[k] + v[k + 1]) / 2, (gl[k], hl[k])
+            if depth == 2:
+                for side, (a, b) in enumerate((left, (g - left[0], h - left[1]))):
+                    leaf[2 * i + side] = round(shrink * UNIT * a / (b + 1))
     return feature, cut, leaf
 
 
+def _thresholds(patterns: Patterns, model: Model, enough: list[bool]) -> dict[str, float]:
+    """By kind, the least margin at and above which PRECISION of the rows held out are true."""
+    low = model.bias + int(model.leaf.min(axis=1).sum())
+    width = model.bias + int(model.leaf.max(axis=1).sum()) - low + 1
+
+    def sums(x: np.ndarray, n: np.ndarray, margin: np.ndarray) -> np.ndarray:
+        mine = x[:, _WIDTH] > 0
+        cell = x[mine, : len(KINDS)].argmax(axis=1) * width + margin[mine] - low
+        return np.stack([np.bincount(cell, n[mine, k], len(KINDS) * width) for k in (0, 1)], axis=1)
+
+    found = patterns.summed(sums, model, len(KINDS) * width).reshape(len(KINDS), width, 2)
+    out = {}
+    for kind, of, some in zip(KINDS, found, enough, strict=True):
+        at = np.flatnonzero(of.any(axis=1))[::-1]
+        true, false = np.cumsum(of[at], axis=0).T
+        # A threshold lies midway between two margins, and never below even odds.
+        down = np.append(at + low, -np.inf)
+        good = np.flatnonzero((true >= PRECISION * (true + false)) & (down[:-1] >= 0))
+        out[kind] = max(0.0, float(down[good[-1]] + down[good[-1] + 1]) / 2) if some and len(good) else float("inf")
+    return out
+
+
 def _disturbed(kind: str, s: str, rng: random.Random) -> str:
     """A base match as people write it to escape a pattern, or as another country's."""
     digits = _digits(s)
@@ -227,11 +323,15 @@ def _disturbed(kind: str, s: str, rng: random.Random) -> str:
     return rng.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"00{digits[:2]} {digits[2:5]} {digits[5:]}", " ".join(["0" + pairs[0][:1], *pairs[1:]])])
 
 
-def _look_alike(kind: str, words: list[str], rng: random.Random) -> str:
-    """What a generator proposes and is none of its kind."""
+_WORD = re.compile(r"[A-Za-z]{2,12}")
+
+
+def _look_alike(kind: str, text: str, rng: random.Random) -> str:
+    """What a generator proposes and is none of its kind; words are those after random places of the text."""
     n = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
     if kind == "email":
-        a, b, c = (rng.choice(words) for _ in range(3))
+        found = [_WORD.search(text, rng.randrange(len(text))) or _WORD.search(text) for _ in range(3)]
+        a, b, c = (m[0] if m else "word" for m in found)
         return rng.choice([f"{a} at {b}.{c}", f"{a} at {b} dot {c}", f"{a} at {b} dot com"])
     if kind == "ip":
         return rng.choice([".", " . ", "[.]"]).join([str(rng.randint(256, 999)), *(str(rng.randint(0, 999)) for _ in range(3))])
@@ -245,99 +345,121 @@ def _look_alike(kind: str, words: list[str], rng: random.Random) -> str:
 Labelled = tuple[str, Span, bool]
 
 
-def labelled(sample: list[str], seed: int = 7) -> Iterator[Labelled]:
-    """Labelled candidates (text, span, true) of the sample's texts, in windows of their own context."""
-    rng = random.Random(seed)
-    for text in sample:
-        base = base_spans(text)
-        words = re.findall(r"[A-Za-z]{2,12}", text)[:2000] or ["word"]
-        near = lambda a, b: any(c - 2 < b and a < d + 2 for _, c, d in base)  # noqa: B023, E731
-        places = [("in", k, a, b) for k, a, b in base]
-        for _ in range(min(4, len(words))):
-            at = rng.randrange(len(text) + 1)
-            at = text.find(" ", at) + 1 or len(text)
-            if not near(at, at):
-                places.append(("out", rng.choice(KINDS), at, at))
-        for where, kind, a, b in places:
-            tries = [(_look_alike(kind, words, rng), False)]
-            if where == "in":
-                tries.append((_disturbed(kind, text[a:b], rng), True))
-                if kind in ("email", "phone"):
-                    tries.pop(0)  # where a true one stands, such a look-alike may well be one
-            before, after = text[max(0, a - 60) : a], text[b : b + 20]
-            for s, true in tries:
-                window = before + s + (after if where == "in" else " " + after)
-                low, high = len(before), len(before) + len(s)
-                for c in candidates(window):
-                    if c[0] == kind and c[1] < high and c[2] > low:
-                        yield window, c, true and c[1] <= low and c[2] >= high and c[2] - c[1] - len(s) <= 1
-        for c in candidates(text):
-            if not near(c[1], c[2]):
-                window = text[max(0, c[1] - 60) : c[2] + 20]
-                shift = max(0, c[1] - 60)
-                yield window, (c[0], c[1] - shift, c[2] - shift), False
-
-
-def _rows(sample: list[str], seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels, at most TRAINING_ROWS of each kind and label, the earliest ones."""
-    x, y, seen = [], [], {}
-    for text, span, true in labelled(sample, seed):
-        if _valid(span[0], text[span[1] : span[2]]) or not true:
-            n = seen[span[0], true] = seen.get((span[0], true), 0) + 1
-            if n <= TRAINING_ROWS:
-                x.append(features(text, span))
-                y.append(float(true))
-    return np.array(x).reshape(-1, len(FEATURES)), np.array(y)
+def _digest(text: str) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+def labelled(text: str, seed: int = 7) -> Iterator[Labelled]:
+    """Labelled candidates (text, span, true) of a text, in windows of their own context; the same for equal texts."""
+    if not text:
+        return
+    rng = random.Random(int.from_bytes(_digest(text)) ^ seed)
+    base = base_spans(text)
+    apart = _disjoint(base)
+    ends = [d for _, d in apart]
+
+    def near(a: int, b: int) -> bool:
+        i = bisect_left(ends, a - 1)
+        return i < len(apart) and apart[i][0] < b + 2
+
+    places = [("in", k, a, b) for k, a, b in base]
+    for _ in range(4):
+        at = rng.randrange(len(text) + 1)
+        at = text.find(" ", at) + 1 or len(text)
+        if not near(at, at):
+            places.append(("out", rng.choice(KINDS), at, at))
+    for where, kind, a, b in places:
+        tries = [(_look_alike(kind, text, rng), False)]
+        if where == "in":
+            tries.append((_disturbed(kind, text[a:b], rng), True))
+            if kind in ("email", "phone"):
+                tries.pop(0)  # where a true one stands, such a look-alike may well be one
+        before, after = text[max(0, a - 60) : a], text[b : b + 20]
+        for s, true in tries:
+            window = before + s + (after if where == "in" else " " + after)
+            low, high = len(before), len(before) + len(s)
+            for c in candidates(window):
+                if c[0] == kind and c[1] < high and c[2] > low:
+                    yield window, c, true and c[1] <= low and c[2] >= high and c[2] - c[1] - len(s) <= 1
+    for c in candidates(text):
+        if not near(c[1], c[2]):
+            window = text[max(0, c[1] - 60) : c[2] + 20]
+            shift = max(0, c[1] - 60)
+            yield window, (c[0], c[1] - shift, c[2] - shift), False
+
+
+def _rows(text: str, seed: int = 7) -> np.ndarray:
+    """Features of a text's labelled candidates, whether it is held out, and the label."""
+    held = _digest(text)[0] % 4 == 0
+    rows = [(*features(t, span), held, true) for t, span, true in labelled(text, seed) if not true or _valid(span[0], t[span[1] : span[2]])]
+    return np.array(rows, dtype=np.uint16).reshape(-1, _WIDTH + 2)
+
+
+def _counted(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows without their label, and the numbers of true and of false ones."""
+    every = np.concatenate([np.zeros((0, _WIDTH + 2), dtype=np.uint16), *rows])
+    x, at = np.unique(every[:, :-1], axis=0, return_inverse=True)
+    return x, np.stack([np.bincount(at.reshape(-1), every[:, -1] == label, len(x)) for label in (1, 0)], axis=1).astype(np.int64)
+
+
+def patterns_of(df: DataFrame, text_col: str = "text", seed: int = 7) -> Patterns:
+    """The labelled rows of every different text of ``df``, equal ones counted; nulls have none."""
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 2048):
+            made = [(_digest(t), rows.tobytes()) for t in texts(part.column(0)) if len(rows := _rows(t, seed))]
+            yield pa.RecordBatch.from_arrays([pa.array([m[k] for m in made], pa.binary()) for k in (0, 1)], ["id", "rows"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 2048):
+            x, n = _counted([np.frombuffer(r, dtype=np.uint16).reshape(-1, _WIDTH + 2) for r in part.column(0).to_pylist()])
+            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), *(pa.array(n[:, k]) for k in (0, 1))], ["pattern", "true", "false"])
+
+    # Equal texts have equal rows, so any copy's will do.
+    different = df.select(text_col).mapInArrow(label, "id binary, rows binary").dropDuplicates(["id"]).select("rows")
+    counted = different.mapInArrow(count, "pattern binary, true long, false long")
+    found = checkpoint(counted.groupBy("pattern").agg(F.sum("true").alias("true"), F.sum("false").alias("false")))
+    return Patterns(found if found.count() > LOCAL_PATTERNS else _arrays(found.toArrow()))
 
 
 def training_sample(df: DataFrame, text_col: str = "text") -> list[str]:
-    """The texts that the trees are fitted on: of those with a digit or an at sign, the ones with the least hashes."""
-    mine = F.col(text_col).rlike("[0-9@]") & (F.length(text_col) <= TRAINING_CHARS)
+    """Texts to measure a model with on the driver: of those with a digit or an at sign, the ones with the least hashes."""
+    mine = F.col(text_col).rlike("[0-9@]") & (F.length(text_col) <= MEASURED_CHARS)
     hashed = df.filter(mine).select(F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash"))
-    least = [r["hash"] for r in hashed.select("hash").distinct().orderBy("hash").limit(TRAINING_TEXTS).collect()]
+    least = [r["hash"] for r in hashed.select("hash").distinct().orderBy("hash").limit(MEASURED_TEXTS).collect()]
     if not least:
         return []
-    found = hashed.filter(F.col("hash") <= least[-1]).groupBy("hash").agg(F.min("text").alias("text")).collect()  # TRAINING_TEXTS at most
+    found = hashed.filter(F.col("hash") <= least[-1]).groupBy("hash").agg(F.min("text").alias("text")).collect()  # MEASURED_TEXTS at most
     return [r["text"] for r in sorted(found, key=lambda r: r["hash"])]
 
 
-def fit(sample: list[str], trees: int = 40, seed: int = 7) -> Model:
-    """Trees by Newton boosting of the logistic loss; thresholds from the texts held out.
+def fit(corpus: DataFrame | list[str], trees: int = 40, seed: int = 7, text_col: str = "text") -> Model:
+    """Trees by Newton boosting of the logistic loss, on all texts; thresholds from the texts held out.
 
     With fewer than ``LEAST_ROWS`` true or false rows of a kind, fitted or held out, none of it is added.
     """
-    (xt, yt), (xh, yh) = (_rows([t for i, t in enumerate(sample) if (i % 4 == 0) == held], seed + held) for held in (False, True))
-    none = {kind: float("inf") for kind in KINDS}
-    if not yt.any() or yt.all():
-        return Model(np.zeros((0, 7), dtype=np.int64), np.zeros((0, 7)), np.zeros((0, 8)), 0.0, none)
-    bias = float(np.log((yt.mean() + 1e-6) / (1 - yt.mean() + 1e-6)))
-    margin, grown = np.full(len(yt), bias), []
+    if isinstance(corpus, DataFrame):
+        patterns = patterns_of(corpus, text_col, seed)
+    else:
+        patterns = Patterns(_counted([_rows(t, seed) for t in dict.fromkeys(corpus)]))
+    model = Model(np.zeros((0, 7), dtype=np.int64), np.zeros((0, 7)), np.zeros((0, 8), dtype=np.int64), 0, {kind: float("inf") for kind in KINDS})
+    totals = patterns.summed(_totals, model, 2 * len(KINDS)).reshape(2, len(KINDS), 2)
+    enough = (totals >= LEAST_ROWS).all(axis=(0, 2)).tolist()
+    if not any(enough):
+        return model
+    true, false = totals[0].sum(axis=0)
+    model = replace(model, bias=round(UNIT * float(np.log(true / false))))
     for _ in range(trees):
-        p = 1 / (1 + np.exp(-margin))
-        tree = _grow(xt, yt - p, p * (1 - p), 0.3)
-        grown.append(tree)
-        margin += Model(*(np.array([a]) for a in tree), 0.0, {}).margin(xt)
-    model = Model(*(np.array(a) for a in zip(*grown, strict=True)), bias, {})
-    threshold = {}
-    for i, kind in enumerate(KINDS):
-        mine = xh[:, i] > 0
-        true, fitted = yh[mine], yt[xt[:, i] > 0]
-        threshold[kind] = float("inf")
-        if min(true.sum(), len(true) - true.sum(), fitted.sum(), len(fitted) - fitted.sum()) >= LEAST_ROWS:
-            order = np.argsort(-(m := model.margin(xh[mine])), kind="stable")
-            share = np.cumsum(true[order]) / np.arange(1, len(order) + 1)
-            # A threshold lies midway between two margins, and never below even odds.
-            down = np.append(m[order], -np.inf)
-            good = np.flatnonzero((share >= PRECISION) & (np.diff(down) < 0) & (down[:-1] >= 0))
-            if len(good):
-                threshold[kind] = max(0.0, float(down[good[-1]] + down[good[-1] + 1]) / 2)
-    return Model(model.feature, model.cut, model.leaf, bias, threshold)
+        feature, cut, leaf = _grow(patterns, model, 0.3)
+        model = replace(model, feature=np.vstack([model.feature, feature]), cut=np.vstack([model.cut, cut]), leaf=np.vstack([model.leaf, leaf]))
+    return replace(model, threshold=_thresholds(patterns, model, enough))
 
 
 def measured(model: Model, sample: list[str], seed: int = 19) -> dict[str, tuple[float, float, int]]:
     """By kind, the precision and recall of the model on labelled candidates of texts, and the number of true ones."""
-    x, y = _rows(sample, seed)
-    margin, out = model.margin(x) if len(x) else np.zeros(0), {}
+    rows = np.concatenate([np.zeros((0, _WIDTH + 2), dtype=np.uint16), *(_rows(t, seed) for t in sample)])
+    x, y = rows[:, :_WIDTH], rows[:, -1]
+    margin, out = model.margin(x), {}
     for i, kind in enumerate(KINDS):
         mine = x[:, i] > 0
         taken = margin[mine] >= model.threshold[kind]
@@ -346,6 +468,17 @@ def measured(model: Model, sample: list[str], seed: int = 19) -> dict[str, tuple
     return out
 
 
+def _disjoint(found: list[Span]) -> list[tuple[int, int]]:
+    """The places of the spans, ascending, those that overlap as one."""
+    out: list[tuple[int, int]] = []
+    for _, a, b in sorted(found, key=lambda s: s[1]):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 def spans(text: str, model: Model) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans), each by kind and start; an added span overlaps no other span."""
     base = base_spans(text)
@@ -353,13 +486,7 @@ def spans(text: str, model: Model) -> tuple[list[Span], list[Span]]:
     if not proposed:
         return base, base
     margin = model.margin(np.array([features(text, s) for s in proposed]))
-    taken: list[tuple[int, int]] = []  # disjoint, ascending
-    for _, a, b in sorted(base, key=lambda s: s[1]):
-        if taken and a < taken[-1][1]:
-            taken[-1] = (taken[-1][0], max(b, taken[-1][1]))
-        else:
-            taken.append((a, b))
-    added = []
+    taken, added = _disjoint(base), []
     for m, (kind, a, b) in sorted(zip((-margin).tolist(), proposed, strict=True)):
         if -m < model.threshold[kind]:
             continue
@@ -388,9 +515,9 @@ def detect(df: DataFrame, model: Model | None = None, id_col: str = "doc_id", te
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) for every row; rows are never merged.
 
     The counts and base_sha256 are of the base spans, ``spans`` lists all.  Null and empty texts have none.
-    Without a model, one is fitted on ``df``'s own texts.
+    Without a model, one is fitted on all of ``df``'s own texts.
     """
-    model = model or fit(training_sample(df, text_col))
+    model = model or fit(df, text_col=text_col)
     kind = dict(df.dtypes)[id_col]
     names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"]
 
@@ -410,9 +537,9 @@ def detect(df: DataFrame, model: Model | None = None, id_col: str = "doc_id", te
 def redact(df: DataFrame, model: Model | None = None, text_col: str = "text") -> DataFrame:
     """``df`` with every span of ``text_col`` replaced; all columns kept, a null text stays null, no row is dropped.
 
-    Without a model, one is fitted on ``df``'s own texts.
+    Without a model, one is fitted on all of ``df``'s own texts.
     """
-    model = model or fit(training_sample(df, text_col))
+    model = model or fit(df, text_col=text_col)
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
