@@ -1,4 +1,6 @@
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -138,6 +140,27 @@ def test_keep_one_decides_each_text_and_keeps_null_ids(spark):
     assert left == [(0, ""), (0, clean), (0, "no id"), (3, copy), (5, clean), (6, other), (7, "seven one"), (7, "seven two"), (8, "")]
 
 
+def test_files_of_a_step_go_when_nothing_reads_them_any_more(spark):
+    """Without waiting for the driver to collect its garbage, so that the steps' files do not add up."""
+    jaccard.checkpoint(spark.range(1))  # sets the folder
+    shared = Path(spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:"))
+    local = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    written = lambda: {p.name for p in shared.glob("rdd-*")}
+    shuffled = lambda: {p.name for top in local for p in Path(top).rglob("shuffle_*.data")}
+    rows = corpus(random.Random(3))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    before, kept = (written(), shuffled()), jaccard.keep_one(df)
+    for _ in range(40):  # files of shuffles go in the background
+        if not shuffled() - before[1]:
+            break
+        time.sleep(0.25)
+    assert not shuffled() - before[1]
+    # The documents, their labels and the last state of each search for components.
+    assert len(written() - before[0]) <= 4
+    expect = brute(rows, 5, 80)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, r in expect.items() if d == r)
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, k) for k in range(2, 40)] + [(70, 70)] + [(300, 299), (299, 300)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,12 +30,41 @@ def _shared_top(spark: SparkSession) -> str:
     return tempfile.mkdtemp()
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries planned meanwhile delete their shuffle files when they end.
+
+    Else Spark deletes them when the driver happens to collect its garbage, and on a quiet driver those of
+    all steps add up.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's shared checkpoint folder and read it back, cutting lineage."""
+    """Write ``df`` to the cluster's shared checkpoint folder and read it back, cutting lineage.
+
+    The shuffle files that it took go at once; the written files stay until ``release`` or Spark's cleaner.
+    """
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(_shared_top(df.sparkSession))
-    return df.checkpoint(eager=True)
+    with shuffles_dropped(df.sparkSession):
+        # Planned anew: a plan that ran before has its shuffle files still to be read.
+        return df.select("*").checkpoint(eager=True)
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the files of checkpoints that nothing reads any more, frames derived from them included."""
+    for df in frames:
+        written = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if written.isDefined():
+            delete_folder(df.sparkSession, written.get())
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
@@ -67,13 +97,16 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     Alternates the large-star and small-star steps of Kiveris et al. (2014), which re-hang each
     neighbourhood on its least node; a node's neighbours are only aggregated to a minimum, never
     gathered, so hubs cost no more than their edges.  Each round is a checkpoint in the shared
-    folder.  No edges give no rows; loops (a = a) give a single node of its own.
+    folder, which goes when the next one is written; ``edges`` are read again by the result.  No edges
+    give no rows; loops (a = a) give a single node of its own.
     """
+    spent: list[DataFrame] = []
 
     def star(df: DataFrame, large: bool) -> DataFrame:
         both = df.unionByName(df.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else df
         # Written first, so that the join below has plain exchanges on both sides and a hub's edges can be split.
         low = checkpoint(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+        spent.append(low)
         out = both.join(low, "a")
         if large:
             return out.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a > b").distinct()
@@ -86,11 +119,15 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     )
     seen = None
     for _ in range(rounds):
+        spent.append(state)
         state = checkpoint(star(star(state, True), False))
-        # Stable exactly when every node points at a node that points nowhere.
-        mark = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1000003)).first()
-        if mark == seen and _settled(state):
-            break
+        release(*spent)
+        spent.clear()
+        with shuffles_dropped(state.sparkSession):
+            # Stable exactly when every node points at a node that points nowhere.
+            mark = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1000003)).first()
+            if mark == seen and _settled(state):
+                break
         seen = mark
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -15,7 +15,8 @@ one class from the start (equal sets have equal hashes).
    blocks is multiplied column block by column block; rows left without a partner that can still
    reach its size-derived bound are dropped in between.  A spanning forest of the links leaves the task.
 
-Nothing is capped: every linked pair is connected at step 3 and decided exactly at step 4.
+Nothing is capped: every linked pair is connected at step 3 and decided exactly at step 4.  What a step
+wrote goes as soon as the last step that reads it is written.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vectrace.llm import scan
-from vectrace.llm.common import checkpoint, components, slices
+from vectrace.llm.common import checkpoint, components, release, shuffles_dropped, slices
 from vectrace.llm.scan import mix
 
 #: Counters of the frequency sketch, in slices of 65,536; its size never depends on the data.
@@ -187,7 +188,8 @@ def _levels(sketches: DataFrame) -> np.ndarray:
         packed = [np.rint(4 * np.log2(1.0 + c)).astype(np.uint8).tobytes() for c in total.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(packed, pa.binary())], ["slice", "levels"])
 
-    summed = sketches.repartition(32, "slice").mapInArrow(run, "slice int, levels binary").collect()
+    with shuffles_dropped(sketches.sparkSession):
+        summed = sketches.repartition(32, "slice").mapInArrow(run, "slice int, levels binary").collect()
     levels = np.zeros((1 << SKETCH_BITS >> 16, 1 << 16), dtype=np.uint8)
     for row in summed:
         levels[row["slice"]] = np.frombuffer(row["levels"], dtype=np.uint8)
@@ -223,21 +225,23 @@ def _unfiled(n: Column, percent: int) -> Column:
 
 
 def _candidates(lists: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) that connect every linked pair of different sets, by steps 2 and 3 of the method.
+    """Edges (a, b) that connect every linked pair of different sets, by steps 2 and 3 of the method; a checkpoint.
 
     An edge from an id to itself stands for several texts under that id.
 
     Column lengths are counted map-side first and written before they are joined back, so that a
     column of a third of all documents is split over tasks.
     """
-    filed = checkpoint(lists).select("doc_id", "n", F.explode("grams").alias("gram"))
+    lists = checkpoint(lists)
+    filed = lists.select("doc_id", "n", F.explode("grams").alias("gram"))
     lengths = checkpoint(filed.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1"))
     shared = checkpoint(filed.join(lengths, "gram"))
+    release(lists, lengths)
     short = shared.filter(F.col("c") <= PAIR_COLUMN)
     long = shared.filter(F.col("c") > PAIR_COLUMN)
     hidden = long.groupBy("doc_id", "n").agg(F.count("*").alias("s"))
-    lists = short.groupBy("gram").agg(F.array_sort(F.collect_list(F.struct("doc_id", "n"))).alias("d"))
-    both = lists.select(F.explode(F.flatten(F.transform("d", lambda x, i: F.transform(
+    columns = short.groupBy("gram").agg(F.array_sort(F.collect_list(F.struct("doc_id", "n"))).alias("d"))
+    both = columns.select(F.explode(F.flatten(F.transform("d", lambda x, i: F.transform(
         F.filter(F.slice("d", i + 2, PAIR_COLUMN), lambda y: percent * F.greatest(x["n"], y["n"]) <= 100 * F.least(x["n"], y["n"])),
         lambda y: F.struct(x["doc_id"].alias("a"), x["n"].alias("n"), y["doc_id"].alias("b"), y["n"].alias("m")),
     )))).alias("p")).select("p.*")
@@ -255,11 +259,13 @@ def _candidates(lists: DataFrame, percent: int) -> DataFrame:
     deep = long.join(hidden.filter(F.col("s") > EXTRA).select("doc_id", "n"), ["doc_id", "n"], "left_semi")
     hubs = checkpoint(deep.groupBy("gram").agg(F.min("doc_id").alias("hub")))
     stars = deep.join(hubs, "gram").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
-    return found.unionByName(stars).distinct()
+    edges = checkpoint(found.unionByName(stars).distinct())
+    release(shared, hubs)
+    return edges
 
 
 def _blocks(classes: DataFrame, percent: int) -> DataFrame:
-    """Classes (root, class_id, doc, mark, copies, n) of groups, each with the pairs of row blocks it is multiplied in.
+    """Classes (root, class_id, doc, mark, copies, n) of groups, each with the pairs of row blocks it is multiplied in; a checkpoint.
 
     A group of more than one block is cut into bands of sizes, each ``percent`` of the next, and a band
     into hash blocks of bounded weight; sets of bands further apart than neighbours cannot link.  So
@@ -286,9 +292,11 @@ def _blocks(classes: DataFrame, percent: int) -> DataFrame:
     ).cast("array<struct<band:int,low:int,high:int,cross:boolean,side:int>>")
     key = ["root", "band"]
     around = blocks.join(near(-1, "over"), key, "left").join(near(1, "under"), key, "left")
-    return banded.join(around, key).withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")).select(
+    placed = checkpoint(banded.join(around, key).withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")).select(
         "root", "class_id", "doc", "mark", "copies", pairs.alias("pairs")
-    )
+    ))
+    release(groups, banded, blocks)
+    return placed
 
 
 def _multiplied(members: DataFrame, percent: int) -> DataFrame:
@@ -351,20 +359,23 @@ def _labelled(df: DataFrame, n: int, percent: int, id_col: str, text_col: str) -
     """
     spark_docs = df.select(id_col, text_col)
     made = checkpoint(_documents(spark_docs, n, id_col, text_col))
-    docs = made.filter(F.col("slice").isNull()).select("doc_id", "n_shingles", "class_id", "mark")
+    docs = checkpoint(made.filter(F.col("slice").isNull()).select("doc_id", "n_shingles", "class_id", "mark"))
     levels = _levels(made.filter(F.col("slice").isNotNull()).select("slice", "cells"))
-    edges = checkpoint(_candidates(_filed(spark_docs, n, percent, levels, id_col, text_col), percent))
+    release(made)
+    edges = _candidates(_filed(spark_docs, n, percent, levels, id_col, text_col), percent)
     named = docs.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     groups = components(edges)
     sets = checkpoint(named.groupBy("class_id").agg(
         F.min(F.struct("doc_id", "mark")).alias("first"), F.count("*").alias("copies"), F.min("n_shingles").alias("n")
     ))
     nodes = groups.join(named, groups["node"] == named["doc_id"]).select("root", "class_id").distinct()
-    classes = nodes.join(sets, "class_id").select(
+    classes = checkpoint(nodes.join(sets, "class_id").select(
         "root", "class_id", F.col("first.doc_id").alias("doc"), F.col("first.mark").alias("mark"), "copies", "n"
-    )
-    placed = checkpoint(_blocks(checkpoint(classes), percent))
+    ))
+    release(edges)
+    placed = _blocks(classes, percent)
     found = checkpoint(_multiplied(_with_grams(spark_docs, placed, n, id_col, text_col), percent))
+    release(classes, placed)
     linked = components(found.filter("a <> b").select("a", "b"))
     counted = found.filter("links > 0").groupBy(F.col("a").alias("class_id")).agg(F.sum("links").alias("links"))
     # Labels go from group to class to document; each table is written before its join, so that the rows
@@ -375,10 +386,12 @@ def _labelled(df: DataFrame, n: int, percent: int, id_col: str, text_col: str) -
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
         )
     )
+    release(sets, found)
     least = checkpoint(rooted.groupBy("group").agg(F.min(F.struct("least", "class_id")).alias("lead")))
     labels = checkpoint(rooted.join(least, "group").select(
         F.col("class_id").alias("_class"), F.col("lead.least").alias("component_id"), (F.col("class_id") == F.col("lead.class_id")).alias("leads"), "links"
     ))
+    release(rooted, least)
     mine = (docs["class_id"] == labels["_class"]) & (docs["n_shingles"] > 0) & docs["doc_id"].isNotNull()
     return docs.join(labels, mine, "left").select(
         "doc_id", "n_shingles", "class_id", F.coalesce("component_id", "doc_id").alias("component_id"),
