@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import tracemalloc
 
 import pytest
 
@@ -199,6 +200,32 @@ def test_the_model_is_fitted_on_every_text(spark, monkeypatch):
     assert [r.spans for r in pii.detect(df).filter("doc_id = 1000").collect()] == ["phone:5:19"]
 
 
+def test_thresholds_take_memory_for_the_margins_that_occur_alone(spark):
+    import numpy as np
+
+    # Leaves of a large corpus: 7,000,000 rows of a kind gave values beyond 10^8, and one cell was held for every value between.
+    one = lambda values: np.array([values])
+    model = pii.Model(one([4] + [0] * 6), one([2.0, 9, 9, 9, 9, 9, 9]), one([-(10**7), 0, 0, 0, 900, 0, 0, 0]), 5, {})
+    x = np.zeros((6, len(pii.FEATURES) + 1), dtype=np.uint16)
+    x[:, -1] = [1, 1, 1, 1, 1, 0]
+    x[[0, 1], 0], x[[2, 3, 4, 5], 3], x[[0, 2, 5], 4] = 1, 1, 7
+    n = np.array([[99, 1], [0, 5], [4, 0], [1, 0], [2, 1], [0, 50]], dtype=np.int64)
+    rows = [(bytearray(r.tobytes()), int(t), int(f)) for r, (t, f) in zip(x, n, strict=True)]
+    table = spark.createDataFrame(rows, "pattern binary, true long, false long").repartition(3)
+    for held in ((x, n), table):
+        tracemalloc.start()
+        found = pii._thresholds(pii.Patterns(held), model, [True, True, True, True])
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        low = 5 - 10**7
+        assert found == {"email": max(0.0, (905 + low) / 2), "ip": float("inf"), "card": float("inf"), "phone": max(0.0, (905 + low) / 2)}
+        assert peak < 1 << 24
+    # Two margins above even odds: half way between the one and the other.
+    upper = pii.Model(model.feature, model.cut, one([100, 0, 0, 0, 900, 0, 0, 0]), 5, {})
+    assert [pii._thresholds(pii.Patterns(h), upper, [True] * 4)["email"] for h in ((x, n), table)] == [505.0, 505.0]
+    assert pii._thresholds(pii.Patterns((x, n)), upper, [False] * 4)["email"] == float("inf")
+
+
 def test_detect_and_redact(spark):
     rows = [(1, None, "a"), (2, "", "b"), (3, "write a@b.com or 10.0.0.1", "c"), (3, "write a@b.com or 10.0.0.1", "c"), (4, "clean " * 40_000, "d")]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans string")

@@ -27,7 +27,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vectrace.llm.common import checkpoint, slices, texts
@@ -208,14 +208,18 @@ class Patterns:
         if not isinstance(rows, DataFrame):
             self.margin = np.zeros(len(rows[0]), dtype=np.int64)
 
+    def _margins(self, model: Model) -> np.ndarray:
+        """Of rows on the driver, what the trees that are new since the last call add to."""
+        if not self.done:
+            self.margin[:] = model.bias
+        self.margin += replace(model, bias=0).margin(self.rows[0], self.done)
+        self.done = len(model.feature)
+        return self.margin
+
     def summed(self, sums: Sums, model: Model, cells: int) -> np.ndarray:
         """``sums`` over all patterns, cells x 2; the model may only grow from call to call."""
         if not isinstance(self.rows, DataFrame):
-            if not self.done:
-                self.margin[:] = model.bias
-            self.margin += replace(model, bias=0).margin(self.rows[0], self.done)
-            self.done = len(model.feature)
-            return sums(*self.rows, self.margin)
+            return sums(*self.rows, self._margins(model))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros((cells, 2))
@@ -231,6 +235,27 @@ class Patterns:
             out[r["cell"]] = r["a"], r["b"]
         return out
 
+    def precise(self, model: Model) -> dict[int, tuple[float, float]]:
+        """By a kind's place, the least margin at and above which PRECISION of the rows held out are true, and the next one below.
+
+        Only margins that occur are summed: their range has no bound, as a leaf's value grows with its rows.
+        """
+        if not isinstance(self.rows, DataFrame):
+            kinds, margins, true, false = _held_out(*self.rows, self._margins(model))
+            return {i: found for i in range(len(KINDS)) if (found := _least_precise(*(c[kinds == i] for c in (margins, true, false))))}
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x, n = _arrays(batch)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in _held_out(x, n, model.margin(x))], ["kind", "margin", "true", "false"])
+
+        counted = self.rows.mapInArrow(run, "kind long, margin long, true long, false long").groupBy("kind", "margin").agg(F.sum("true").alias("true"), F.sum("false").alias("false"))
+        down = Window.partitionBy("kind").orderBy(F.desc("margin"))
+        sums = counted.select("kind", "margin", F.sum("true").over(down).alias("t"), F.sum("false").over(down).alias("f"), F.lead("margin").over(down).alias("below"))
+        good = sums.filter((F.col("t") >= F.lit(PRECISION) * (F.col("t") + F.col("f"))) & (F.col("margin") >= 0))
+        least = good.groupBy("kind").agg(F.min("margin").alias("margin"), F.min_by("below", "margin").alias("below"))
+        return {r["kind"]: (r["margin"], -np.inf if r["below"] is None else r["below"]) for r in least.collect()}  # a row a kind
+
 
 def _arrays(table: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Features with whether held out, and true and false numbers, of rows (pattern, true, false)."""
@@ -284,26 +309,25 @@ def _grow(patterns: Patterns, model: Model, shrink: float) -> tuple[np.ndarray,
     return feature, cut, leaf
 
 
-def _thresholds(patterns: Patterns, model: Model, enough: list[bool]) -> dict[str, float]:
-    """By kind, the least margin at and above which PRECISION of the rows held out are true."""
-    low = model.bias + int(model.leaf.min(axis=1).sum())
-    width = model.bias + int(model.leaf.max(axis=1).sum()) - low + 1
+def _held_out(x: np.ndarray, n: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the rows held out, the kinds and margins that occur, ascending, with their true and false numbers."""
+    mine = x[:, _WIDTH] > 0
+    key, at = np.unique(np.stack([x[mine, : len(KINDS)].argmax(axis=1), margin[mine]]), axis=1, return_inverse=True)
+    true, false = (np.bincount(at.reshape(-1), n[mine, k], key.shape[1]).astype(np.int64) for k in (0, 1))
+    return key[0], key[1], true, false
 
-    def sums(x: np.ndarray, n: np.ndarray, margin: np.ndarray) -> np.ndarray:
-        mine = x[:, _WIDTH] > 0
-        cell = x[mine, : len(KINDS)].argmax(axis=1) * width + margin[mine] - low
-        return np.stack([np.bincount(cell, n[mine, k], len(KINDS) * width) for k in (0, 1)], axis=1)
-
-    found = patterns.summed(sums, model, len(KINDS) * width).reshape(len(KINDS), width, 2)
-    out = {}
-    for kind, of, some in zip(KINDS, found, enough, strict=True):
-        at = np.flatnonzero(of.any(axis=1))[::-1]
-        true, false = np.cumsum(of[at], axis=0).T
-        # A threshold lies midway between two margins, and never below even odds.
-        down = np.append(at + low, -np.inf)
-        good = np.flatnonzero((true >= PRECISION * (true + false)) & (down[:-1] >= 0))
-        out[kind] = max(0.0, float(down[good[-1]] + down[good[-1] + 1]) / 2) if some and len(good) else float("inf")
-    return out
+
+def _least_precise(margins: np.ndarray, true: np.ndarray, false: np.ndarray) -> tuple[float, float] | None:
+    """Of a kind's margins, ascending: the least one, not below even odds, from which on PRECISION of the rows are true, and the one before."""
+    true, false = (np.cumsum(c[::-1])[::-1] for c in (true, false))
+    good = np.flatnonzero((true >= PRECISION * (true + false)) & (margins >= 0))
+    return (float(margins[good[0]]), float(margins[good[0] - 1]) if good[0] else -np.inf) if len(good) else None
+
+
+def _thresholds(patterns: Patterns, model: Model, enough: list[bool]) -> dict[str, float]:
+    """By kind, what PRECISION asks of the margin: midway between two margins that occur, and never below even odds."""
+    found = patterns.precise(model)
+    return {kind: max(0.0, sum(found[i]) / 2) if some and i in found else float("inf") for i, (kind, some) in enumerate(zip(KINDS, enough, strict=True))}
 
 
 def _disturbed(kind: str, s: str, rng: random.Random) -> str:
