@@ -175,6 +175,20 @@ def test_pairs_of_blocks_are_shuffled_little(spark, monkeypatch):
     assert max(int(n) for n in re.findall(r"sequence\([^)]*?, (\d+)", plan)) < 12
 
 
+def test_a_block_is_written_once_for_all_others(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(profiles, "BLOCK_PROFILES", 20)
+    df = spark.range(600).selectExpr("id as profile", "id % 3 as stage", "array(double(id), rand(1), rand(2), rand(3), rand(4), rand(5)) as features")
+    for most in (256, 4):  # parts of a block and of several
+        monkeypatch.setattr(profiles, "BLOCK_PARTS", most, raising=False)
+        pairs = profiles.pair_distance(df)
+        pairs.write.parquet(f"{tmp_path}/{most}")
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" in plan and "Exchange" not in plan
+        got = spark.read.parquet(f"{tmp_path}/{most}")
+        assert got.count() == got.dropDuplicates(["left", "right"]).count() == 600 * 599 // 2
+        assert got.filter("left >= right or distance < right - left or same_label <> (left % 3 = right % 3)").isEmpty()
+
+
 def test_a_block_meets_itself_in_any_order():
     import pyarrow as pa
 
